@@ -45,7 +45,7 @@ def sql_initcap(expr: str) -> str:
     """DuckDB spelling of Spark's ``initcap``: lower-case, then upper-case the
     first letter after each space."""
     return (f"array_to_string(list_transform(string_split(lower({expr}), ' '), "
-            f"w -> upper(w[1:1]) || w[2:]), ' ')")
+            f"lambda w: upper(w[1:1]) || w[2:]), ' ')")
 
 
 def load_all() -> None:

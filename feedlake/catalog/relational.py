@@ -12,7 +12,7 @@ from feedlake.functions import (
     guarded, join_present, localized, map_lookup, matches_any, nested, normalize_text,
     override_if, pack, pluck, pluck_flat, query_param, remap_code, replace_field, row_key,
     run_epoch, safe_date, sentence, slugify, slugify_all, sorted_text, sqft, strip_nul,
-    humanize, before_first, to_type, struct_text, field,
+    humanize, before_first, to_type, struct_text, field, per_night, round_to, half,
 )
 from feedlake.operators import (
     attach, attach_keep_left, children_with_owner, collect_distinct_structs, collect_sets,
@@ -79,3 +79,362 @@ LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = CAST(c.c_nationkey AS VAR
 def q_customer_profile(spark, d):
     customer, orders, nation = tables(spark, d, "customer", "orders", "nation")
     return customer_profile(customer, orders, nation)
+
+
+def _cases(mapping: dict, expr: str, default: str = "NULL") -> str:
+    """SQL CASE for a lookup dict (values must be str)."""
+    whens = " ".join(f"WHEN {expr} = '{k}' THEN '{v}'" for k, v in mapping.items())
+    return f"(CASE {whens} ELSE {default} END)"
+
+
+def _ts(s: str):
+    return F.lit(s).cast("timestamp_ntz")
+
+
+# ---------------------------------------------------------------- text (F)
+
+@query("q_slugify", """
+SELECT p_partkey,
+       lower(regexp_replace(trim(p_name), '[^a-zA-Z0-9]+', '-', 'g')) AS name_slug,
+       lower(regexp_replace(trim(concat_ws(' ', p_brand, p_type)), '[^a-zA-Z0-9]+', '-', 'g')) AS brand_type_slug
+FROM part""")
+def q_slugify(spark, d):
+    return table(spark, d, "part").select(
+        "p_partkey", slugify("p_name").alias("name_slug"),
+        slugify(F.concat_ws(" ", "p_brand", "p_type")).alias("brand_type_slug"))
+
+
+@query("q_case_fns", f"""
+SELECT p_partkey AS key, 'part' AS kind, upper(p_name) AS upper_text, lower(p_brand) AS lower_text,
+       {sql_initcap("p_name")} AS initcap_text, trim('  ' || p_type || ' ') AS trim_text FROM part
+UNION ALL
+SELECT s_suppkey, 'supplier', upper(s_name), lower(s_name), {sql_initcap("s_name")},
+       trim('  ' || s_name || '  ') FROM supplier""")
+def q_case_fns(spark, d):
+    part, supplier = tables(spark, d, "part", "supplier")
+    a = part.select(F.col("p_partkey").alias("key"), F.lit("part").alias("kind"),
+                    clean_case("p_name", "upper").alias("upper_text"),
+                    clean_case("p_brand", "lower").alias("lower_text"),
+                    clean_case("p_name", "initcap").alias("initcap_text"),
+                    clean_case(F.concat(F.lit("  "), "p_type", F.lit(" ")), "trim").alias("trim_text"))
+    b = supplier.select(F.col("s_suppkey").alias("key"), F.lit("supplier").alias("kind"),
+                        clean_case("s_name", "upper").alias("upper_text"),
+                        clean_case("s_name", "lower").alias("lower_text"),
+                        clean_case("s_name", "initcap").alias("initcap_text"),
+                        clean_case(F.concat(F.lit("  "), "s_name", F.lit("  ")), "trim").alias("trim_text"))
+    return a.unionByName(b)
+
+
+_PART_CLASS_SQL = " ".join(
+    f"WHEN regexp_matches(lower(p_name), '{'|'.join(ws)}') THEN '{label}'" for label, ws in rules.PART_CLASSES)
+
+
+@query("q_case", f"""
+SELECT p_partkey, p_name, (CASE {_PART_CLASS_SQL} ELSE NULL END) AS part_class FROM part""")
+def q_case(spark, d):
+    part = table(spark, d, "part")
+    cls = classify([(matches_any("p_name", ws), label) for label, ws in rules.PART_CLASSES])
+    return part.select("p_partkey", "p_name", cls.cast("string").alias("part_class"))
+
+
+def _sql_contains_any(expr: str, words) -> str:
+    return "coalesce(" + " OR ".join(f"contains({expr}, '{w}')" for w in words) + ", false)"
+
+
+_NORM_SQL = "lower(regexp_replace(text, '[^a-zA-Z0-9\\s]', '', 'g'))"
+
+
+@query("q_flags", "SELECT doc_id, " + ", ".join(
+    f"{_sql_contains_any('norm', ws)} AS {flag_name}" for flag_name, ws in rules.DOC_KEYWORDS.items())
+    + f" FROM (SELECT doc_id, {_NORM_SQL} AS norm FROM documents)")
+def q_flags(spark, d):
+    docs = table(spark, d, "documents").withColumn("norm", normalize_text("text"))
+    return docs.select("doc_id", *[contains_any("norm", ws).alias(n) for n, ws in rules.DOC_KEYWORDS.items()])
+
+
+_LABEL_RULES = [  # (label, spark condition, sql condition), alphabetical by label
+    ("english", lambda: F.col("lang") == "en", "lang = 'en'"),
+    ("has_digits", lambda: F.col("text").rlike("[0-9]"), "regexp_matches(text, '[0-9]')"),
+    ("long", lambda: F.col("n_chars") > 5000, "n_chars > 5000"),
+    ("the", lambda: normalize_text("text").contains("the"), f"contains({_NORM_SQL}, 'the')"),
+]
+
+
+@query("q_multi_label", "SELECT doc_id, concat_ws(',', " + ", ".join(
+    f"CASE WHEN {sql} THEN '{lab}' END" for lab, _, sql in _LABEL_RULES) + ") AS labels FROM documents")
+def q_multi_label(spark, d):
+    docs = table(spark, d, "documents")
+    labels = F.filter(F.array(*[F.when(cond(), F.lit(lab)) for lab, cond, _ in _LABEL_RULES]),
+                      lambda x: x.isNotNull())
+    return docs.select("doc_id", sorted_text(labels).alias("labels"))
+
+
+@query("q_strip", """
+SELECT o_orderkey AS key, 'order' AS kind, o_orderpriority || o_orderstatus AS cleaned,
+       CAST(length(o_orderpriority || o_orderstatus) AS INTEGER) AS n_chars,
+       replace(o_orderpriority, '-', ' ') AS label FROM orders
+UNION ALL
+SELECT doc_id, 'document', md5(text), CAST(length(text) AS INTEGER), source FROM documents""")
+def q_strip(spark, d):
+    orders, docs = tables(spark, d, "orders", "documents")
+    nul = F.lit("\x00")
+    o = orders.select(F.col("o_orderkey").alias("key"), F.lit("order").alias("kind"),
+                      strip_nul(F.concat("o_orderpriority", nul, "o_orderstatus")).alias("cleaned"),
+                      humanize("o_orderpriority", "-").alias("label"))
+    o = o.withColumn("n_chars", F.length("cleaned"))
+    t = docs.select(F.col("doc_id").alias("key"), F.lit("document").alias("kind"),
+                    strip_nul(F.concat(nul, "text", nul)).alias("_clean"),
+                    humanize("source", "_").alias("label"))
+    t = t.select("key", "kind", F.md5("_clean").alias("cleaned"), F.length("_clean").alias("n_chars"), "label")
+    return o.select("key", "kind", "cleaned", "n_chars", "label").unionByName(t)
+
+
+@query("q_display", """
+SELECT c_custkey, concat_ws(', ',
+   nullif(CASE WHEN c_acctbal > 5000 THEN c_mktsegment ELSE '' END, ''),
+   coalesce(nullif(CASE WHEN c_acctbal > 2000 THEN n_name ELSE '' END, ''),
+            nullif(CASE WHEN c_acctbal > 0 THEN 'N' || CAST(n_nationkey AS VARCHAR) END, '')),
+   coalesce(nullif(CASE WHEN c_mktsegment <> 'BUILDING' THEN r_name ELSE '' END, ''),
+            nullif(substring(r_name, 1, 2), ''))) AS display
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+              LEFT JOIN region ON n_regionkey = r_regionkey""")
+def q_display(spark, d):
+    customer, nation, region = tables(spark, d, "customer", "nation", "region")
+    df = lookup_left_on(customer, nation, "c_nationkey", "n_nationkey", key_type="int")
+    df = lookup_left_on(df, region, "n_regionkey", "r_regionkey", key_type="int")
+    bal = F.col("c_acctbal")
+    df = df.withColumns({
+        "city": F.when(bal > 5000, F.col("c_mktsegment")).otherwise(""),
+        "state": F.when(bal > 2000, F.col("n_name")).otherwise(""),
+        "state_abbr": F.when(bal > 0, F.concat(F.lit("N"), F.col("n_nationkey").cast("string"))),
+        "country": F.when(F.col("c_mktsegment") != "BUILDING", F.col("r_name")).otherwise(""),
+        "country_code": F.substring("r_name", 1, 2),
+    })
+    display = join_present(", ", first_nonblank("city"), first_nonblank("state", "state_abbr"),
+                           first_nonblank("country", "country_code"))
+    return df.select("c_custkey", display.alias("display"))
+
+
+@query("q_blank", """
+SELECT c_custkey, nullif(trim(substring(c_mktsegment, 9, 10)), '') AS segment_tail FROM customer""")
+def q_blank(spark, d):
+    c = table(spark, d, "customer")
+    return c.select("c_custkey", blank_to_null(F.trim(F.substring("c_mktsegment", 9, 10))).alias("segment_tail"))
+
+
+_REMAP = {**rules.COUNTRY_REMAP, "EN": "GB"}
+
+
+@query("q_remap", f"""
+SELECT doc_id, {_cases(_REMAP, "upper(trim(lang))", "upper(trim(lang))")} AS code FROM documents""")
+def q_remap(spark, d):
+    return table(spark, d, "documents").select("doc_id", remap_code("lang", _REMAP).alias("code"))
+
+
+@query("q_policy_text", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       'Return flag ' || l_returnflag || ' for ' || CAST(l_quantity AS VARCHAR) || ' units' AS return_text,
+       CASE WHEN l_discount > 0 THEN 'Discount of ' || CAST(l_discount AS VARCHAR) END AS discount_text,
+       concat_ws(' and ',
+         CASE WHEN l_quantity >= 25 THEN 'Quantity is ' || CAST(l_quantity AS VARCHAR) END,
+         CASE WHEN l_tax > 0.05 THEN 'Tax is ' || CAST(l_tax AS VARCHAR) END) AS policy,
+       CASE WHEN l_returnflag = 'R' THEN 'Returned.'
+            WHEN l_returnflag = 'A' THEN 'Accepted' ||
+                 CASE WHEN l_discount > 0 THEN ' with ' || replace(CAST(l_discount AS VARCHAR), '.', '_') ELSE '.' END
+       END AS flag_text
+FROM lineitem""")
+def q_policy_text(spark, d):
+    li = table(spark, d, "lineitem")
+    flag_text = classify([
+        (F.col("l_returnflag") == "R", "Returned."),
+        (F.col("l_returnflag") == "A",
+         F.concat(F.lit("Accepted"),
+                  F.when(F.col("l_discount") > 0,
+                         F.concat(F.lit(" with "), F.regexp_replace(F.col("l_discount").cast("string"), r"\.", "_")))
+                  .otherwise(F.lit(".")))),
+    ])
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        sentence("Return flag ", F.col("l_returnflag"), " for ", F.col("l_quantity"), " units").alias("return_text"),
+        F.when(F.col("l_discount") > 0, sentence("Discount of ", F.col("l_discount"))).alias("discount_text"),
+        join_present(" and ",
+                     F.when(F.col("l_quantity") >= 25, sentence("Quantity is ", F.col("l_quantity"))),
+                     F.when(F.col("l_tax") > 0.05, sentence("Tax is ", F.col("l_tax")))).alias("policy"),
+        flag_text.cast("string").alias("flag_text"))
+
+
+@query("q_url_rewrite", """
+SELECT page_id,
+       CASE WHEN url IS NOT NULL THEN split_part(url, '=', 1) || '=affiliate_id' END AS feed_provider_url,
+       coalesce(url IS NOT NULL AND url <> '', false) AS published
+FROM pages""")
+def q_url_rewrite(spark, d):
+    pages = table(spark, d, "pages")
+    return pages.select("page_id",
+                        before_first("url", "=", rules.AFFILIATE_SUFFIX).alias("feed_provider_url"),
+                        flag(F.col("url").isNotNull() & (F.col("url") != "")).alias("published"))
+
+
+@query("q_query_param", """
+SELECT page_id, page, TRY_CAST(page AS INTEGER) AS page_no,
+       CAST(try_strptime('2024-01-' || lpad(page, 2, '0'), '%Y-%m-%d') AS DATE) AS page_day
+FROM (SELECT page_id, nullif(regexp_extract(url, 'page=([\\d-]+)', 1), '') AS page FROM pages)""")
+def q_query_param(spark, d):
+    pages = table(spark, d, "pages").select("page_id", query_param("url", "page").alias("page"))
+    return pages.select("page_id", "page", F.col("page").try_cast("int").alias("page_no"),
+                        safe_date(F.concat(F.lit("2024-01-"), F.lpad("page", 2, "0")), "yyyy-MM-dd").alias("page_day"))
+
+
+# ---------------------------------------------------------- numbers / casts
+
+@query("q_math", f"""
+SELECT p_partkey AS key, 'part' AS kind, CAST(floor(p_retailprice / 100) AS BIGINT) AS band,
+       {sql_round("p_size * 10.76391")} AS size_sqft,
+       CAST(CAST(CASE WHEN p_retailprice <> 0 THEN p_retailprice / 2 ELSE 0 END AS DECIMAL(38,10)) AS DECIMAL(10,2)) AS half_value,
+       abs({sql_round("(p_retailprice - 1500) / 3")}) AS per_night,
+       CAST({sql_round("p_retailprice")} AS FLOAT) AS rounded
+FROM part
+UNION ALL
+SELECT o_orderkey, 'order', CAST(floor(o_totalprice / 1000) AS BIGINT),
+       {sql_round("(o_totalprice / 1000) * 10.76391")},
+       CAST(CAST(CASE WHEN o_totalprice <> 0 THEN o_totalprice / 2 ELSE 0 END AS DECIMAL(38,10)) AS DECIMAL(10,2)),
+       abs({sql_round("(o_totalprice - 250000) / 3")}),
+       CAST({sql_round("o_totalprice")} AS FLOAT)
+FROM orders""")
+def q_math(spark, d):
+    part, orders = tables(spark, d, "part", "orders")
+    a = part.select(F.col("p_partkey").alias("key"), F.lit("part").alias("kind"),
+                    F.floor(F.col("p_retailprice") / 100).alias("band"),
+                    sqft("p_size").alias("size_sqft"),
+                    half_value("p_retailprice"),
+                    per_night(F.col("p_retailprice") - 1500, 3).alias("per_night"),
+                    round_to("p_retailprice", 2, "float").alias("rounded"))
+    b = orders.select(F.col("o_orderkey").alias("key"), F.lit("order").alias("kind"),
+                      F.floor(F.col("o_totalprice") / 1000).alias("band"),
+                      sqft(F.col("o_totalprice") / 1000).alias("size_sqft"),
+                      half_value("o_totalprice"),
+                      per_night(F.col("o_totalprice") - 250000, 3).alias("per_night"),
+                      round_to("o_totalprice", 2, "float").alias("rounded"))
+    return a.unionByName(b)
+
+
+def half_value(c):
+    from feedlake.functions import half
+    return half(c).alias("half_value")
+
+
+@query("q_casts", """
+SELECT o_orderkey, CAST(trunc(o_totalprice) AS INTEGER) AS price_int, CAST(o_custkey AS INTEGER) AS cust_int,
+       CAST(o_totalprice AS FLOAT) AS price_float,
+       CAST(CAST(o_totalprice AS DECIMAL(38,10)) AS DECIMAL(12,2)) AS price_decimal,
+       CAST(o_totalprice AS VARCHAR) AS price_text, CAST(o_orderdate AS DATE) AS order_date,
+       TRY_CAST(o_orderpriority AS INTEGER) AS priority_int,
+       to_json(struct_pack(o_orderkey := o_orderkey, o_orderstatus := o_orderstatus)) AS struct_json
+FROM orders""")
+def q_casts(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(
+        "o_orderkey", to_type("o_totalprice", "int").alias("price_int"),
+        to_type("o_custkey", "int").alias("cust_int"),
+        to_type("o_totalprice", "float").alias("price_float"),
+        to_type("o_totalprice", "decimal(12,2)").alias("price_decimal"),
+        to_type("o_totalprice", "string").alias("price_text"),
+        to_type("o_orderdate", "date").alias("order_date"),
+        to_type("o_orderpriority", "int", safe=True).alias("priority_int"),
+        struct_text(F.struct("o_orderkey", "o_orderstatus")).alias("struct_json"))
+
+
+# ------------------------------------------------------- defaults / consts
+
+@query("q_defaults", """
+SELECT d.doc_id, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxic,
+       coalesce(CASE WHEN l.quality = 1 THEN 'good' WHEN l.quality = 0 THEN 'poor' END, 'unlabelled') AS label_state
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def q_defaults(spark, d):
+    docs, labels = tables(spark, d, "documents", "labels")
+    df = lookup_left(docs.select("doc_id"), labels, "doc_id", broadcast=False)
+    df = df.withColumn("label_state", default(classify([(F.col("quality") == 1, "good"),
+                                                        (F.col("quality") == 0, "poor")]), "unlabelled"))
+    return fill_defaults(df, {"quality": 0, "toxic": 0}).select("doc_id", "quality", "toxic", "label_state")
+
+
+@query("q_constants", f"""
+SELECT r_regionkey, r_name, CAST(11 AS INTEGER) AS feed, CAST(NULL AS VARCHAR) AS owner_id,
+       CAST(1 AS INTEGER) AS min_stay, 'USD' AS currency, DATE '{RUN_DATE}' AS updated_at,
+       CAST(epoch(TIMESTAMP '{RUN_TS}') AS BIGINT) AS run_epoch
+FROM region""")
+def q_constants(spark, d):
+    r = table(spark, d, "region")
+    r = with_constants(r, {"feed": (rules.FEED_ID, "int"), "owner_id": (None, "string"),
+                           "min_stay": (1, "int"), "currency": (rules.DEFAULT_CURRENCY, "string")})
+    r = stamp(r, RUN_DATE).withColumn("run_epoch", run_epoch(RUN_TS))
+    return r
+
+
+@query("q_surrogate_key", f"""
+SELECT o_orderkey,
+       sha256(concat_ws('-', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
+                        CAST(CAST(o_orderdate AS DATE) AS VARCHAR))) AS row_id,
+       'BC-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(CAST(epoch(TIMESTAMP '{RUN_TS}') AS BIGINT) AS VARCHAR) AS history_id
+FROM orders""")
+def q_surrogate_key(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey",
+                    row_key("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date")).alias("row_id"),
+                    F.concat_ws("-", F.concat(F.lit(rules.ID_PREFIX), F.col("o_orderkey").cast("string")),
+                                run_epoch(RUN_TS).cast("string")).alias("history_id"))
+
+
+# ------------------------------------------------------------- structs (P)
+
+@query("q_json_extract", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_json_extract(spark, d):
+    ev = table(spark, d, "events")
+    ev = ev.withColumn("meta", F.struct("event_type", F.from_json("props", "k INT").alias("payload")))
+    return ev.select("event_id", nested("meta.event_type").alias("event_type"), nested("meta.payload.k").alias("k"))
+
+
+@query("q_pack", "SELECT c_custkey, c_name AS name, c_acctbal AS balance, c_mktsegment AS segment FROM customer")
+def q_pack(spark, d):
+    from feedlake.functions import pack_into
+    c = pack_into(table(spark, d, "customer"), "info",
+                  {"name": "c_name", "balance": "c_acctbal", "segment": "c_mktsegment"})
+    return c.select("c_custkey", field("info", "name").alias("name"), field("info", "balance").alias("balance"),
+                    field("info", "segment").alias("segment"))
+
+
+@query("q_withfield", f"""
+SELECT c_custkey, c_name AS name, {sql_round("c_acctbal * 1.1")} AS balance, c_mktsegment AS segment
+FROM customer""")
+def q_withfield(spark, d):
+    c = table(spark, d, "customer").withColumn(
+        "info", pack({"name": "c_name", "balance": "c_acctbal", "segment": "c_mktsegment"}))
+    c = c.withColumn("info", replace_field("info", "balance", F.round(F.col("info.balance") * 1.1, 2)))
+    return c.select("c_custkey", "info.*")
+
+
+@query("q_guarded_struct", """
+SELECT o_orderkey,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS fulfilled_total,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS fulfilled_priority
+FROM orders""")
+def q_guarded_struct(spark, d):
+    o = table(spark, d, "orders")
+    g = guarded(F.col("o_orderstatus") == "F",
+                {"total": "o_totalprice", "priority": "o_orderpriority"},
+                {"total": "double", "priority": "string"})
+    return o.select("o_orderkey", g.alias("g")).select(
+        "o_orderkey", F.col("g.total").alias("fulfilled_total"), F.col("g.priority").alias("fulfilled_priority"))
+
+
+@query("q_final_select", """
+SELECT 'BC-' || CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS INTEGER) AS customer_id,
+       o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(38,10)) AS DECIMAL(12,2)) AS total,
+       CAST(o_orderdate AS DATE) AS ordered_on
+FROM orders""")
+def q_final_select(spark, d):
+    o = table(spark, d, "orders")
+    return shape(o, [("order_id", F.concat(F.lit(rules.ID_PREFIX), F.col("o_orderkey").cast("string")), "string"),
+                     ("customer_id", "o_custkey", "int"), ("status", "o_orderstatus"),
+                     ("total", "o_totalprice", "decimal(12,2)"), ("ordered_on", "o_orderdate", "date")])

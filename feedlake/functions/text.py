@@ -101,7 +101,7 @@ def query_param(col, name: str) -> Column:
 def safe_date(col, fmt: str | None = None) -> Column:
     """String to date; text that does not parse becomes null."""
     c = as_col(col)
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def _escape(s: str) -> str:

@@ -20,3 +20,53 @@ CHILD_FRIENDLY_TAG = "Child Friendly"
 OTHER_CATEGORY = "Other"
 PRICE_NIGHTS = 3
 # ------------------------------------------------------------------------
+
+# ---- sample rule tables (parameters) -------------------------------------
+# Flag -> keywords, matched as substrings of normalised text (U4).
+KEYWORD_LISTS = {
+    "is_all_inclusive_type": ["all inclusive", "allinclusive", "full board"],
+    "is_hotel_type": ["hotel", "resort", "motel", "inn "],
+    "is_promoting_escort": ["escort"],
+    "is_work_friendly": ["wifi", "desk", "workspace", "work "],
+    "is_business_travel": ["business", "conference", "meeting"],
+}
+
+# Flag -> keywords for the prose in the driver's documents table.
+DOC_KEYWORDS = {
+    "english_marker": ["the ", " and "],
+    "french_marker": [" le ", " les "],
+    "german_marker": [" der ", " und "],
+    "spanish_marker": [" el ", " los "],
+    "mentions_hotel": ["hotel", "resort"],
+}
+
+# Part-name keyword classes (regex alternation, first match wins).
+PART_CLASSES = [("Round part", ["ring", "plate", "gear"]), ("Gadget", ["widget", "gizmo"])]
+
+# Word slug -> category or list of categories (amenity synonyms shape).
+WORD_SYNONYMS = {
+    "the": "english", "and": ["english", "connector"], "der": "german",
+    "und": ["german", "connector"], "le": "french", "et": ["french", "connector"],
+    "el": "spanish", "y": ["spanish", "connector"], "de": ["french", "spanish"],
+    "la": ["french", "spanish"],
+}
+
+# Line codes -> display names (unknown codes are dropped).
+CODE_NAMES = {"R": "Returned item", "A": "Accepted", "F": "Filled", "O": "Open order"}
+
+# Accommodation-type code -> property type; property type -> category.
+PART_TYPE_TO_PROPERTY = {"ECONOMY": "Hostel", "SMALL": "Apartment", "MEDIUM": "Hotel",
+                         "PROMO": "Resort", "STANDARD": "Guest house"}
+PROPERTY_CATEGORY = {"Hotel": "Hotel", "Resort": "Hotel", "Apartment": "Apartment",
+                     "Hostel": "Hostel"}
+
+# Enabled locales: language name -> {code, disabled}.
+LOCALES = {
+    "English": {"code": "en", "disabled": False},
+    "French": {"code": "fr", "disabled": False},
+    "German": {"code": "de", "disabled": False},
+    "Spanish": {"code": "es", "disabled": True},
+}
+
+# Words kept by the meal-plan style array clean-up.
+MEAL_WORDS = ["the", "and", "of", "de", "la"]
