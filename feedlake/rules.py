@@ -70,3 +70,33 @@ LOCALES = {
 
 # Words kept by the meal-plan style array clean-up.
 MEAL_WORDS = ["the", "and", "of", "de", "la"]
+
+# ---- sample reference lookups (parameters; built from a rule) -------------
+THEMES = {i: {"name": {"en-us": n}} for i, n in enumerate(["Beach", "City", "Family", "Ski", "Wellness"])}
+
+FACILITY_TYPE_NAMES = ["general_services", "food_and_drink", "wellness", "outdoors"]
+FACILITY_TYPES = {
+    i: {"name": {"en-us": n, "fr": n.upper() if i % 2 == 0 else None, "fallback": n}}
+    for i, n in enumerate(FACILITY_TYPE_NAMES)
+}
+
+# Facility i (0-19) belongs to type i % 4; French names only for even ids,
+# German only below 10, no names at all for id 19.
+FACILITIES = {
+    i: {"facility_type": i % 4,
+        "name": ({} if i == 19 else {"en-us": f"Facility {i}", "fr": f"Equipement {i}" if i % 2 == 0 else None,
+                                     "de": f"Ausstattung {i}" if i < 10 else "", "fallback": f"Facility {i}"})}
+    for i in range(20)
+}
+
+# Amenity slug (per-character slug of the English name) -> category or categories.
+AMENITY_SYNONYMS = {f"facility-{i}": (["Comfort", "Services"] if i % 3 == 0 else "Comfort" if i % 3 == 1 else "Leisure")
+                    for i in range(0, 20, 2)}
+
+BED_TYPES = {0: {"name": {"en-us": "Single bed", "fr": "Lit simple", "es": "Cama individual", "de": "Einzelbett"}},
+             1: {"name": {"en-us": "Double bed", "fr": "Lit double", "de": "Doppelbett"}},
+             2: {"name": {"en-us": "Sofa bed"}}}
+
+# Label -> keywords over normalised "name type category" text.
+CATEGORY_RULES = {"Budget": ["hostel", "dormitory"], "Family": ["apartment", "house", "condo"],
+                  "Luxury": ["resort", "suites"]}

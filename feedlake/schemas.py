@@ -35,7 +35,7 @@ COT = struct(("age", struct(("from", I), ("to", I))), ("price", D), ("type", S))
 PHOTO = struct(("url", struct(("standard", S))), ("main_photo", B))
 
 DETAILS = struct(
-    ("id", L), ("name", TEXT), ("accommodation_type", L), ("currency", S), ("url", S),
+    ("id", L), ("name", TEXT), ("accommodation_type", S), ("currency", S), ("url", S),
     ("brands", T.ArrayType(L)), ("themes", T.ArrayType(I)),
     ("facilities", T.ArrayType(struct(("id", L)))),
     ("location", struct(("country", S), ("city", L), ("postal_code", S),
