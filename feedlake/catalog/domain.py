@@ -444,3 +444,178 @@ FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')""")
 def d_new_locations(spark, d):
     _, new_rows = _location_finished(spark, d)
     return new_rows.withColumn("parent_path", F.array_join("parent_path", "/"))
+
+
+# ------------------------------------------------------------- localisation
+
+_LANGS = f"langs AS (SELECT unnest({_lst(rules.LANGUAGES)}) AS language_code)"
+_LL = f"""
+ll AS (
+  SELECT l.*, language_code,
+         CASE WHEN language_code IN ('en-us', 'en-gb') THEN 'en' ELSE language_code END AS locale_code,
+         CASE WHEN language_code IN ('en-us', 'en-gb') THEN property_name
+              WHEN language_code = 'fr' THEN 'fr ' || name_en0
+              WHEN language_code = 'es' THEN CASE WHEN s % 2 = 0 THEN 'es ' || name_en0 END
+              WHEN language_code = 'de' THEN 'de ' || name_en0 END AS lname,
+         CASE WHEN (CASE WHEN dlang = 'en' THEN 'en-us' ELSE dlang END) = language_code THEN md5(dtext) END AS description_md5,
+         CASE language_code WHEN 'en-us' THEN '  Quiet hours ' || CAST(s AS VARCHAR) || ' '
+                            WHEN 'fr' THEN CASE WHEN s % 3 = 0 THEN 'Calme' END END AS other_policy,
+         CASE language_code WHEN 'en-us' THEN CAST(s AS VARCHAR) || ' Main St'
+                            WHEN 'fr' THEN CAST(s AS VARCHAR) || ' rue Principale'
+                            WHEN 'de' THEN CASE WHEN s % 2 = 0 THEN CAST(s AS VARCHAR) || ' Hauptstr.' END END AS address
+  FROM l, langs)"""
+
+
+def localized_listing(spark, d):
+    ref = A.reference(spark)
+    df = listing(spark, d).transform(P.property_name).transform(lambda x: P.property_types(x, ref))
+    df = df.transform(P.url_and_licence).transform(lambda x: P.amenities(x, ref)).transform(P.policies)
+    return LZ.localize_codes(df), ref
+
+
+@query("d_localize_text", f"""
+WITH {BASE}, {_LANGS}, {_LL}
+SELECT id, language_code, locale_code, lname AS localize_property_name, description_md5, other_policy,
+       lower(regexp_replace(trim(lname), '[^a-zA-Z0-9]+', '-', 'g')) AS localize_property_slug, address
+FROM ll""")
+def d_localize_text(spark, d):
+    df, _ = localized_listing(spark, d)
+    df = df.transform(LZ.localize_text).transform(lambda x: LZ.localize_slug(x, RUN_DATE)).transform(LZ.address)
+    return df.select("id", "language_code", "locale_code", "localize_property_name",
+                     F.md5("localize_property_description").alias("description_md5"),
+                     F.get_json_object("localize_policies", "$.other_policy").alias("other_policy"),
+                     "localize_property_slug", "address")
+
+
+def _facility_rows_sql():
+    rows = []
+    for fid, v in rules.FACILITIES.items():
+        names = v.get("name") or {}
+        for lang in rules.LANGUAGES:
+            rows.append((fid, v["facility_type"], lang, names.get(lang), names.get("fallback")))
+    return _values(rows, ["fid", "ftype", "lang", "raw", "fb"])
+
+
+def _type_rows_sql():
+    rows = []
+    for tid, v in rules.FACILITY_TYPES.items():
+        for lang in rules.LANGUAGES:
+            rows.append((tid, lang, v["name"].get(lang), v["name"].get("fallback")))
+    return _values(rows, ["tid", "lang", "raw", "fb"])
+
+
+_FEATURES = f"""
+fac AS (SELECT fid, ftype, lang, trim(coalesce(nullif(raw, ''), fb, '')) AS name FROM {_facility_rows_sql()}),
+fac2 AS (SELECT * FROM fac WHERE name <> ''),
+typ AS (SELECT tid, lang, trim(coalesce(nullif(raw, ''), fb, '')) AS type_name FROM {_type_rows_sql()}),
+typ2 AS (SELECT * FROM typ WHERE type_name <> ''),
+grp AS (SELECT ftype, lang, string_agg(DISTINCT name, chr(10) ORDER BY name) AS fdescription FROM fac2 GROUP BY ftype, lang),
+feat AS (SELECT fac2.fid, fac2.lang, replace(typ2.type_name, '_', ' ') AS fname, grp.fdescription
+         FROM fac2 JOIN grp ON grp.ftype = fac2.ftype AND grp.lang = fac2.lang
+                   JOIN typ2 ON typ2.tid = fac2.ftype AND typ2.lang = fac2.lang),
+lf AS (SELECT DISTINCT l.k, langs.language_code, unnest([l.s % 25, (l.s + 7) % 25]) AS fid FROM l, langs),
+items AS (SELECT DISTINCT lf.k, lf.language_code, fname, fdescription
+          FROM lf JOIN feat ON feat.fid = lf.fid AND feat.lang = lf.language_code),
+fsum AS (SELECT k, language_code,
+                string_agg(fname || ':' || replace(fdescription, chr(10), '|'), ';' ORDER BY fname, fdescription) AS feature_summary
+         FROM items GROUP BY k, language_code)"""
+
+
+def _summary_text(c):
+    return F.array_join(F.transform(F.coalesce(c, F.array()), lambda x: F.concat(
+        x["name"], F.lit(":"), F.regexp_replace(x["description"], "\n", "|"))), ";")
+
+
+@query("d_feature_summary", f"""
+WITH {BASE}, {_LANGS}, {_FEATURES}
+SELECT l.id, langs.language_code, coalesce(fsum.feature_summary, '') AS feature_summary
+FROM l CROSS JOIN langs LEFT JOIN fsum ON fsum.k = l.k AND fsum.language_code = langs.language_code""")
+def d_feature_summary(spark, d):
+    ref = A.reference(spark)
+    df = LZ.localize_codes(listing(spark, d).transform(P.url_and_licence))
+    df = LZ.feature_summary(df, ref)
+    return df.select("id", "language_code", _summary_text("feature_summary").alias("feature_summary"))
+
+
+def _type_name_sql(expr_id, lang):
+    rows = [(tid, lg, v["name"][lg]) for tid, v in rules.FACILITY_TYPES.items()
+            for lg in rules.LANGUAGES if v["name"].get(lg) is not None]
+    return f"(SELECT tn FROM {_values(rows, ['tid', 'lg', 'tn'])} x WHERE x.tid = {expr_id} AND x.lg = {lang})"
+
+
+def _bed_name_sql(expr_id, lang):
+    rows = [(bid, lg, v["name"][lg]) for bid, v in rules.BED_TYPES.items()
+            for lg in rules.LANGUAGES if v["name"].get(lg) is not None]
+    vals = _values(rows, ["bid", "lg", "bn"])
+    return (f"coalesce((SELECT bn FROM {vals} x WHERE x.bid = {expr_id} AND x.lg = {lang}), "
+            f"(SELECT bn FROM {vals} x WHERE x.bid = {expr_id} AND x.lg = 'en-us'))")
+
+
+@query("d_room_arrangement", f"""
+WITH {BASE}, {_LANGS},
+r AS (SELECT l.k, l.id, l.s, langs.language_code, unnest(range(1, l.s % 3 + 2)) AS i
+      FROM l, langs WHERE l.s % 6 <> 0),
+r2 AS (SELECT *, (s + i) % 4 AS t1, language_code IN ('en-us', 'en-gb') AS en FROM r)
+SELECT id, language_code, CAST(k * 10 + i AS VARCHAR) AS room_id,
+       CASE language_code WHEN 'en-us' THEN 'Room ' || CAST(i AS VARCHAR) WHEN 'fr' THEN 'Chambre ' || CAST(i AS VARCHAR)
+                          WHEN 'es' THEN CASE WHEN i = 1 THEN 'Habitacion' END
+                          WHEN 'de' THEN 'Zimmer ' || CAST(i AS VARCHAR) END AS room_name,
+       {_type_name_sql("(s + i) % 5", "language_code")} AS room_type,
+       concat_ws(',', {_bed_name_sql("t1", "language_code")} || ':' || CAST(i AS VARCHAR),
+                 CASE WHEN NOT (i = 1 AND t1 = 1) THEN {_bed_name_sql("1", "language_code")} || ':1' END) AS beds,
+       i % 2 = 0 AS cribs,
+       CASE WHEN en THEN (CASE s % 4 WHEN 0 THEN ''
+                                     WHEN 1 THEN 'https://img.example/' || CAST(k AS VARCHAR) || '/1.jpg'
+                                     ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '/1.jpg,https://img.example/' || CAST(k AS VARCHAR) || '/2.jpg' END)
+       END AS photos,
+       CASE WHEN en THEN 'wifi,floor-' || CAST(i AS VARCHAR) END AS attributes,
+       CASE WHEN en THEN CAST((s + i) % 3 AS VARCHAR) END AS bedrooms,
+       CASE WHEN en AND i <> 2 THEN CAST(i + s % 6 AS VARCHAR) END AS total_guests,
+       CAST(coalesce(CASE WHEN i <> 2 THEN CAST(s * i AS DOUBLE) / 2 END, 0.0) AS VARCHAR) AS size
+FROM r2""")
+def d_room_arrangement(spark, d):
+    df, ref = localized_listing(spark, d)
+    df = LZ.room_arrangement(df, ref).select("id", "language_code", F.explode("room_arrangement_arr_struct").alias("r"))
+    beds = F.array_join(F.transform("r.bed_options.configuration", lambda c: F.concat(
+        c["bed_type"], F.lit(":"), c["number_of_beds"].cast("string"))), ",")
+    return df.select("id", "language_code", F.col("r.id").alias("room_id"), F.col("r.name").alias("room_name"),
+                     F.col("r.room_type").alias("room_type"), beds.alias("beds"),
+                     F.col("r.bed_options.cribs_and_extra_beds").alias("cribs"),
+                     F.array_join("r.photos", ",").alias("photos"), F.array_join("r.attributes", ",").alias("attributes"),
+                     F.col("r.number_of_rooms.bedrooms").alias("bedrooms"),
+                     F.col("r.maximum_occupancy.total_guests").alias("total_guests"), F.col("r.size").alias("size"))
+
+
+def _locale_name_sql(expr):
+    whens = " ".join(f"WHEN {expr} = '{v['code']}' THEN '{k}'" for k, v in rules.LOCALES.items() if not v.get("disabled"))
+    return f"(CASE {whens} END)"
+
+
+@query("d_localized", f"""
+WITH {BASE}, {_LANGS}, {_LL}, {_FEATURES}, {_POL}
+SELECT ll.id AS property_id, CAST(11 AS INTEGER) AS feed, lname AS property_name, ll.property_type, ll.country_code,
+       {_locale_name_sql("locale_code")} AS language,
+       lower(regexp_replace(trim(lname), '[^a-zA-Z0-9]+', '-', 'g')) AS property_slug,
+       description_md5, other_policy AS policies_other,
+       CASE WHEN locale_code = 'en' THEN
+         CASE pol.pets WHEN 'yes' THEN 'Pets are allowed.'
+                       WHEN 'upon_request' THEN 'Pets are allowed upon request' ||
+                            CASE WHEN pol.mode IS NOT NULL THEN ' and ' || replace(pol.mode, '_', ' ') ELSE '.' END
+                       WHEN 'no' THEN 'Pets are not allowed.' END END AS policies_pet,
+       CAST(CASE WHEN ll.s % 6 <> 0 THEN ll.s % 3 + 1 END AS INTEGER) AS n_rooms, DATE '{RUN_DATE}' AS updated_at,
+       address, '' AS captions, '' AS area_description, true AS is_translated,
+       coalesce(fsum.feature_summary, '') AS feature_summary, '' AS display
+FROM ll LEFT JOIN fsum ON fsum.k = ll.k AND fsum.language_code = ll.language_code
+        LEFT JOIN pol ON pol.k = ll.k""")
+def d_localized(spark, d):
+    ref = A.reference(spark)
+    df = listing(spark, d).transform(P.property_name).transform(lambda x: P.property_types(x, ref))
+    df = df.transform(P.url_and_licence).transform(lambda x: P.amenities(x, ref)).transform(P.policies)
+    out = LZ.localize(df, ref, RUN_DATE)
+    return out.select("property_id", "feed", "property_name", "property_type", "country_code", "language",
+                      "property_slug", F.md5("property_description").alias("description_md5"),
+                      F.get_json_object("policies", "$.other_policy").alias("policies_other"),
+                      F.get_json_object("policies", "$.pet_policy").alias("policies_pet"),
+                      F.size("room_arrangement").alias("n_rooms"), "updated_at", "address", "captions",
+                      "area_description", "is_translated", _summary_text("feature_summary").alias("feature_summary"),
+                      "display")
