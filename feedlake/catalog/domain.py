@@ -619,3 +619,44 @@ def d_localized(spark, d):
                       F.size("room_arrangement").alias("n_rooms"), "updated_at", "address", "captions",
                       "area_description", "is_translated", _summary_text("feature_summary").alias("feature_summary"),
                       "display")
+
+
+# ---------------------------------------------------------- full listing
+
+@query("d_listing", f"""
+WITH {BASE}, {AMEN}, {_POL}, {_RATING}, {_ROOMS}, {_FRESH},
+rooms_agg AS (SELECT k, CAST(sum(bed) AS BIGINT) AS bedroom_count FROM rb GROUP BY k),
+sc AS (SELECT doc_id, CAST(CASE WHEN toxic = 1 THEN 0.0 ELSE quality * 6.5 + 2.25 END AS FLOAT) AS new_score,
+              CAST(quality * 10 + toxic AS INTEGER) AS new_count FROM labels),
+m AS (SELECT o_orderkey, list_concat(coalesce({_MEALS}, []),
+                                     coalesce(CASE WHEN o_orderstatus = 'F' THEN ['dinner', 'BREAKFAST'] END, [])) AS meals
+      FROM orders)
+SELECT pol.id, pol.property_name,
+       CASE WHEN regexp_matches(lower(pol.property_name), '{"|".join(rules.SHARED_ROOM_KEYWORDS)}') THEN 'Shared room'
+            WHEN regexp_matches(lower(pol.property_name), '{"|".join(rules.SHARED_SPACE_KEYWORDS)}') THEN 'Shared space'
+       END AS room_type,
+       pol.property_type_category, rt.star_rating,
+       coalesce(CASE WHEN new_score <> 0 THEN new_score END, rt.review_score) AS review_score,
+       coalesce(CASE WHEN new_count <> 0 THEN new_count END, rt.number_of_review) AS number_of_review,
+       pol.s >= 3 AS published, CAST(CASE pol.s % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS INTEGER) AS n_images,
+       rooms_agg.bedroom_count, CAST(1 AS INTEGER) AS min_stay,
+       array_to_string(list_sort(CASE WHEN age = 0 THEN list_distinct(list_append(coalesce(amc.cats, []), 'Child Friendly'))
+                                      ELSE coalesce(amc.cats, []) END), ',') AS amenity_categories,
+       r_name AS chain_name,
+       nullif(array_to_string(list_sort(list_distinct(list_transform(m.meals, lambda x: upper(x[1:1]) || lower(x[2:])))), ','), '')
+         AS meal_plan,
+       coalesce({sql_round("fr.f")}, 0) AS usd_price
+FROM pol LEFT JOIN amc ON amc.k = pol.k LEFT JOIN rt ON rt.k = pol.k LEFT JOIN rooms_agg ON rooms_agg.k = pol.k
+         LEFT JOIN sc ON sc.doc_id = pol.k LEFT JOIN nation ON n_nationkey = pol.brand
+         LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN m ON m.o_orderkey = pol.k
+         LEFT JOIN fr ON fr.fk = pol.k""")
+def d_listing(spark, d):
+    from feedlake.plans.run import details
+    ref = A.reference(spark)
+    df, _ = details(listing(spark, d), ref, A.scores_feed(spark, d), A.chains_feed(spark, d), A.search_feed(spark, d),
+                    None, RUN_DATE)
+    return df.select("id", "property_name", "room_type", "property_type_category", "star_rating", "review_score",
+                     "number_of_review", "published", F.size("images").alias("n_images"), "bedroom_count", "min_stay",
+                     sorted_text("amenity_categories").alias("amenity_categories"),
+                     F.col("chain_and_brand.chain_name").alias("chain_name"),
+                     sorted_text("meal_plan").alias("meal_plan"), "usd_price")

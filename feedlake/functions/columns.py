@@ -27,7 +27,7 @@ def localized(col, lang) -> Column:
     a literal code or a column holding the code per row."""
     c = as_col(col)
     key = F.lit(lang) if isinstance(lang, str) else lang
-    return c.getItem(key)
+    return c[key]
 
 
 def default(col, value) -> Column:

@@ -16,7 +16,12 @@ def merge_by_key(existing: DataFrame, changes: DataFrame, keys, order=None) -> D
     occurs once.  ``changes`` is de-duplicated first (greatest ``order`` wins)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     changes = dedupe(changes, keys, order)
-    kept = existing.join(changes.select(*keys), keys, "left_anti")
+    ck = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    cond = None
+    for k in keys:   # null-safe: a null key part matches a null key part
+        c = existing[k].eqNullSafe(ck[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    kept = existing.join(ck, cond, "left_anti")
     return kept.unionByName(changes.select(*existing.columns))
 
 
