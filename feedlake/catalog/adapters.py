@@ -23,88 +23,96 @@ def _pick(values, idx):
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), idx + 1)
 
 
+def _arr(values) -> str:
+    return "array(" + ", ".join("CAST(NULL AS STRING)" if v is None else f"'{v}'" for v in values) + ")"
+
+
+_SUFFIXES = ["hostel", "flat", "suites", "house", "dormitory", "lodge", "condo"]
+_COUNTRIES = [" af", "am ", "xa", " eu", "mi", "as"]
+
+# The listing document of one part row, as Spark SQL expressions (parsed once
+# on the JVM side instead of being assembled call by call from Python).
+_ROOM = """named_struct(
+    'id', CAST(p_partkey * 10 + i AS BIGINT),
+    'name', map('en-us', concat('Room ', i), 'fr', concat('Chambre ', i),
+                'es', IF(i = 1, 'Habitacion', CAST(NULL AS STRING)), 'de', concat('Zimmer ', i)),
+    'room_type', CAST((p_size + i) % 5 AS BIGINT),
+    'size', IF(i != 2, CAST(p_size * i AS DOUBLE) / 2, CAST(NULL AS DOUBLE)),
+    'attributes', array('wifi', concat('floor-', i)),
+    'number_of_rooms', named_struct('bedrooms', (p_size + i) % 3, 'bathrooms', IF(i != 3, 1, CAST(NULL AS INT)),
+                                    'living_rooms', i % 2),
+    'maximum_occupancy', named_struct('adults', 2, 'children', i - 1,
+                                      'total_guests', IF(i != 2, i + p_size % 6, CAST(NULL AS INT))),
+    'cribs_and_extra_beds', named_struct('are_allowed', i % 2 = 0),
+    'bed_options', array(named_struct('bed_configurations', array(named_struct('configuration', array(
+        named_struct('bed_type', CAST((p_size + i) % 4 AS BIGINT), 'number_of_beds', i),
+        named_struct('bed_type', CAST(1 AS BIGINT), 'number_of_beds', 1)))))))"""
+
+_NAME_EN = f"concat(p_name, ' ', element_at({_arr(_SUFFIXES)}, p_size % 7 + 1))"
+
+LISTING_EXPRS = [
+    "p_partkey AS id",
+    f"""map('en-us', IF(p_size <= 45, {_NAME_EN}, CAST(NULL AS STRING)), 'fr', concat('fr ', {_NAME_EN}),
+            'es', IF(p_size % 2 = 0, concat('es ', {_NAME_EN}), CAST(NULL AS STRING)),
+            'de', concat('de ', {_NAME_EN})) AS name""",
+    "p_type AS accommodation_type",
+    "IF(p_size <= 40, 'EUR', CAST(NULL AS STRING)) AS currency",
+    """IF(p_size >= 3, concat('https://feed.example/hotel/', p_partkey, '.html?aid=', p_size, '&label=x'),
+          CAST(NULL AS STRING)) AS url""",
+    "array(CAST(regexp_extract(p_brand, '#(\\\\d+)', 1) AS BIGINT)) AS brands",
+    "array(p_size % 5, p_size % 7) AS themes",
+    "array(named_struct('id', CAST(p_size % 25 AS BIGINT)), named_struct('id', CAST((p_size + 7) % 25 AS BIGINT))) AS facilities",
+    f"""named_struct(
+        'country', element_at({_arr(_COUNTRIES)}, p_size % 6 + 1),
+        'city', CAST(p_size % 30 AS BIGINT),
+        'postal_code', IF(p_size % 4 = 0, '', concat('Z', p_size)),
+        'coordinates', named_struct('latitude', IF(p_size % 7 != 0, p_retailprice / 50, CAST(NULL AS DOUBLE)),
+                                    'longitude', p_size * 1.5D),
+        'address', map('en-us', concat(' ', p_size, ' Main St', char(0), ' '), 'fr', concat(p_size, ' rue Principale'),
+                       'de', IF(p_size % 2 = 0, concat(p_size, ' Hauptstr.'), CAST(NULL AS STRING)))) AS location""",
+    """named_struct('number_of_reviews', IF(p_size % 10 != 0, p_size * 3, CAST(NULL AS INT)),
+                    'stars', p_retailprice / 400,
+                    'review_score', IF(p_size % 9 != 0, p_retailprice / 210, CAST(NULL AS DOUBLE)),
+                    'preferred', IF(p_size % 3 != 0, p_size > 25, CAST(NULL AS BOOLEAN))) AS rating""",
+    """named_struct('checkin_from', concat(lpad(CAST(p_size % 24 AS STRING), 2, '0'), ':00'), 'checkin_to', '23:00',
+                    'checkout_from', '07:00', 'checkout_to', '11:00') AS checkin_checkout_times""",
+    """named_struct(
+        'text', IF(_dlang IS NOT NULL, map(IF(_dlang = 'en', 'en-us', _dlang), concat(_dtext, char(0))),
+                   CAST(NULL AS MAP<STRING, STRING>)),
+        'important_information', map('en-us', concat('  Quiet hours ', p_size, ' '),
+                                     'fr', IF(p_size % 3 = 0, 'Calme', CAST(NULL AS STRING))),
+        'license_numbers', IF(p_size % 3 = 0, array(concat('LIC-', p_partkey), concat('REG-', p_size)),
+                              CAST(NULL AS ARRAY<STRING>))) AS description""",
+    f"""named_struct(
+        'minimum_guest_age', p_size % 20,
+        'minimum_checkin_age', IF(p_size > 10, 18, CAST(NULL AS INT)),
+        'maximum_checkin_age', IF(p_size > 40, 99, CAST(NULL AS INT)),
+        'pets', named_struct('allowed', element_at({_arr(["yes", "no", "upon_request"])}, p_size % 3 + 1),
+                             'charge_mode', IF(p_size % 2 = 0, 'may_apply', CAST(NULL AS STRING))),
+        'cots_and_extra_beds', IF(p_size % 5 != 0, array(named_struct(
+            'age', named_struct('from', p_size % 3, 'to', p_size % 13),
+            'price', IF(p_size % 2 = 1, p_retailprice / 100, CAST(NULL AS DOUBLE)), 'type', 'crib')),
+            CAST(NULL AS ARRAY<STRUCT<age: STRUCT<`from`: INT, `to`: INT>, price: DOUBLE, type: STRING>>))
+      ) AS policies""",
+    """named_struct('methods', named_struct('cash', IF(p_size % 4 != 0, p_size % 2 = 0, CAST(NULL AS BOOLEAN)))) AS payment""",
+    """IF(p_size % 4 > 0, transform(sequence(1, p_size % 4), i -> named_struct(
+          'url', named_struct('standard', IF(i != 3, concat('https://img.example/', p_partkey, '/', i, '.jpg'),
+                                             CAST(NULL AS STRING))),
+          'main_photo', i = 2)),
+        array()) AS photos""",
+    f"IF(p_size % 6 != 0, transform(sequence(1, p_size % 3 + 1), i -> {_ROOM}), array()) AS rooms",
+]
+
+
 def listing_feed(spark, d) -> DataFrame:
+    """Listing documents (schemas.DETAILS) from part, with the description of
+    the document sharing the part's key."""
     part = table(spark, d, "part")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("p_partkey"), F.col("lang").alias("_dlang"),
                                                F.col("text").alias("_dtext"))
-    p = part.join(docs, "p_partkey", "left")
-    size, key, price = F.col("p_size"), F.col("p_partkey"), F.col("p_retailprice")
-    suffix = _pick(["hostel", "flat", "suites", "house", "dormitory", "lodge", "condo"], size % 7)
-    name_en = F.concat(F.col("p_name"), F.lit(" "), suffix)
-    name = F.create_map(F.lit("en-us"), F.when(size <= 45, name_en),
-                        F.lit("fr"), F.concat(F.lit("fr "), name_en),
-                        F.lit("es"), F.when(size % 2 == 0, F.concat(F.lit("es "), name_en)),
-                        F.lit("de"), F.concat(F.lit("de "), name_en))
-    photos = F.when(size % 4 > 0, F.transform(F.sequence(F.lit(1), size % 4), lambda i: F.struct(
-        F.struct(F.when(i != 3, F.concat(F.lit("https://img.example/"), key.cast("string"), F.lit("/"),
-                                         i.cast("string"), F.lit(".jpg"))).alias("standard")).alias("url"),
-        (i == 2).alias("main_photo")))).otherwise(F.array())
-
-    def room(i):
-        bed = lambda t, n: F.struct(t.cast("long").alias("bed_type"), n.cast("int").alias("number_of_beds"))
-        return F.struct(
-            (key * 10 + i).cast("long").alias("id"),
-            F.create_map(F.lit("en-us"), F.concat(F.lit("Room "), i.cast("string")),
-                         F.lit("fr"), F.concat(F.lit("Chambre "), i.cast("string")),
-                         F.lit("es"), F.when(i == 1, F.lit("Habitacion")),
-                         F.lit("de"), F.concat(F.lit("Zimmer "), i.cast("string"))).alias("name"),
-            ((size + i) % 5).cast("long").alias("room_type"),
-            F.when(i != 2, (size * i).cast("double") / 2).alias("size"),
-            F.array(F.lit("wifi"), F.concat(F.lit("floor-"), i.cast("string"))).alias("attributes"),
-            F.struct(((size + i) % 3).alias("bedrooms"), F.when(i != 3, F.lit(1)).alias("bathrooms"),
-                     (i % 2).alias("living_rooms")).alias("number_of_rooms"),
-            F.struct(F.lit(2).alias("adults"), (i - 1).alias("children"),
-                     F.when(i != 2, i + size % 6).alias("total_guests")).alias("maximum_occupancy"),
-            F.struct((i % 2 == 0).alias("are_allowed")).alias("cribs_and_extra_beds"),
-            F.array(F.struct(F.array(F.struct(F.array(bed((size + i) % 4, i), bed(F.lit(1), F.lit(1)))
-                                              .alias("configuration"))).alias("bed_configurations"))).alias("bed_options"))
-
-    rooms = F.when(size % 6 != 0, F.transform(F.sequence(F.lit(1), size % 3 + 1), room)).otherwise(F.array())
-    doc_lang = F.when(F.col("_dlang") == "en", F.lit("en-us")).otherwise(F.col("_dlang"))
-    return p.select(
-        key.alias("id"), name.alias("name"), F.col("p_type").alias("accommodation_type"),
-        F.when(size <= 40, F.lit("EUR")).alias("currency"),
-        F.when(size >= 3, F.concat(F.lit("https://feed.example/hotel/"), key.cast("string"), F.lit(".html?aid="),
-                                   size.cast("string"), F.lit("&label=x"))).alias("url"),
-        F.array(F.regexp_extract("p_brand", r"#(\d+)", 1).cast("long")).alias("brands"),
-        F.array(size % 5, size % 7).alias("themes"),
-        F.array(F.struct((size % 25).cast("long").alias("id")),
-                F.struct(((size + 7) % 25).cast("long").alias("id"))).alias("facilities"),
-        F.struct(
-            _pick([" af", "am ", "xa", " eu", "mi", "as"], size % 6).alias("country"),
-            (size % 30).cast("long").alias("city"),
-            F.when(size % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("Z"), size.cast("string"))).alias("postal_code"),
-            F.struct(F.when(size % 7 != 0, price / 50).alias("latitude"), (size * 1.5).alias("longitude")).alias("coordinates"),
-            F.create_map(F.lit("en-us"), F.concat(F.lit(" "), size.cast("string"), F.lit(" Main St"), F.lit(NUL), F.lit(" ")),
-                         F.lit("fr"), F.concat(size.cast("string"), F.lit(" rue Principale")),
-                         F.lit("de"), F.when(size % 2 == 0, F.concat(size.cast("string"), F.lit(" Hauptstr."))))
-            .alias("address")).alias("location"),
-        F.struct(F.when(size % 10 != 0, size * 3).alias("number_of_reviews"), (price / 400).alias("stars"),
-                 F.when(size % 9 != 0, price / 210).alias("review_score"),
-                 F.when(size % 3 != 0, size > 25).alias("preferred")).alias("rating"),
-        F.struct(F.concat(F.lpad((size % 24).cast("string"), 2, "0"), F.lit(":00")).alias("checkin_from"),
-                 F.lit("23:00").alias("checkin_to"), F.lit("07:00").alias("checkout_from"),
-                 F.lit("11:00").alias("checkout_to")).alias("checkin_checkout_times"),
-        F.struct(
-            F.when(F.col("_dlang").isNotNull(), F.create_map(doc_lang, F.concat(F.col("_dtext"), F.lit(NUL)))).alias("text"),
-            F.create_map(F.lit("en-us"), F.concat(F.lit("  Quiet hours "), size.cast("string"), F.lit(" ")),
-                         F.lit("fr"), F.when(size % 3 == 0, F.lit("Calme"))).alias("important_information"),
-            F.when(size % 3 == 0, F.array(F.concat(F.lit("LIC-"), key.cast("string")),
-                                          F.concat(F.lit("REG-"), size.cast("string")))).alias("license_numbers"),
-        ).alias("description"),
-        F.struct(
-            (size % 20).alias("minimum_guest_age"), F.when(size > 10, F.lit(18)).alias("minimum_checkin_age"),
-            F.when(size > 40, F.lit(99)).alias("maximum_checkin_age"),
-            F.struct(_pick(["yes", "no", "upon_request"], size % 3).alias("allowed"),
-                     F.when(size % 2 == 0, F.lit("may_apply")).alias("charge_mode")).alias("pets"),
-            F.when(size % 5 != 0, F.array(F.struct(
-                F.struct((size % 3).alias("from"), (size % 13).alias("to")).alias("age"),
-                F.when(size % 2 == 1, price / 100).alias("price"), F.lit("crib").alias("type"))))
-            .alias("cots_and_extra_beds"),
-        ).alias("policies"),
-        F.struct(F.struct(F.when(size % 4 != 0, size % 2 == 0).alias("cash")).alias("methods")).alias("payment"),
-        photos.alias("photos"), rooms.alias("rooms"),
-    )
+    from feedlake import schemas
+    out = part.join(docs, "p_partkey", "left").selectExpr(*LISTING_EXPRS)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.DETAILS.fields])
 
 
 def scores_feed(spark, d) -> DataFrame:

@@ -66,15 +66,6 @@ class Reference:
 
 
 def load_reference(spark: SparkSession, **lookups) -> Reference:
-    """Collect the run's lookups in one object (S6); the dict-valued ones also
-    become small frames for joins (``frames``)."""
-    ref = Reference(**{k: v for k, v in lookups.items() if k in Reference.__dataclass_fields__})
-    langs = ["en-us", "fr", "es", "de"]
-    if ref.facility_types:
-        ref.frames["facility_types"] = lookup_frame(spark, ref.facility_types, langs, "facility_type_id")
-    if ref.facilities:
-        ref.frames["facilities"] = lookup_frame(spark, ref.facilities, langs, "facility_id",
-                                                extra={"facility_type_id": "facility_type"})
-    if ref.bed_types:
-        ref.frames["bed_types"] = lookup_frame(spark, ref.bed_types, langs, "bed_type_id")
-    return ref
+    """Collect the run's lookups in one object (S6).  Frames for joins are built
+    where a plan needs them (``lookup_frame``), not eagerly."""
+    return Reference(**{k: v for k, v in lookups.items() if k in Reference.__dataclass_fields__})
