@@ -711,7 +711,10 @@ m AS (SELECT doc_id, string_agg(DISTINCT category, ',' ORDER BY category) AS cat
       FROM w JOIN s ON lower(regexp_replace(w.word, '[^a-zA-Z0-9]', '-', 'g')) = s.slug GROUP BY doc_id)
 SELECT d.doc_id, coalesce(m.categories, '') AS categories FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id""")
 def q_elem_lookup(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", slugify_all(F.split(F.lower("text"), r"\s+")).alias("slugs"))
+    # per-character slug of every word; slugging the whole text once (keeping
+    # whitespace) before splitting gives the same words as slugging each word
+    slugged = F.regexp_replace(F.lower("text"), r"[^a-zA-Z0-9\s]", "-")
+    docs = table(spark, d, "documents").select("doc_id", F.split(slugged, r"\s+").alias("slugs"))
     out = lookup_elements(docs, "doc_id", "slugs", rules.WORD_SYNONYMS, "categories", flatten_values=True)  # J5
     return out.select("doc_id", sorted_text("categories").alias("categories"))
 

@@ -29,8 +29,10 @@ def slugify(col, sep: str = "-", per_char: bool = False) -> Column:
 
 
 def normalize_text(col) -> Column:
-    """Drop everything but ASCII letters, digits and whitespace, then lower (F2)."""
-    return F.lower(F.regexp_replace(as_col(col), NORMALIZE_DROP, ""))
+    """Drop everything but ASCII letters, digits and whitespace, then lower (F2).
+    Runs of dropped characters are removed in one match (same result, fewer
+    replacements on long texts)."""
+    return F.lower(F.regexp_replace(as_col(col), NORMALIZE_DROP + "+", ""))
 
 
 def strip_nul(col) -> Column:

@@ -14,15 +14,23 @@ from pyspark.sql import functions as F
 from feedlake.operators.aggregates import dedupe
 
 # Upper bound on rows for a broadcast lookup side.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 200_000
+
+
+def at_most_rows(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has at most ``n`` rows.  A bounded probe: the zero-column
+    scan behind ``offset(n).isEmpty()`` reads partitions incrementally and stops
+    as soon as row n + 1 is seen, so a huge table is never counted in full."""
+    return df.select().offset(n).isEmpty()
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                     known_rows: int | None = None) -> DataFrame:
     """``F.broadcast(dim)`` when ``dim`` holds at most ``max_rows`` rows, else
-    ``dim`` unchanged so the planner shuffles both sides instead."""
-    n = known_rows if known_rows is not None else dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    ``dim`` unchanged so the planner shuffles both sides instead (AQE may still
+    convert the join at run time from measured sizes)."""
+    small = known_rows <= max_rows if known_rows is not None else at_most_rows(dim, max_rows)
+    return F.broadcast(dim) if small else dim
 
 
 def _keys(on):
@@ -124,7 +132,8 @@ def lookup_elements(df: DataFrame, key: str, array_col: str, dim, out: str,
             return df.withColumn(out, flat_distinct(looked))
         return df.withColumn(out, F.array_distinct(map_lookup(F.col(array_col), dim, key_type=None)))
 
-    elems = df.select(key, F.explode_outer(array_col).alias("_elem"))
+    from feedlake.operators.generators import explode_rows
+    elems = explode_rows(df.select(key, array_col), array_col, "_elem", outer=True).select(key, "_elem")  # G2
     right = sized_broadcast(dim.select(F.col(dim_key).alias("_elem"), F.col(value).alias("_val")))
     grouped = (elems.join(right, "_elem", "left")
                .groupBy(key)

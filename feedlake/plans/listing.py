@@ -274,13 +274,23 @@ def review_scores(df: DataFrame, scores: DataFrame) -> DataFrame:
 def property_flags(df: DataFrame, keyword_lists: dict) -> DataFrame:
     """Keyword flags over normalised text blobs, policy flags, and the
     ``property_flags`` struct.  Every flag is a non-null boolean."""
-    amen = F.array_join(F.coalesce("amenities", F.array().cast("array<string>")), " ")
-    desc = localized(F.col("description.text"), "en-us")
-    blobs = {
-        "c3": normalize_text(F.concat_ws(" ", "property_name", "property_type", amen)),
-        "c4": normalize_text(F.concat_ws(" ", "property_name", desc, "property_type", amen)),
-        "c5": normalize_text(F.concat_ws(" ", "property_name", desc, "property_type", amen, "policy.other_policy")),
+    # normalising drops characters one by one, so it distributes over the
+    # space-joined parts: each part (the description is the long one) is
+    # normalised once and the three text blobs are joined afterwards
+    parts = {
         "name": normalize_text(F.col("property_name")),
+        "desc": normalize_text(localized(F.col("description.text"), "en-us")),
+        "type": normalize_text(F.col("property_type")),
+        "amen": normalize_text(F.array_join(F.coalesce("amenities", F.array().cast("array<string>")), " ")),
+        "other": normalize_text(F.col("policy.other_policy")),
+    }
+    df = df.withColumns({f"_n_{k}": v for k, v in parts.items()})
+    n = lambda *ks: F.concat_ws(" ", *[F.col(f"_n_{k}") for k in ks])
+    blobs = {
+        "c3": n("name", "type", "amen"),
+        "c4": n("name", "desc", "type", "amen"),
+        "c5": n("name", "desc", "type", "amen", "other"),
+        "name": F.col("_n_name"),
     }
     target = {"is_all_inclusive_type": "c5", "is_hotel_type": "c3", "is_promoting_escort": "name"}
     df = df.withColumns({f"_{k}": v for k, v in blobs.items()})
@@ -296,7 +306,7 @@ def property_flags(df: DataFrame, keyword_lists: dict) -> DataFrame:
         "is_preferred": flag(F.col("is_preferred")),
     })
     df = df.withColumn("property_flags", F.struct(*[v.alias(k) for k, v in flags.items()]))
-    return df.drop(*[f"_{k}" for k in blobs])
+    return df.drop(*[f"_{k}" for k in blobs], *[f"_n_{k}" for k in parts])
 
 
 # D19

@@ -56,7 +56,11 @@ def usd_price(df: DataFrame, search: DataFrame, stored: DataFrame | None = None,
         stored = dedupe(stored, "feed_provider_id")
     resolved = resolve_price(stored, fresh, "feed_provider_id")
     history = price_history(df, search, resolved)
-    out = enrich_left(df, resolved.drop("from_search"), "feed_provider_id").fillna({"usd_price": 0})
+    # joined on the listing id like every other enrichment, so the wide listing
+    # frame keeps one hash partitioning by id across the details steps
+    prices = resolved.select(F.concat(F.lit(rules.ID_PREFIX), F.col("feed_provider_id").cast("string")).alias("id"),
+                             "usd_price")
+    out = enrich_left(df, prices, "id").fillna({"usd_price": 0})
     return out, history
 
 

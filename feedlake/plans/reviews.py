@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.operators import children_with_owner
+from feedlake.operators import children_with_owner, explode_rows
 
 
 def reviews(owners: DataFrame, feed: DataFrame) -> DataFrame:
     """One row per review with its owner's keys; reviews of unknown listings are
     dropped (an inner join).  ``owners`` holds id, feed_provider_id,
     country_code; ``feed`` holds id and the nested ``reviews`` array."""
-    exploded = feed.select(F.col("id").alias("feed_provider_id"), F.explode("reviews").alias("r"))
+    exploded = explode_rows(feed.select(F.col("id").alias("feed_provider_id"), "reviews"), "reviews", "r")  # G1
     fields = [f for f in ("language", "score", "summary", "negative", "positive", "reviewer", "date")
               if f in exploded.schema["r"].dataType.names]
     renames = {"language": "language_code", "date": "review_date"}

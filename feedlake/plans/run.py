@@ -15,7 +15,7 @@ from feedlake.plans import location as LOC
 from feedlake.plans import price as PR
 from feedlake.plans.reviews import reviews
 from feedlake.session import stage
-from feedlake.sources import read_feed, read_if_exists, upsert, write_worklist, append
+from feedlake.sources import read_feed, read_if_exists, upsert, write_worklist
 
 
 # D32
@@ -90,22 +90,25 @@ def prepare(spark: SparkSession, paths: FeedPaths) -> dict:
 
 # D35
 def run(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks | None = None) -> dict:
-    """The whole batch: read, enrich, localise, upsert.  Returns the output frames.
+    """The whole batch: read, enrich, localise, upsert.  Returns the output frames."""
+    return run_frames(spark, prepare(spark, paths), ref, run_date, sinks or Sinks())
+
+
+def run_frames(spark: SparkSession, feeds: dict, ref, run_date: str, sinks: Sinks, tag: str = "batch") -> dict:
+    """The run on already-read feeds (shared by the batch and streaming drivers).
 
     The enriched listing frame feeds three outputs, so it is staged once to
     the shared checkpoint folder (a lineage cut that also survives lost
     executors) and re-read by the localise, reviews and location branches.
     """
-    sinks = sinks or Sinks()
-    feeds = prepare(spark, paths)
     state = read_if_exists(spark, sinks.location_table, schemas.LOCATION)
     df, worklist = LOC.location_begin(feeds["details"], state)
     if sinks.worklist_path:
-        write_worklist(worklist, sinks.worklist_path)
+        write_worklist(worklist, f"{sinks.worklist_path.rstrip('/')}/{tag}")
     stored = read_if_exists(spark, sinks.price_state_table,
                             schemas.STORED_PRICE) if sinks.price_state_table else None
     df, history = details(df, ref, feeds["scores"], feeds["chains"], feeds["search"], stored, run_date)
-    df = stage(df, f"enriched_{run_date}")
+    df = stage(df, f"enriched_{run_date}_{tag}")
     review_rows = reviews(df.select("id", "feed_provider_id", "country_code"), feeds["reviews"])
     df, new_locations = LOC.location_finish(df, feeds["city_map"], feeds["country_map"], feeds["assigned"])
     df = P.property_name_fill(df)
@@ -117,6 +120,6 @@ def run(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks
     if sinks.reviews_table:
         upsert(review_rows, sinks.reviews_table, "id")
     if sinks.price_history_table:
-        append(history, sinks.price_history_table)
+        upsert(history, sinks.price_history_table, "id")
     return {"listings": df, "localized": localized, "new_locations": new_locations,
             "reviews": review_rows, "price_history": history, "worklist": worklist}

@@ -89,3 +89,20 @@ def test_independent_of_shuffle_partitions(spark):
     b = sorted(q(spark, SF_SMALL).collect())
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_append_and_worklist_sinks(spark, tmp_path):
+    from feedlake.sources import append, write_worklist
+    t = "t_append_prop"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    df = spark.range(5).withColumnRenamed("id", "k")
+    append(df, t)
+    append(df, t)
+    assert spark.table(t).count() == 10
+    write_worklist(df, str(tmp_path / "wl"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "wl")).count() == 5
+
+
+def test_at_most_rows(spark):
+    from feedlake.operators import at_most_rows
+    assert at_most_rows(spark.range(10), 10) and not at_most_rows(spark.range(11), 10)

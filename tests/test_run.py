@@ -39,3 +39,22 @@ def test_run_twice_is_stable(spark):
     assert again == first
     newloc = spark.table("rental_property_location")
     assert newloc.count() == newloc.select("id").distinct().count()
+
+
+def test_stream_matches_batch(spark):
+    from feedlake.streaming.feed_stream import start
+    root = tempfile.mkdtemp(prefix="feedlake-stream-")
+    d = SF_SMALL
+    feeds = {"details": A.listing_feed(spark, d), "review_scores": A.scores_feed(spark, d),
+             "search": A.search_feed(spark, d), "chains": A.chains_feed(spark, d), "reviews": A.reviews_feed(spark, d),
+             "city_map": A.city_map(spark, d), "country_map": A.country_map(spark, d)}
+    for name, df in feeds.items():
+        df.write.mode("overwrite").json(f"{root}/{name}")
+    paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds})
+    sinks = Sinks(localize_table="s_localize", location_table="s_location", price_state_table=None)
+    for t in ("s_localize", "s_location"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    q = start(spark, paths, A.reference(spark), RUN_DATE, sinks, name="t_stream")
+    q.awaitTermination(600)
+    got = spark.table("s_localize")
+    assert got.count() == feeds["details"].count() * 4
