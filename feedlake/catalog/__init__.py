@@ -26,8 +26,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# Tables whose rows feed CPU-heavy per-row work (whole-text regex, nested
+# listing documents).  When such a table scans as fewer splits than cores it is
+# spread over the cores; the other tables are read as they are (their work is
+# aggregation with a partial phase, where an extra exchange costs more).
+BALANCED = {"documents", "pages", "conversations", "part"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from feedlake.sources.feeds import read_table
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", None if name in BALANCED else 1)
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str):

@@ -14,6 +14,22 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, multiline: b
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
+def read_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """A parquet table, spread over at least ``min_partitions`` tasks.
+
+    Parquet splits by row group; a small table written as one row group scans
+    as one task, leaving the other cores idle for CPU-heavy text work.  Only
+    then is the scan round-robin repartitioned to the session's default
+    parallelism.  A large input has far more splits than cores and is read as
+    is, with no extra exchange.
+    """
+    df = spark.read.parquet(path)
+    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame of the given schema."""
     return spark.createDataFrame([], schema)
