@@ -253,9 +253,10 @@ def is_published(df: DataFrame) -> DataFrame:
 # D17
 def review_scores(df: DataFrame, scores: DataFrame) -> DataFrame:
     """Breakdown struct from the scores feed; score, half score and count are
-    replaced where the feed's value is non-null and non-zero."""
+    replaced where the feed's value is non-null and non-zero.  Feeds hold one
+    row per id (de-duplicated at ingestion, ``plans.run.prepare``)."""
     names = ["cleanliness", "comfort", "facilities", "free_wifi", "location", "staff", "value_for_money"]
-    s = dedupe(scores, "id").select(
+    s = scores.select(
         prefixed_id("id").alias("id"),
         F.struct(*[F.col(f"breakdown.{n}.score").cast("float").alias(n) for n in names]).alias("review_scores"),
         F.col("score").cast("float").alias("review_score_new"),
@@ -324,9 +325,10 @@ def chain_and_brand(df: DataFrame, chains: DataFrame) -> DataFrame:
 
 # D20
 def commission_and_meal_plan(df: DataFrame, search: DataFrame) -> DataFrame:
-    """Commission and products from search; meals title-cased and de-duplicated,
-    null when there are none.  Products without meals are ignored."""
-    s = dedupe(search, "id").select(prefixed_id("id").alias("id"), "commission", "products")
+    """Commission and products from search (one row per id); meals title-cased
+    and de-duplicated, null when there are none.  Products without meals are
+    ignored."""
+    s = search.select(prefixed_id("id").alias("id"), "commission", "products")
     out = enrich_left(df, s, "id")
     meals = F.col("products.policies.meal_plan.meals")
     return out.withColumn("meal_plan", empty_to_null(flat_distinct(meals, F.initcap)))

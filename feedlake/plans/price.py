@@ -11,8 +11,9 @@ from feedlake.operators import dedupe, enrich_left, match, reconcile
 
 
 def fresh_prices(search: DataFrame) -> DataFrame:
-    """Per-night USD price from the search feed: abs(round(book / 3, 2)), 0 when absent."""
-    return (dedupe(search, "id")
+    """Per-night USD price from the search feed (one row per id):
+    abs(round(book / 3, 2)), 0 when absent."""
+    return (search
             .select(F.col("id").alias("feed_provider_id"),
                     per_night(F.col("price.book"), rules.PRICE_NIGHTS).alias("search_usd_price"))
             .fillna({"search_usd_price": 0}))
@@ -67,7 +68,7 @@ def usd_price(df: DataFrame, search: DataFrame, stored: DataFrame | None = None,
 def price_history(df: DataFrame, search: DataFrame, resolved: DataFrame) -> DataFrame:
     """Price-history rows for changed prices: property id, search price struct,
     stay dates, feed, country and a repeatable row id (D22)."""
-    s = dedupe(search, "id").select(F.col("id").alias("feed_provider_id"), "price", "deep_link_url")
+    s = search.select(F.col("id").alias("feed_provider_id"), "price", "deep_link_url")
     hist = changed_price_history(resolved, s, "feed_provider_id")
     owners = df.select("feed_provider_id", F.col("id").alias("property_id"), "feed", "country_code")
     hist = match(hist, owners, "feed_provider_id")

@@ -56,6 +56,7 @@ class FeedPaths:
     city_map: str
     country_map: str
     assigned_locations: str | None = None
+    multiline: bool = True      # one JSON document per file (False: JSON Lines)
 
 
 @dataclass
@@ -73,7 +74,7 @@ class Sinks:
 
 def prepare(spark: SparkSession, paths: FeedPaths) -> dict:
     """Read every feed with its explicit schema and de-duplicate at ingestion."""
-    rd = lambda p, s: read_feed(spark, p, s)
+    rd = lambda p, s: read_feed(spark, p, s, multiline=paths.multiline)
     feeds = {
         "details": dedupe(rd(paths.details, schemas.DETAILS), "id"),
         "scores": dedupe(rd(paths.review_scores, schemas.REVIEW_SCORES), "id"),

@@ -28,7 +28,7 @@ def start(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sink
     query keeps polling the folder.
     """
     sinks = sinks or Sinks()
-    reader = spark.readStream.schema(schemas.DETAILS).option("multiLine", True)
+    reader = spark.readStream.schema(schemas.DETAILS).option("multiLine", paths.multiline)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     details = reader.json(paths.details)

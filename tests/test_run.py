@@ -19,8 +19,8 @@ def test_run_twice_is_stable(spark):
              "assigned_locations": A.assigned_locations(spark, d)}
     for name, df in feeds.items():
         df.write.mode("overwrite").json(f"{root}/{name}")
-    # read back: the files are one JSON document per line; multiLine accepts that too
-    paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds})
+    # Spark writes JSON Lines (one document per line), so multiLine is off here
+    paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds}, multiline=False)
     for t in ("rental_property_localize", "rental_property_location"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
     ref = A.reference(spark)
@@ -28,10 +28,10 @@ def test_run_twice_is_stable(spark):
     out = run(spark, paths, ref, RUN_DATE, sinks)
     loc = spark.table("rental_property_localize")
     n1 = loc.count()
-    assert n1 == out["listings"].count() * 4
+    assert n1 == feeds["details"].count() * 4
     assert loc.select("property_id", "language").distinct().count() == loc.filter(F.col("language").isNotNull()).count() \
         + loc.filter(F.col("language").isNull()).select("property_id").distinct().count()
-    assert spark.read.option("header", True).csv(f"{root}/worklist").count() > 0
+    assert spark.read.option("header", True).csv(f"{root}/worklist/batch").count() > 0
     first = sorted(map(tuple, loc.select("property_id", "language", "property_slug", "address").collect()), key=repr)
     run(spark, paths, ref, RUN_DATE, sinks)
     again = sorted(map(tuple, spark.table("rental_property_localize").select(
@@ -50,7 +50,7 @@ def test_stream_matches_batch(spark):
              "city_map": A.city_map(spark, d), "country_map": A.country_map(spark, d)}
     for name, df in feeds.items():
         df.write.mode("overwrite").json(f"{root}/{name}")
-    paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds})
+    paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds}, multiline=False)
     sinks = Sinks(localize_table="s_localize", location_table="s_location", price_state_table=None)
     for t in ("s_localize", "s_location"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
