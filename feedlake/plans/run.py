@@ -15,7 +15,7 @@ from feedlake.plans import location as LOC
 from feedlake.plans import price as PR
 from feedlake.plans.reviews import reviews
 from feedlake.session import stage
-from feedlake.sources import read_feed, read_if_exists, upsert, write_worklist
+from feedlake.sources import empty_like, read_feed, read_if_exists, upsert, write_worklist
 
 
 # D32
@@ -85,7 +85,7 @@ def prepare(spark: SparkSession, paths: FeedPaths) -> dict:
         "country_map": rd(paths.country_map, schemas.COUNTRY_MAP),
     }
     feeds["assigned"] = (rd(paths.assigned_locations, schemas.LOCATION) if paths.assigned_locations
-                         else spark.createDataFrame([], schemas.LOCATION))
+                         else empty_like(spark, schemas.LOCATION))
     return feeds
 
 

@@ -48,13 +48,16 @@ def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> No
     except Exception:  # catalog without row-level merge: staged swap
         pass
     existing = spark.table(table)
-    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+    tag = uuid.uuid4().hex[:8]
+    staging, previous = f"{table}__staging_{tag}", f"{table}__previous_{tag}"
     w = merge_by_key(existing, df, keys, order).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(staging)
-    spark.sql(f"DROP TABLE {table}")
+    # swap by renames; the old table is dropped only once the new one holds the name
+    spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {previous}")
 
 
 def append(df: DataFrame, table: str) -> None:

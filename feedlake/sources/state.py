@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedlake.operators.joins import restrict_to
+from feedlake.sources.feeds import empty_like
 
 
 def read_if_exists(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
@@ -19,7 +20,7 @@ def read_if_exists(spark: SparkSession, table: str, schema: T.StructType) -> Dat
         have = set(t.columns)
         return t.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                           for f in schema.fields])
-    return spark.createDataFrame([], schema)
+    return empty_like(spark, schema)
 
 
 def state_for_keys(state: DataFrame, keys: DataFrame, key: str = "id") -> DataFrame:

@@ -106,3 +106,33 @@ def test_append_and_worklist_sinks(spark, tmp_path):
 def test_at_most_rows(spark):
     from feedlake.operators import at_most_rows
     assert at_most_rows(spark.range(10), 10) and not at_most_rows(spark.range(11), 10)
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: dedupe, first-by-order and rollups stay
+    exact, and every aggregate runs with a partial (map-side) phase."""
+    from feedlake.operators import first_non_null, rollup_children
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+    d = dedupe(hot, "user_id", ["ts", "event_id"])
+    want = hot.filter(F.col("user_id") == -1).orderBy(F.col("ts").desc(), F.col("event_id").desc()).first()
+    got = d.filter(F.col("user_id") == -1).first()
+    assert got["event_id"] == want["event_id"]
+    r = rollup_children(hot, "user_id", sums=["value"], counts="n")
+    assert r.filter(F.col("user_id") == -1).first()["n"] == hot.filter(F.col("user_id") == -1).count()
+    f = hot.groupBy("user_id").agg(first_non_null("event_id", ["ts", "event_id"]).alias("first_event"))
+    for df in (d, r, f):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "partial_" in plan
+
+
+def test_read_feed_and_empty_like(spark, tmp_path):
+    from feedlake import schemas
+    from feedlake.sources import empty_like, read_feed, read_if_exists
+    e = empty_like(spark, schemas.LOCATION)
+    assert e.count() == 0 and e.schema == schemas.LOCATION
+    assert read_if_exists(spark, "no_such_table_xyz", schemas.LOCATION).schema == schemas.LOCATION
+    doc = '[{"id": 1, "name": "a", "brands": [{"id": 7, "name": "b"}]},\n {"id": 2, "name": "c", "brands": []}]'
+    (tmp_path / "chains.json").write_text(doc)
+    rows = read_feed(spark, str(tmp_path), schemas.CHAINS).orderBy("id").collect()
+    assert [(r["id"], len(r["brands"])) for r in rows] == [(1, 1), (2, 0)]
