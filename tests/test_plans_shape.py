@@ -48,3 +48,24 @@ def test_filters_and_columns_pushed_to_scan(spark, all_queries):
     plan = physical(all_queries["q_semi_state"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_mktsegment:string>" in plan
+
+
+def test_wide_listing_shuffled_once_at_scale(spark, all_queries):
+    """With automatic broadcasts off (as for inputs far above the threshold), the
+    enrichment joins of the details chain all key on ``id``: the wide listing
+    frame is hash-partitioned once and every later sort-merge join reuses that
+    partitioning, so only the narrow right sides are shuffled."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = all_queries["d_listing"](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = physical(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    smj_on_id = len(re.findall(r"SortMergeJoin \[id#\d+\], \[id#\d+\]", plan))
+    shuffles_on_id = len(re.findall(r"Exchange hashpartitioning\(id#\d+, \d+\)", plan))
+    assert smj_on_id >= 3
+    assert shuffles_on_id == smj_on_id + 1
