@@ -109,7 +109,7 @@ def run_frames(spark: SparkSession, feeds: dict, ref, run_date: str, sinks: Sink
     stored = read_if_exists(spark, sinks.price_state_table,
                             schemas.STORED_PRICE) if sinks.price_state_table else None
     df, history = details(df, ref, feeds["scores"], feeds["chains"], feeds["search"], stored, run_date)
-    df = stage(df, f"enriched_{run_date}_{tag}")
+    df = stage(df, f"enriched_{run_date}_{tag}", bucket_by="id")
     review_rows = reviews(df.select("id", "feed_provider_id", "country_code"), feeds["reviews"])
     df, new_locations = LOC.location_finish(df, feeds["city_map"], feeds["country_map"], feeds["assigned"])
     df = P.property_name_fill(df)

@@ -57,14 +57,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or current
 
 
-def stage(df, name: str):
+def stage(df, name: str, bucket_by: str | None = None, buckets: int | None = None):
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Cuts the lineage of a frame that several sinks consume, so a lost executor
-    re-reads the staged files instead of recomputing the whole plan.
+    re-reads the staged files instead of recomputing the whole plan.  With
+    ``bucket_by`` the files are written as a table bucketed (and sorted) by that
+    key, so later joins on the key read it co-located instead of shuffling the
+    staged rows again.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/stage/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not bucket_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = "stage_" + "".join(ch if ch.isalnum() else "_" for ch in name)
+    (df.write.mode("overwrite").option("path", path)
+       .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table))
+    return spark.table(table)

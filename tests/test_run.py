@@ -58,3 +58,21 @@ def test_stream_matches_batch(spark):
     q.awaitTermination(600)
     got = spark.table("s_localize")
     assert got.count() == feeds["details"].count() * 4
+
+
+def test_staged_frame_bucketed_by_id(spark):
+    from feedlake.session import stage
+    df = spark.range(1000).selectExpr("concat('BC-', id) AS id", "id % 7 AS v")
+    staged = stage(df, "t_bucket_probe", bucket_by="id", buckets=8)
+    other = spark.range(1000).selectExpr("concat('BC-', id) AS id", "id AS w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = staged.join(other, "id", "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    # only the other side is shuffled; the staged side is read co-located
+    assert plan.count("Exchange hashpartitioning") == 1
