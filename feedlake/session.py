@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="feedlake-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure the cluster's shared "
+                               "checkpoint folder; a machine-local folder would not survive executor loss")
+        current = tempfile.mkdtemp(prefix="feedlake-ckpt-")   # local runs only
     spark.sparkContext.setCheckpointDir(current)
     return spark.sparkContext.getCheckpointDir() or current
 
