@@ -97,8 +97,10 @@ def row_key(*business_keys, sep: str = "-") -> Column:
 
 
 def run_epoch(run_ts: str) -> Column:
-    """The run's timestamp as epoch seconds (F14); a parameter, not the clock."""
-    return F.unix_timestamp(F.lit(run_ts).cast("timestamp")).cast("long")
+    """The run's timestamp (UTC wall time) as epoch seconds (F14); a parameter,
+    not the clock.  The explicit zone makes it independent of the session's
+    time zone."""
+    return F.unix_seconds(F.lit(run_ts.strip() + "Z").cast("timestamp"))
 
 
 def run_date(value: str) -> Column:
