@@ -616,7 +616,7 @@ def d_localized(spark, d):
                       "property_slug", F.md5("property_description").alias("description_md5"),
                       F.get_json_object("policies", "$.other_policy").alias("policies_other"),
                       F.get_json_object("policies", "$.pet_policy").alias("policies_pet"),
-                      F.size("room_arrangement").alias("n_rooms"), "updated_at", "address", "captions",
+                      F.when(F.col("room_arrangement").isNotNull(), F.size("room_arrangement")).alias("n_rooms"), "updated_at", "address", "captions",
                       "area_description", "is_translated", _summary_text("feature_summary").alias("feature_summary"),
                       "display")
 
