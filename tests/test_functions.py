@@ -183,3 +183,28 @@ def test_reviews_orphans_dropped(spark):
                                  "id long, reviews array<struct<id:string, language:string>>")
     out = reviews(owners, feed).collect()
     assert [(r["id"], r["property_id"], r["feed"]) for r in out] == [("r1", "BC-1", 11)]
+
+
+def test_location_finish_country_display_and_name_fill(spark):
+    from feedlake.plans.location import location_finish
+    loc = {"country": "us", "city": 5, "postal_code": "", "coordinates": {"latitude": 1.5, "longitude": 2.0},
+           "address": None}
+    df = listing_row(spark, location=loc).select(
+        F.lit("BC-7").alias("id"), "location", F.lit("US").alias("country_code"),
+        *[F.lit(None).cast("string").alias(c) for c in ("location_id", "categories", "state", "state_abbr")],
+        F.lit(None).cast("array<string>").alias("parent_path"),
+        F.lit(None).cast("string").alias("property_name"), F.lit("Hotel").alias("property_type"))
+    cities = spark.createDataFrame([(5, "")], schemas.CITY_MAP)
+    countries = spark.createDataFrame([("US", "United States")], schemas.COUNTRY_MAP)
+    assigned = spark.createDataFrame([("BC-7", "L1", ["world"], "c", "", "TX")], schemas.LOCATION)
+    out, new_rows = location_finish(df, cities, countries, assigned)
+    r = P.property_name_fill(out).first()
+    assert (r["latlon"], r["zip_code"], r["country"], r["display"]) == ("1.5,2.0", None, "USA", "TX, USA")
+    assert r["location_id"] == "L1" and r["property_name"] == "Hotel in TX, USA"
+    assert new_rows.count() == 1
+    empty = out.withColumn("country", F.lit(None).cast("string")).withColumn("country_code", F.lit(""))
+    blank = empty.withColumn("state_abbr", F.lit(None).cast("string"))
+    from feedlake.functions import blank_to_null, first_nonblank, join_present
+    d = blank.select(blank_to_null(join_present(", ", first_nonblank("city"), first_nonblank("state", "state_abbr"),
+                                                first_nonblank("country", "country_code")))).first()[0]
+    assert d is None
