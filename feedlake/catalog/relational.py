@@ -8,18 +8,18 @@ from feedlake import rules
 from feedlake.catalog import RUN_DATE, RUN_TS, query, sql_initcap, sql_round, table, tables
 from feedlake.functions import (
     add_tag, blank_to_null, by_language, classify, clean_case, contains_any, constant_array,
-    default, empty_to_null, first_element, first_match, first_nonblank, flag, flat_distinct,
+    default, empty_to_null, first_nonblank, flag, flat_distinct,
     guarded, join_present, localized, map_lookup, matches_any, nested, normalize_text,
-    override_if, pack, pluck, pluck_flat, query_param, remap_code, replace_field, row_key,
+    override_if, pack, pluck, query_param, remap_code, replace_field, row_key,
     run_epoch, safe_date, sentence, slugify, slugify_all, sorted_text, sqft, strip_nul,
     humanize, before_first, to_type, struct_text, field, per_night, round_to, half,
 )
 from feedlake.operators import (
-    attach, attach_keep_left, children_with_owner, collect_distinct_structs, collect_sets,
-    collect_sorted, dedupe, distinct_elements, explode_path, explode_rows, fan_out,
+    attach, collect_distinct_structs, collect_sets, enrich_left,
+    collect_sorted, dedupe, distinct_elements, explode_path, fan_out,
     fill_defaults, fill_from, first_non_null, first_where_agg, join_first_element, join_state,
-    lookup_elements, lookup_left, lookup_left_on, match, only, reconcile, restrict_to,
-    rollup_children, row_counts, shape, sized_broadcast, stamp, with_constants,
+    lookup_elements, lookup_left, lookup_left_on, match,
+    rollup_children, row_counts, shape, stamp, with_constants,
 )
 from feedlake.sources import localized_rows, merge_by_key, sample
 
@@ -319,7 +319,6 @@ def q_math(spark, d):
 
 
 def half_value(c):
-    from feedlake.functions import half
     return half(c).alias("half_value")
 
 
@@ -533,12 +532,7 @@ def q_fill_twin(spark, d):
                            F.when(F.col("c_acctbal") > 1000, F.col("c_acctbal")).alias("acctbal"))
     twin = supplier.select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("name_twin"),
                            F.col("s_nationkey").alias("nationkey_twin"), F.col("s_acctbal").alias("acctbal_twin"))
-    return fill_from(enrich_left_(base, twin, "c_custkey"), "_twin", ["name", "nationkey", "acctbal"])   # P11
-
-
-def enrich_left_(df, other, key):
-    from feedlake.operators import enrich_left
-    return enrich_left(df, other, key)
+    return fill_from(enrich_left(base, twin, "c_custkey"), "_twin", ["name", "nationkey", "acctbal"])   # P11
 
 
 @query("q_first_elem_join", """
@@ -773,7 +767,7 @@ SELECT d.doc_id, d.lang || ',' || d.source || CASE WHEN l.quality = 1 THEN ',qua
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
 def q_array_union(spark, d):
     docs, labels = tables(spark, d, "documents", "labels")
-    df = enrich_left_(docs.select("doc_id", "lang", "source"), labels, "doc_id")
+    df = enrich_left(docs.select("doc_id", "lang", "source"), labels, "doc_id")
     tags = add_tag(F.array("lang", "source"), "quality", F.col("quality") == 1)                  # R6
     df = df.withColumn("tags", tags).withColumn("tags", add_tag("tags", "en", F.col("toxic") == 2))
     return df.select("doc_id", F.array_join("tags", ",").alias("tags"), F.size("tags").alias("n_tags"))
