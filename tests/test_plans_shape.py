@@ -69,3 +69,24 @@ def test_wide_listing_shuffled_once_at_scale(spark, all_queries):
     shuffles_on_id = len(re.findall(r"Exchange hashpartitioning\(id#\d+, \d+\)", plan))
     assert smj_on_id >= 3
     assert shuffles_on_id == smj_on_id + 1
+
+
+def test_localized_wide_rows_shuffled_once_at_scale(spark, all_queries):
+    """Localise path with automatic broadcasts off: the feature-summary map is
+    joined to the listing rows by id before the language fan-out, so the wide
+    rows cross one exchange (and the narrow per-id map the other)."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = all_queries["d_localized"](spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = physical(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"SortMergeJoin \[id#\d+\], \[id#\d+\], LeftOuter", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(id#\d+, \d+\)", plan)) == 2
+    # the language fan-out (Generate explode) sits above the join, not below it
+    join_at = plan.index("SortMergeJoin [id#")
+    assert "Generate explode([en-us" in plan[:join_at]   # the (constant-folded) language array
