@@ -47,3 +47,17 @@ def ascii_lower(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """Join rows to groups (one row a key, ``size`` rows each of ``total``) without a hot task.
+
+    Fewer than 1,000 keys can hold more than a thousandth of all rows, so those
+    groups are broadcast and their rows stay where they are; every other key is
+    small and is joined by a shuffle as usual.  ``rows`` and ``groups`` are read
+    more than once and should be staged.
+    """
+    large = F.col(size) * 1000 > F.lit(total)
+    hot = F.broadcast(groups.where(large))
+    rest = rows.join(F.broadcast(groups.where(large).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(groups.where(~large), key, how))

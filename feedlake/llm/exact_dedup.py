@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, stage
+from .common import ascii_lower, join_groups, stage
 
 BLOCK = 32768          # bits of one bitmap of bitmap_construct_agg
 K = 3                  # bits a row sets, all in one block
@@ -61,7 +61,8 @@ def possibly_repeated(prints: DataFrame, rows: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
     prints = stage(fingerprints(docs, id_col, text_col), "fingerprints")
-    marked = stage(possibly_repeated(prints, prints.count()), "marked")
+    total = prints.count()
+    marked = stage(possibly_repeated(prints, total), "marked")
     hexed = F.lower(F.hex("sha")).alias("text_sha256")
 
     alone = marked.where(~F.col("maybe")).select(
@@ -69,11 +70,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.lit(True).alias("kept"), hexed)
 
     rest = marked.where("maybe")
-    groups = rest.groupBy("sha").agg(F.max("doc_id").alias("keep_id"),
-                                     F.count(F.lit(1)).alias("group_size"))
-    # One row per text on the right: a hot text only makes the left side uneven,
-    # which the adaptive skew join splits.
-    repeated = rest.join(groups, "sha").select(
+    groups = stage(rest.groupBy("sha").agg(F.max("doc_id").alias("keep_id"),
+                                           F.count(F.lit(1)).alias("group_size")), "groups")
+    repeated = join_groups(rest, groups, "sha", "group_size", total).select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), hexed)
     return alone.unionByName(repeated)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, kd_shard, secret_scan, url_reputation
+from . import decontaminate, exact_dedup, kd_shard, secret_scan, url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
@@ -34,11 +34,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shard": op1_kd_shard,
     "op4_url_reputation": op4_url_reputation,
     "op5_secret_ownership": op5_secret_ownership,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
 }
 
 ORACLE: dict[str, str] = {

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage
+from .common import join_groups, stage
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -69,12 +69,13 @@ def spans_of(found: DataFrame) -> DataFrame:
 
 
 def ownership(spans: DataFrame) -> DataFrame:
-    """Per value hash: repos and owners that carry it."""
+    """Per value hash: repos and owners that carry it, and its number of spans."""
     # Distinct triples, then counts per owner, then per value: every step combines
     # map-side and a hot value is spread over its (owner, document) pairs first.
-    per_owner = (spans.select("value", "owner", "doc_id").distinct()
-                 .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos")))
-    return per_owner.groupBy("value").agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"))
+    per_owner = (spans.groupBy("value", "owner", "doc_id").agg(F.count(F.lit(1)).alias("spans"))
+                 .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("spans").alias("spans")))
+    return per_owner.groupBy("value").agg(F.sum("repos").alias("repos"), F.count(F.lit(1)).alias("owners"),
+                                          F.sum("spans").alias("spans"))
 
 
 def _text(spans: Column) -> Column:
@@ -96,9 +97,8 @@ def scan_secrets(docs: DataFrame, *, max_repos: int = 5, id_col: str = "doc_id",
     live = (F.col("owners") == 1) & (F.col("repos") <= max_repos)
     base = F.col("kind") != LIVE
     place = F.struct("start", "kind", "end")
-    # Right side: one row a value.  A hot value makes the left side uneven, which
-    # the adaptive skew join splits; the spans of a row then meet by row.
-    per_row = (spans.join(ownership(spans), "value").groupBy("row").agg(
+    owned = stage(ownership(spans), "ownership")
+    per_row = (join_groups(spans, owned, "value", "spans", spans.count()).groupBy("row").agg(
         F.sort_array(F.collect_list(F.when(base | live, place))).alias("all"),
         F.sort_array(F.collect_list(F.when(base, place))).alias("base"),
         F.size(F.collect_set(F.when(live, F.col("value")))).cast("long").alias("n_live"),

@@ -18,7 +18,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stage
+from .common import join_groups, stage
 
 MAX_RULES = 1000
 
@@ -79,12 +79,12 @@ def _posterior(groups: DataFrame, strength: float) -> DataFrame:
 
 
 def host_reputation(outcomes: DataFrame, *, z: float = 1.645) -> DataFrame:
-    """Posterior of every host in ``outcomes`` (host, bad: boolean or null): host, n, mean, lower.
+    """Posterior of every host in ``outcomes`` (host, bad: boolean or null): host, pages, n, mean, lower.
 
     ``lower`` is the mean less ``z`` posterior standard deviations.
     """
     hosts = stage(outcomes.groupBy("host").agg(
-        F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
+        F.count(F.lit(1)).alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
         .withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host"))), "hosts")
     total = hosts.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
     base = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1)
@@ -98,7 +98,7 @@ def host_reputation(outcomes: DataFrame, *, z: float = 1.645) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     sd = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     return _posterior(below, _strength(below)).select(
-        "host", "n", "mean", F.greatest(F.col("mean") - z * sd, F.lit(0.0)).alias("lower"))
+        "host", "pages", "n", "mean", F.greatest(F.col("mean") - z * sd, F.lit(0.0)).alias("lower"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], *, threshold: float = 0.35,
@@ -113,14 +113,12 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], *,
     parts = stage(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")), "parts")
     labels = outcomes.select(F.col(outcome_id).alias("page_id"), F.col(bad_col).alias("bad"))
     seen = parts.select("page_id", "host").join(labels, "page_id", "left")
-    reputation = host_reputation(seen)
+    reputation = stage(host_reputation(seen), "reputation")
     rule = longest_rule(F.col("host"), F.col("path"), list(rules))
     of_rule = F.lit(None).cast("string")
     for r, verdict in rules.items():
         of_rule = F.when(F.col("rule") == r, F.lit(verdict)).otherwise(of_rule)
     own = F.when(F.col("lower") > threshold, "block").otherwise("allow")
-    # One row per host on the right; a hot host only makes the left side uneven,
-    # which the adaptive skew join splits.
-    return (parts.join(reputation, "host", "left").withColumn("rule", rule)
+    return (join_groups(parts, reputation, "host", "pages", parts.count(), "left").withColumn("rule", rule)
             .select("page_id", "host", "path", "rule", F.coalesce(of_rule, own).alias("verdict"),
                     F.col("mean").alias("host_rate"), F.col("lower").alias("host_lower")))
