@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, kd_shard, secret_scan, url_reputation
+from . import decontaminate, exact_dedup, kd_shard, pack, secret_scan, url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shard.kd_shards(table(spark, sf_dir, "documents"), ["source", "lang", "n_chars"], shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -34,6 +39,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -45,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_reputation": op4_url_reputation,
     "op5_secret_ownership": op5_secret_ownership,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_nnls_packing": op7_nnls_packing,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
 }
 
