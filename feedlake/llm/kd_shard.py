@@ -55,12 +55,14 @@ def measured(docs: DataFrame, dims: list[str], id_col: str = "doc_id", text_col:
         *[coordinate(docs, c).alias(f"d{i}") for i, c in enumerate(dims)])
 
 
-def _lookup(df: DataFrame, rows: list[dict], schema: str) -> DataFrame:
-    """Join the tree's current level (at most one row per leaf, so its size is bounded) by node."""
-    spark = df.sparkSession
-    level = (spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r"))
-             .select("r.*"))
-    return df.join(F.broadcast(level), "node")
+def _lookup(df: DataFrame, rows: list[dict], schema: str, how: str = "inner") -> DataFrame:
+    """Add the columns of one tree level (at most one row per leaf, so its size is bounded) by node."""
+    if [r["node"] for r in rows] == [1]:       # the root holds all rows: its values are literals
+        names = [f.split(":") for f in schema.split(",")[1:]]
+        return df.withColumns({n: F.lit(rows[0][n]).cast(kind) for n, kind in names})
+    level = (df.sparkSession.range(1)
+             .select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r")).select("r.*"))
+    return df.join(F.broadcast(level), "node", how)
 
 
 def _ranges(rows: DataFrame, n_dims: int) -> dict[int, dict]:
@@ -147,17 +149,13 @@ def route(rows: DataFrame, levels: list[list[dict]]) -> DataFrame:
     """Send rows down the tree; ``node`` is where they arrive."""
     n_dims = sum(c.startswith("d") and c[1:].isdigit() for c in rows.columns)
     out = rows.withColumn("node", F.lit(1).cast("long"))
+    at = F.element_at(F.array(*[F.col(f"d{i}") for i in range(n_dims)]), F.col("dim") + 1)
+    left = (at < F.col("cut")) | ((at == F.col("cut")) & (F.col("tie") < F.col("tie_cut")))
     for level in levels:
-        spark = rows.sparkSession
-        splits = (spark.range(1).select(F.explode(F.from_json(
-            F.lit(json.dumps(level)), "array<struct<node:long,dim:int,cut:long,tie_cut:long>>")).alias("r")).select("r.*"))
-        at = F.element_at(F.array(*[F.col(f"d{i}") for i in range(n_dims)]), F.col("dim") + 1)
-        left = (at < F.col("cut")) | ((at == F.col("cut")) & (F.col("tie") < F.col("tie_cut")))
-        # One row per inner node of the tree: bounded by the number of shards.
-        out = (out.join(F.broadcast(splits), "node", "left")
-                  .withColumn("node", F.when(F.col("dim").isNull(), F.col("node"))
-                              .otherwise(F.col("node") * 2 + F.when(left, 0).otherwise(1)))
-                  .drop("dim", "cut", "tie_cut"))
+        out = (_lookup(out, level, "node:long,dim:int,cut:long,tie_cut:long", "left")
+               .withColumn("node", F.when(F.col("dim").isNull(), F.col("node"))
+                           .otherwise(F.col("node") * 2 + F.when(left, 0).otherwise(1)))
+               .drop("dim", "cut", "tie_cut"))
     return out
 
 
@@ -181,13 +179,11 @@ def kd_shards(docs: DataFrame, dims: list[str], *, target_bytes: int | None = No
     leaves = shards or max(1, -(-(total["w"] or 0) // target_bytes))
     levels = build_tree(rows, len(dims), leaves)
     places = _leaf_shards(leaves, levels)
-    names = rows.sparkSession.range(1).select(F.explode(F.from_json(
-        F.lit(json.dumps([{"node": n, "shard": s} for n, s in places.items()])),
-        "array<struct<node:long,shard:int>>")).alias("r")).select("r.*")
+    names = [{"node": n, "shard": s} for n, s in places.items()]
     # Numbering in two steps, so no task holds a whole shard: rows of a (shard, block)
     # are numbered together, blocks by their running count.
     blocks = max(1, -(-(total["n"] or 0) // SLOT_ROWS))
-    placed = (route(rows, levels).join(F.broadcast(names), "node")
+    placed = (_lookup(route(rows, levels), names, "node:long,shard:int")
               .select("doc_id", "size", "text_crc32", "shard", "tie",
                       F.pmod(F.xxhash64("tie", "size"), F.lit(blocks)).alias("block")))
     counts = placed.groupBy("shard", "block").agg(F.count(F.lit(1)).alias("n"))
