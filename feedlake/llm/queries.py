@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, kd_shard, pack, secret_scan, url_reputation
+from . import decontaminate, exact_dedup, html_text, kd_shard, pack, quality, secret_scan, url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
@@ -24,6 +24,12 @@ def op1_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     outcomes = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
@@ -43,6 +49,10 @@ def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_block_rule_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -51,10 +61,12 @@ def op9_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shard": op1_kd_shard,
+    "op2_nbsvm_quality": op2_nbsvm_quality,
     "op4_url_reputation": op4_url_reputation,
     "op5_secret_ownership": op5_secret_ownership,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_nnls_packing": op7_nnls_packing,
+    "op8_block_rule_html": op8_block_rule_html,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
 }
 
