@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, html_text, kd_shard, pack, quality, secret_scan, url_reputation
+from . import decontaminate, exact_dedup, html_text, kd_shard, pack, quality, secret_scan, substring_dedup, \
+    url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
@@ -59,6 +60,11 @@ def op9_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
 
 
+def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shard": op1_kd_shard,
     "op2_nbsvm_quality": op2_nbsvm_quality,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_nnls_packing": op7_nnls_packing,
     "op8_block_rule_html": op8_block_rule_html,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
+    "op10_difference_cover": op10_difference_cover,
 }
 
 ORACLE: dict[str, str] = {
