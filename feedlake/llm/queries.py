@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, html_text, kd_shard, pack, quality, secret_scan, substring_dedup, \
+from . import decontaminate, exact_dedup, html_text, kd_shard, near_dedup, pack, quality, secret_scan, substring_dedup, \
     url_reputation
 from .common import table
 
@@ -31,6 +31,10 @@ def op2_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
 
 
+def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     outcomes = labels.select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
@@ -68,6 +72,7 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shard": op1_kd_shard,
     "op2_nbsvm_quality": op2_nbsvm_quality,
+    "op3_bayes_minhash": op3_bayes_minhash,
     "op4_url_reputation": op4_url_reputation,
     "op5_secret_ownership": op5_secret_ownership,
     "op6_exact_dedup": op6_exact_dedup,
