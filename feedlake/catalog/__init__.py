@@ -26,16 +26,9 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-# Tables whose rows feed CPU-heavy per-row work (whole-text regex, nested
-# listing documents).  When such a table scans as fewer splits than cores it is
-# spread over the cores; the other tables are read as they are (their work is
-# aggregation with a partial phase, where an extra exchange costs more).
-BALANCED = {"documents", "pages", "conversations", "part"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from feedlake.sources.feeds import read_table
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", None if name in BALANCED else 1)
+    """A driver table as it lies on disk; its layout sets the number of tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str):
@@ -49,6 +42,12 @@ def sql_round(expr: str, digits: int = 2) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
+def sql_row_key(*exprs: str) -> str:
+    """DuckDB spelling of ``row_key``: every part with its length, or a null mark."""
+    parts = [f"coalesce(CAST(length({e}) AS VARCHAR) || ':' || ({e}), 'null')" for e in (f"CAST({x} AS VARCHAR)" for x in exprs)]
+    return f"sha256(concat_ws(',', {', '.join(parts)}))"
+
+
 def sql_initcap(expr: str) -> str:
     """DuckDB spelling of Spark's ``initcap``: lower-case, then upper-case the
     first letter after each space."""

@@ -61,7 +61,8 @@ LISTING_EXPRS = [
           CAST(NULL AS STRING)) AS url""",
     "array(CAST(regexp_extract(p_brand, '#(\\\\d+)', 1) AS BIGINT)) AS brands",
     "array(p_size % 5, p_size % 7) AS themes",
-    "array(named_struct('id', CAST(p_size % 25 AS BIGINT)), named_struct('id', CAST((p_size + 7) % 25 AS BIGINT))) AS facilities",
+    """IF(p_size % 17 != 5, array(named_struct('id', CAST(p_size % 25 AS BIGINT)), named_struct('id', CAST((p_size + 7) % 25 AS BIGINT))),
+          CAST(NULL AS ARRAY<STRUCT<id: BIGINT>>)) AS facilities""",
     f"""named_struct(
         'country', element_at({_arr(_COUNTRIES)}, p_size % 6 + 1),
         'city', CAST(p_size % 30 AS BIGINT),

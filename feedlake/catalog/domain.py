@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.catalog import RUN_DATE, query, sql_initcap, sql_round
+from feedlake.catalog import RUN_DATE, RUN_TS, query, sql_initcap, sql_round, sql_row_key
 from feedlake.catalog import adapters as A
 from feedlake.functions import sorted_text
 from feedlake.plans import listing as P
@@ -73,7 +73,8 @@ SYN_SQL = _values([(k, c) for k, v in rules.AMENITY_SYNONYMS.items() for c in (v
 AMEN = f"""
 am AS (
   SELECT l.k, f1.fname AS a1, f2.fname AS a2
-  FROM l LEFT JOIN {FAC_EN_SQL} f1 ON f1.fid = l.s % 25 LEFT JOIN {FAC_EN_SQL} f2 ON f2.fid = (l.s + 7) % 25),
+  FROM l LEFT JOIN {FAC_EN_SQL} f1 ON f1.fid = l.s % 25 AND l.s % 17 <> 5
+         LEFT JOIN {FAC_EN_SQL} f2 ON f2.fid = (l.s + 7) % 25 AND l.s % 17 <> 5),
 amc AS (
   SELECT k, list_sort(list_distinct(list(category))) AS cats FROM (
     SELECT am.k, s.category FROM am JOIN {SYN_SQL} s ON s.slug = lower(regexp_replace(am.a1, '[^a-zA-Z0-9]', '-', 'g'))
@@ -155,7 +156,8 @@ def d_names(spark, d):
 
 @query("d_amenities", f"""
 WITH {BASE}, {AMEN}
-SELECT l.id, concat_ws(',', t1.tname, t2.tname) AS themes, concat_ws(',', am.a1, am.a2) AS amenities,
+SELECT l.id, concat_ws(',', t1.tname, t2.tname) AS themes,
+       CASE WHEN l.s % 17 <> 5 THEN concat_ws(',', am.a1, am.a2) END AS amenities,
        array_to_string(coalesce(amc.cats, []), ',') AS amenity_categories
 FROM l LEFT JOIN {THEMES_SQL} t1 ON t1.tid = l.s % 5 LEFT JOIN {THEMES_SQL} t2 ON t2.tid = l.s % 7
        LEFT JOIN am ON am.k = l.k LEFT JOIN amc ON amc.k = l.k""")
@@ -264,7 +266,7 @@ def _flag_sql(col_sql: str, words) -> str:
     return _contains_any_sql(col_sql, words)
 
 
-_AM_TXT = "coalesce(concat_ws(' ', am.a1, am.a2), '')"
+_AM_TXT = "CASE WHEN pol.s % 17 <> 5 THEN concat_ws(' ', am.a1, am.a2) END"
 _DESC = "CASE WHEN dlang = 'en' THEN dtext || chr(0) END"
 _T3 = _NORM.format(x=f"concat_ws(' ', property_name, property_type, {_AM_TXT})")
 _T4 = _NORM.format(x=f"concat_ws(' ', property_name, {_DESC}, property_type, {_AM_TXT})")
@@ -357,10 +359,10 @@ h AS (
   FROM l JOIN fr ON fr.fk = l.k LEFT JOIN st ON st.sk = l.k JOIN orders ON o_orderkey = l.k
   WHERE (st.sp IS NULL OR st.sp <= 0) AND fr.f >= 0)
 SELECT property_id, price_book, checkin, checkout, CAST(11 AS INTEGER) AS feed, country_code,
-       sha256(concat_ws('-', property_id, CAST(checkin AS VARCHAR), CAST(checkout AS VARCHAR))) AS id
+       {sql_row_key("property_id", "checkin", "checkout", f"epoch(TIMESTAMP '{RUN_TS}')::BIGINT")} AS id
 FROM h""")
 def d_price_history(spark, d):
-    _, hist = PR.usd_price(listing(spark, d), A.search_feed(spark, d), A.stored_prices(spark, d))
+    _, hist = PR.usd_price(listing(spark, d), A.search_feed(spark, d), A.stored_prices(spark, d), RUN_TS)
     return hist.select("property_id", F.col("price.book").alias("price_book"), "checkin", "checkout", "feed",
                        "country_code", "id")
 
@@ -513,7 +515,8 @@ grp AS (SELECT ftype, lang, string_agg(DISTINCT name, chr(10) ORDER BY name) AS
 feat AS (SELECT fac2.fid, fac2.lang, replace(typ2.type_name, '_', ' ') AS fname, grp.fdescription
          FROM fac2 JOIN grp ON grp.ftype = fac2.ftype AND grp.lang = fac2.lang
                    JOIN typ2 ON typ2.tid = fac2.ftype AND typ2.lang = fac2.lang),
-lf AS (SELECT DISTINCT l.k, langs.language_code, unnest([l.s % 25, (l.s + 7) % 25]) AS fid FROM l, langs),
+lf AS (SELECT DISTINCT l.k, langs.language_code, unnest([l.s % 25, (l.s + 7) % 25]) AS fid FROM l, langs
+       WHERE l.s % 17 <> 5),
 items AS (SELECT DISTINCT lf.k, lf.language_code, fname, fdescription
           FROM lf JOIN feat ON feat.fid = lf.fid AND feat.lang = lf.language_code),
 fsum AS (SELECT k, language_code,
@@ -532,8 +535,8 @@ SELECT l.id, langs.language_code, coalesce(fsum.feature_summary, '') AS feature_
 FROM l CROSS JOIN langs LEFT JOIN fsum ON fsum.k = l.k AND fsum.language_code = langs.language_code""")
 def d_feature_summary(spark, d):
     ref = A.reference(spark)
-    df = LZ.localize_codes(listing(spark, d).transform(P.url_and_licence))
-    df = LZ.feature_summary(df, ref)
+    df = LZ.feature_summary(listing(spark, d).transform(P.url_and_licence), ref)
+    df = LZ.pick_feature_summary(LZ.localize_codes(df))
     return df.select("id", "language_code", _summary_text("feature_summary").alias("feature_summary"))
 
 
@@ -653,8 +656,8 @@ FROM pol LEFT JOIN amc ON amc.k = pol.k LEFT JOIN rt ON rt.k = pol.k LEFT JOIN r
 def d_listing(spark, d):
     from feedlake.plans.run import details
     ref = A.reference(spark)
-    df, _ = details(listing(spark, d), ref, A.scores_feed(spark, d), A.chains_feed(spark, d), A.search_feed(spark, d),
-                    None, RUN_DATE)
+    df = details(listing(spark, d), ref, A.scores_feed(spark, d), A.chains_feed(spark, d), A.search_feed(spark, d),
+                 None, RUN_DATE)
     return df.select("id", "property_name", "room_type", "property_type_category", "star_rating", "review_score",
                      "number_of_review", "published", F.size("images").alias("n_images"), "bedroom_count", "min_stay",
                      sorted_text("amenity_categories").alias("amenity_categories"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.catalog import RUN_DATE, RUN_TS, query, sql_initcap, sql_round, table, tables
+from feedlake.catalog import RUN_DATE, RUN_TS, query, sql_initcap, sql_round, sql_row_key, table, tables
 from feedlake.functions import (
     add_tag, blank_to_null, by_language, classify, clean_case, contains_any, constant_array,
     default, empty_to_null, first_nonblank, flag, flat_distinct,
@@ -21,7 +21,7 @@ from feedlake.operators import (
     lookup_elements, lookup_left, lookup_left_on, match,
     rollup_children, row_counts, shape, stamp, with_constants,
 )
-from feedlake.sources import localized_rows, merge_by_key, sample
+from feedlake.sources import localized_rows, merge_by_key, parameter_frame, sample
 
 
 def money(c, digits: int = 2):
@@ -351,7 +351,7 @@ SELECT d.doc_id, coalesce(l.quality, 0) AS quality, coalesce(l.toxic, 0) AS toxi
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def q_defaults(spark, d):
     docs, labels = tables(spark, d, "documents", "labels")
-    df = lookup_left(docs.select("doc_id"), labels, "doc_id", broadcast=False)
+    df = lookup_left(docs.select("doc_id"), labels, "doc_id")
     df = df.withColumn("label_state", default(classify([(F.col("quality") == 1, "good"),
                                                         (F.col("quality") == 0, "poor")]), "unlabelled"))
     return fill_defaults(df, {"quality": 0, "toxic": 0}).select("doc_id", "quality", "toxic", "label_state")
@@ -372,8 +372,7 @@ def q_constants(spark, d):
 
 @query("q_surrogate_key", f"""
 SELECT o_orderkey,
-       sha256(concat_ws('-', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
-                        CAST(CAST(o_orderdate AS DATE) AS VARCHAR))) AS row_id,
+       {sql_row_key("o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE)")} AS row_id,
        'BC-' || CAST(o_orderkey AS VARCHAR) || '-' || CAST(CAST(epoch(TIMESTAMP '{RUN_TS}') AS BIGINT) AS VARCHAR) AS history_id
 FROM orders""")
 def q_surrogate_key(spark, d):
@@ -460,11 +459,11 @@ FROM (SELECT p_partkey, {_cases(rules.PART_TYPE_TO_PROPERTY, "p_type")} AS prope
 def q_type_category(spark, d):
     from feedlake.plans.listing import property_type, type_category
     part = table(spark, d, "part")
-    types = spark.createDataFrame(list(rules.PART_TYPE_TO_PROPERTY.items()), "code string, property_type string")
-    cats = spark.createDataFrame(list(rules.PROPERTY_CATEGORY.items()),
-                                 "property_type string, property_type_category string")
-    df = property_type(part, types, "p_type", known_rows=len(rules.PART_TYPE_TO_PROPERTY))      # U1
-    df = type_category(df, cats, known_rows=len(rules.PROPERTY_CATEGORY))                       # U2
+    types = parameter_frame(spark, list(rules.PART_TYPE_TO_PROPERTY.items()), "code string, property_type string")
+    cats = parameter_frame(spark, list(rules.PROPERTY_CATEGORY.items()),
+                           "property_type string, property_type_category string")
+    df = property_type(part, types, "p_type")                                                   # U1
+    df = type_category(df, cats)                                                                # U2
     return df.select("p_partkey", "property_type", "property_type_category",
                      flag(F.col("property_type_category") == rules.OTHER_CATEGORY).alias("is_other_type"))
 
@@ -579,8 +578,7 @@ def q_price_resolve(spark, d):
 SELECT 'BC-' || CAST(key AS VARCHAR) AS property_id,
        {sql_round("CASE WHEN from_search THEN search_usd_price ELSE usd_price END")} AS price,
        CAST(o_orderdate AS DATE) AS checkin, CAST(o_orderdate AS DATE) + 3 AS checkout, CAST(11 AS INTEGER) AS feed,
-       sha256(concat_ws('-', 'BC-' || CAST(key AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR),
-                        CAST(CAST(o_orderdate AS DATE) + 3 AS VARCHAR))) AS id
+       {sql_row_key("'BC-' || CAST(key AS VARCHAR)", "CAST(o_orderdate AS DATE)", "CAST(o_orderdate AS DATE) + 3")} AS id
 FROM r JOIN orders ON o_orderkey = key WHERE from_search""")
 def q_price_history(spark, d):
     from feedlake.plans.price import resolve_price, changed_price_history
@@ -633,9 +631,9 @@ def q_child_rollup(spark, d):
     orders, li = tables(spark, d, "orders", "lineitem")
     li = li.select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_linenumber",
                    F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
-    sums = rollup_children(li, "o_orderkey", sums=["l_quantity"], avgs=["price"], counts="n_lines")   # A7
-    lists = collect_sorted(li, "o_orderkey", "l_linenumber", alias="lines")                          # A1
-    df = attach(attach(orders.select("o_orderkey", "o_totalprice"), sums, "o_orderkey"), lists, "o_orderkey")  # J6
+    sums = rollup_children(li, "o_orderkey", sums=["l_quantity"], avgs=["price"], counts="n_lines",   # A7
+                           lists={"lines": "l_linenumber"})                                          # A1
+    df = attach(orders.select("o_orderkey", "o_totalprice"), sums, "o_orderkey")                     # J6
     return df.select("o_orderkey", "o_totalprice", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
                      F.round("l_quantity", 2).alias("sum_qty"), money(F.col("avg_price")).alias("avg_price"),
                      F.array_join("lines", ",").alias("line_numbers"))
@@ -668,9 +666,8 @@ SELECT p_brand, array_to_string(list_sort(list_distinct(list(p_type))), ',') AS
 FROM part GROUP BY p_brand""")
 def q_collect_set(spark, d):
     part = table(spark, d, "part")
-    sets = collect_sets(part, "p_brand", ["p_type", "p_size"])                                # A3
-    counts = part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts"))
-    return attach(sets, counts, "p_brand").select(
+    sets = collect_sets(part, "p_brand", ["p_type", "p_size"], counts="n_parts")              # A3
+    return sets.select(
         "p_brand", F.array_join("p_type_set", ",").alias("types"), F.array_join("p_size_set", ",").alias("sizes"),
         "n_parts")
 
@@ -735,11 +732,13 @@ SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles,
 FROM conversations GROUP BY conv_id""")
 def q_array_pluck(spark, d):
     conv = table(spark, d, "conversations")
-    turns = collect_sorted(conv.withColumn("t", F.struct("turn", "role", "text")), "conv_id", "t",
-                           order=["turn"], alias="turns")                                        # A1
-    words = F.flatten(F.transform("turns", lambda t: F.split(t["text"], " ")))
-    return turns.select("conv_id", F.array_join(pluck("turns", "role"), ",").alias("roles"),          # P3
-                        F.size(words).alias("n_words"), F.size("turns").cast("long").alias("n_turns"))
+    # only (turn, role) is collected; words are counted in the row and summed
+    turns = conv.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role"))).alias("turns"),                    # A1
+        F.sum(F.size(F.split("text", " "))).cast("int").alias("n_words"),
+        F.count(F.lit(1)).alias("n_turns"))
+    return turns.select("conv_id", F.array_join(pluck("turns", "role"), ",").alias("roles"),      # P3
+                        "n_words", "n_turns")
 
 
 _MEAL_IN = ", ".join(f"'{w}'" for w in rules.MEAL_WORDS)
@@ -884,11 +883,10 @@ def q_broadcast_feature(spark, d):
     types = fan_out(region, rules.LANGUAGES).select(
         F.col("r_regionkey").cast("string").alias("facility_type_id"), "language_code",
         F.regexp_replace("r_name", " ", "_").alias("type_name"))
-    listings = fan_out(customer.select(
-        F.col("c_custkey").alias("id"),
+    listings = customer.select(
+        F.col("c_custkey").alias("id"), constant_array(rules.LANGUAGES).alias("languages"),
         F.array(F.struct(F.col("c_nationkey").cast("long").alias("id")),
-                F.struct(((F.col("c_nationkey") + 3) % 25).cast("long").alias("id"))).alias("facilities")),
-        rules.LANGUAGES)
+                F.struct(((F.col("c_nationkey") + 3) % 25).cast("long").alias("id"))).alias("facilities"))
     out = feature_summary_from_frames(listings, facilities, types)                             # A3 J9 J10 J11 A4 F11
     text = F.array_join(F.transform(F.coalesce("feature_summary", F.array()), lambda x: F.concat(
         x["name"], F.lit(":"), F.regexp_replace(x["description"], "\n", "|"))), ";")
@@ -904,10 +902,7 @@ SELECT l.l_orderkey, CAST(room_id AS BIGINT) AS room_id, bed_type, number_of_bed
 FROM l JOIN orders ON o_orderkey = l.l_orderkey JOIN customer ON c_custkey = o_custkey
        LEFT JOIN nation ON n_nationkey = c_nationkey""")
 def q_deep_explode(spark, d):
-    from feedlake.sources import read_table
-    orders, customer, nation = tables(spark, d, "orders", "customer", "nation")
-    # heavy per-row nesting: spread the line items over the cores if they scan as fewer splits
-    li = read_table(spark, f"{d.rstrip('/')}/lineitem.parquet")
+    orders, customer, nation, li = tables(spark, d, "orders", "customer", "nation", "lineitem")
     bed = lambda t, n: F.struct(t.alias("bed_type"), n.alias("number_of_beds"))
     rooms = F.array(F.struct(
         F.col("l_linenumber").cast("long").alias("id"),

@@ -16,11 +16,6 @@ def pluck(col, field: str) -> Column:
     return F.transform(as_col(col), lambda x: x[field])
 
 
-def pluck_flat(col, outer: str, inner: str) -> Column:
-    """Field of every element through one nested array level, flattened."""
-    return F.flatten(F.transform(as_col(col), lambda x: F.transform(x[outer], lambda y: y[inner])))
-
-
 def map_lookup(col, mapping, key_type: str | None = "string") -> Column:
     """Translate every element through a map, dropping unknown ones.
     ``mapping`` is a dict (literal map, R2) or a MapType Column."""

@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Most keys of a lookup that is written into the plan.
+LITERAL_MAP_MAX = 1000
+
+
 def as_col(c) -> Column:
     """Accept a column name or a Column."""
     return F.col(c) if isinstance(c, str) else c
@@ -78,7 +82,10 @@ def first_match(cases) -> Column:
 
 def literal_map(mapping: dict) -> Column:
     """A literal MapType column from a small driver-side dict (R2).  Keys and
-    values keep their Python types; use for lookups of bounded size only."""
+    values keep their Python types.  The map is part of the plan and searched
+    entry by entry, so a larger lookup is refused: join a frame instead."""
+    if len(mapping) > LITERAL_MAP_MAX:
+        raise ValueError(f"a literal map takes at most {LITERAL_MAP_MAX} keys, got {len(mapping)}; join a frame")
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
 
@@ -90,10 +97,15 @@ def remap_code(col, mapping: dict) -> Column:
     return F.coalesce(literal_map(mapping)[code], code)
 
 
-def row_key(*business_keys, sep: str = "-") -> Column:
-    """Repeatable row id: SHA-256 of the business keys joined by ``sep``.
-    Unlike a clock + counter id it survives task retries and re-runs."""
-    return F.sha2(F.concat_ws(sep, *[as_col(k).cast("string") for k in business_keys]), 256)
+def row_key(*business_keys) -> Column:
+    """Repeatable row id: SHA-256 over the business keys, each with its length or
+    a null mark, so that no two key lists share a text (F19).  Unlike a clock +
+    counter id it survives task retries and re-runs."""
+    parts = []
+    for k in business_keys:
+        text = as_col(k).cast("string")
+        parts.append(F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("null")))
+    return F.sha2(F.concat_ws(",", *parts), 256)
 
 
 def run_epoch(run_ts: str) -> Column:

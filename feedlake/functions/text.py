@@ -13,7 +13,6 @@ from feedlake.functions.columns import as_col
 # Fixed patterns (values that must equal the reference's behaviour).
 SLUG_RUN = r"[^a-zA-Z0-9]+"          # slug: one separator per run of other characters
 SLUG_CHAR = r"[^a-zA-Z0-9]"          # slug of a lookup key: one separator per character
-NORMALIZE_DROP = r"[^a-zA-Z0-9\s]"   # keyword text: punctuation and accents removed
 
 
 def slugify(col, sep: str = "-", per_char: bool = False) -> Column:
@@ -31,7 +30,7 @@ def slugify(col, sep: str = "-", per_char: bool = False) -> Column:
 def normalize_text(col) -> Column:
     """Drop everything but ASCII letters, digits and whitespace, then lower (F2).
 
-    Same result as ``regexp_replace(c, NORMALIZE_DROP, '')``, spelled as two
+    Same result as ``regexp_replace(c, '[^a-zA-Z0-9\\s]', '')``, spelled as two
     cheaper passes: non-ASCII runs first, then the ASCII characters that are
     neither letters, digits nor whitespace (controls and punctuation)."""
     no_ascii = F.regexp_replace(as_col(col), r"[^\x00-\x7f]+", "")

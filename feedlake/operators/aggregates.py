@@ -1,9 +1,10 @@
 """Aggregation and de-duplication (A1-A10).
 
-Every operator here is a hash aggregate with a partial (map-side) phase:
-``min_by`` / ``max_by`` / ``sum`` / ``collect_set`` combine before the shuffle,
-so a hot key holding a large share of the rows does not land on one task as
-raw rows.  Ordering is explicit wherever the reference relied on the
+Every aggregate here has a partial (map-side) phase: ``min_by`` / ``max_by`` /
+``sum`` / ``collect_set`` combine before the shuffle, so a hot key holding a
+large share of the rows does not land on one task as raw rows.  ``min_by`` and
+``max_by`` over whole rows plan as sort aggregates, the others as (object) hash
+aggregates; ``collect_sorted`` keeps every row of a key by its nature.  Ordering is explicit wherever the reference relied on the
 undefined order of ``first`` / ``collect_list`` after a shuffle.
 """
 
@@ -29,22 +30,21 @@ def order_key(order) -> Column:
 def dedupe(df: DataFrame, keys, order=None, keep: str = "last") -> DataFrame:
     """One row per key.
 
-    Without ``order`` any survivor is kept (``dropDuplicates``).  With ``order``
-    the row with the greatest (``keep='last'``) or least (``keep='first'``)
-    ordering struct survives; include a unique column in ``order`` to make the
-    choice total.  Implemented as ``max_by``/``min_by`` over a struct of the
-    row, which aggregates partially before the shuffle.
+    The row with the greatest (``keep='last'``) or least (``keep='first'``)
+    ordering struct survives.  A hash of the whole row comes last in the order,
+    so the choice is total: rows that tie are equal, and computing the frame
+    twice gives the same survivors.  Implemented as ``max_by``/``min_by`` over a
+    struct of the row, which aggregates partially before the shuffle.
     """
     keys = _names(keys)
-    if order is None:
-        return df.dropDuplicates(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
     pick = F.max_by if keep == "last" else F.min_by
     row = F.struct(*[F.col(c) for c in rest])
+    tie = F.xxhash64(F.to_json(row))
     return (df.groupBy(*keys)
-              .agg(pick(row, order_key(order)).alias("_row"))
+              .agg(pick(row, F.struct(*_cols(order or []), tie)).alias("_row"))
               .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
 
 
@@ -62,13 +62,18 @@ def collect_sorted(df: DataFrame, key, col: str, order=None, alias: str | None =
 def collect_flat_distinct(df: DataFrame, key, array_col: str, alias: str | None = None) -> DataFrame:
     """Distinct elements over all arrays of a key (A2); null arrays are ignored."""
     alias = alias or f"{array_col}_distinct"
-    return (df.groupBy(*_names(key))
-              .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(array_col)))).alias(alias)))
+    keys = _names(key)
+    elements = df.select(*keys, F.explode_outer(array_col).alias("_e"))
+    return elements.groupBy(*keys).agg(F.sort_array(F.collect_set("_e")).alias(alias))
 
 
-def collect_sets(df: DataFrame, keys, cols) -> DataFrame:
-    """Several sorted ``collect_set`` at once (A3); sets de-duplicate map-side."""
-    return df.groupBy(*_names(keys)).agg(*[F.sort_array(F.collect_set(c)).alias(f"{c}_set") for c in _names(cols)])
+def collect_sets(df: DataFrame, keys, cols, counts: str | None = None) -> DataFrame:
+    """Several sorted ``collect_set`` at once (A3), with an optional row count;
+    sets de-duplicate map-side."""
+    aggs = [F.sort_array(F.collect_set(c)).alias(f"{c}_set") for c in _names(cols)]
+    if counts:
+        aggs.append(F.count(F.lit(1)).alias(counts))
+    return df.groupBy(*_names(keys)).agg(*aggs)
 
 
 def collect_distinct_structs(df: DataFrame, keys, fields, alias: str = "items",
@@ -100,11 +105,13 @@ def first_where_agg(col, pred: Column, order, fallback_first: bool = True) -> Co
 
 
 def rollup_children(df: DataFrame, key, sums=(), avgs=(), digits: int = 2,
-                    counts: str | None = None) -> DataFrame:
-    """Sums, rounded averages and an optional row count per key."""
+                    counts: str | None = None, lists: dict | None = None) -> DataFrame:
+    """Sums, rounded averages, an optional row count and sorted lists
+    (``{alias: column}``) per key, in one aggregate (A7)."""
     aggs = [F.sum(c).alias(c) for c in sums] + [F.round(F.avg(c), digits).alias(f"avg_{c}") for c in avgs]
     if counts:
         aggs.append(F.count(F.lit(1)).alias(counts))
+    aggs += [F.sort_array(F.collect_list(c)).alias(alias) for alias, c in (lists or {}).items()]
     return df.groupBy(*_names(key)).agg(*aggs)
 
 
@@ -114,11 +121,6 @@ def distinct_elements(df: DataFrame, array_col, alias: str = "element") -> DataF
     return df.select(F.explode(c).alias(alias)).distinct()
 
 
-def is_empty(df: DataFrame) -> bool:
-    """True when ``df`` has no row (A10); reads at most one row."""
-    return df.isEmpty()
-
-
 def row_counts(frames: dict) -> DataFrame:
     """One row per named frame: (table_name, n_rows, is_empty) (A10).  Each count
     is a distributed aggregate; the frames are combined by union, not by a join."""

@@ -1,9 +1,9 @@
 """Equi-join operators.
 
-Broadcast policy: a side is broadcast only behind a checked bound.  Lookups
-built from driver-side dicts have a known row count; any other frame is
-checked with a cheap ``limit(n + 1).count()``.  Above the bound the join is
-left to the planner (sort-merge, or AQE's runtime conversion).
+No operator picks a join strategy by counting rows: Spark's byte threshold and
+AQE's runtime sizes decide, and building a plan starts no job.  Only lookups
+made from run parameters (``sources.feeds.lookup_frame``, at most
+``LOOKUP_MAX_KEYS`` keys) carry a broadcast hint, set where they are made.
 """
 
 from __future__ import annotations
@@ -13,46 +13,22 @@ from pyspark.sql import functions as F
 
 from feedlake.operators.aggregates import dedupe
 
-# Upper bound on rows for a broadcast lookup side.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def at_most_rows(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows.  A bounded probe: the zero-column
-    scan behind ``offset(n).isEmpty()`` reads partitions incrementally and stops
-    as soon as row n + 1 is seen, so a huge table is never counted in full."""
-    return df.select().offset(n).isEmpty()
-
-
-def sized_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(dim)`` when ``dim`` holds at most ``max_rows`` rows, else
-    ``dim`` unchanged so the planner shuffles both sides instead (AQE may still
-    convert the join at run time from measured sizes)."""
-    small = known_rows <= max_rows if known_rows is not None else at_most_rows(dim, max_rows)
-    return F.broadcast(dim) if small else dim
-
 
 def _keys(on):
     return [on] if isinstance(on, str) else list(on)
 
 
-def lookup_left(df: DataFrame, dim: DataFrame, on, broadcast: bool = True,
-                max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+def lookup_left(df: DataFrame, dim: DataFrame, on) -> DataFrame:
     """Left dimension lookup on one or more same-named keys.
     Row count of ``df`` is kept provided the dimension key is unique."""
-    right = sized_broadcast(dim, max_rows, known_rows) if broadcast else dim
-    return df.join(right, _keys(on), "left")
+    return df.join(dim, _keys(on), "left")
 
 
-def lookup_left_on(df: DataFrame, dim: DataFrame, left_key, right_key: str,
-                   broadcast: bool = True, key_type: str = "string",
-                   max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+def lookup_left_on(df: DataFrame, dim: DataFrame, left_key, right_key: str, key_type: str = "string") -> DataFrame:
     """Left lookup where the keys differ in name or type (J13): both sides are
     cast to ``key_type`` so a text key never meets a numeric one under ANSI rules."""
-    right = sized_broadcast(dim, max_rows, known_rows) if broadcast else dim
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
-    return df.join(right, lk.cast(key_type) == right[right_key].cast(key_type), "left")
+    return df.join(dim, lk.cast(key_type) == dim[right_key].cast(key_type), "left")
 
 
 def enrich_left(df: DataFrame, other: DataFrame, key="id") -> DataFrame:
@@ -60,12 +36,10 @@ def enrich_left(df: DataFrame, other: DataFrame, key="id") -> DataFrame:
     return df.join(other, _keys(key), "left")
 
 
-def join_first_element(df: DataFrame, array_col: str, dim: DataFrame, dim_key: str,
-                       broadcast: bool = True, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def join_first_element(df: DataFrame, array_col: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Left join on the first element of an array column (J4); an empty or null
     array matches nothing."""
-    right = sized_broadcast(dim, max_rows) if broadcast else dim
-    return df.join(right, F.get(F.col(array_col), 0) == right[dim_key], "left")
+    return df.join(dim, F.get(F.col(array_col), 0) == dim[dim_key], "left")
 
 
 def attach(df: DataFrame, agg: DataFrame, key="id") -> DataFrame:
@@ -117,8 +91,8 @@ def lookup_elements(df: DataFrame, key: str, array_col: str, dim, out: str,
 
     * ``dim`` a dict: translated inside the row through a literal map; no
       explode and no shuffle.  ``flatten_values`` flattens list values.
-    * ``dim`` a DataFrame: elements exploded (outer), joined to a size-checked
-      broadcast of ``dim``, regrouped per ``key`` and re-attached.
+    * ``dim`` a DataFrame: distinct elements exploded (outer), joined to ``dim``,
+      regrouped per ``key`` as sets (which combine map-side) and re-attached.
     Unknown elements are dropped and the result is de-duplicated.
     """
     from feedlake.functions.arrays import map_lookup, flat_distinct
@@ -133,13 +107,10 @@ def lookup_elements(df: DataFrame, key: str, array_col: str, dim, out: str,
         return df.withColumn(out, F.array_distinct(map_lookup(F.col(array_col), dim, key_type=None)))
 
     from feedlake.operators.generators import explode_rows
-    elems = explode_rows(df.select(key, array_col), array_col, "_elem", outer=True).select(key, "_elem")  # G2
-    right = sized_broadcast(dim.select(F.col(dim_key).alias("_elem"), F.col(value).alias("_val")))
-    grouped = (elems.join(right, "_elem", "left")
-               .groupBy(key)
-               .agg(F.collect_list("_val").alias("_vals")))
-    if flatten_values:
-        grouped = grouped.withColumn(out, flat_distinct(F.col("_vals")))
-    else:
-        grouped = grouped.withColumn(out, F.array_distinct(F.col("_vals")))
-    return df.join(grouped.select(key, out), key, "left")
+    distinct = df.select(key, F.array_distinct(array_col).alias("_elems"))
+    elems = explode_rows(distinct, "_elems", "_elem", outer=True).select(key, "_elem")  # G2
+    values = dim.select(F.col(dim_key).alias("_elem"), F.col(value).alias("_val"))
+    if flatten_values and dict(values.dtypes)["_val"].startswith("array"):
+        values = values.select("_elem", F.explode("_val").alias("_val"))
+    grouped = elems.join(values, "_elem", "left").groupBy(key).agg(F.sort_array(F.collect_set("_val")).alias(out))
+    return df.join(grouped, key, "left")

@@ -19,7 +19,7 @@ from feedlake.functions import (
     remap_code, round_to, run_date as run_date_col, sentence, slugify, slugify_all, sqft, half,
 )
 from feedlake.operators import (
-    dedupe, enrich_left, join_first_element, sized_broadcast,
+    dedupe, enrich_left, join_first_element,
 )
 
 
@@ -29,13 +29,17 @@ def prefixed_id(c) -> Column:
 
 # D1
 def init_keys(df: DataFrame) -> DataFrame:
-    """feed, feed_provider_id, prefixed id, currency default, typed null owner."""
+    """feed, feed_provider_id, prefixed id, currency default, typed null owner.
+    Rows that ingestion keyed by ``listing_id`` take that column as their id, so
+    joins by id reuse the partitioning of the ingestion's de-duplication."""
+    key = F.col("listing_id") if "listing_id" in df.columns else prefixed_id("id")
     return df.withColumns({
         "feed": F.lit(rules.FEED_ID).cast("int"),
         "feed_provider_id": F.col("id"),
         "currency": default("currency", rules.DEFAULT_CURRENCY),
         "owner_id": F.lit(None).cast("string"),
-    }).withColumn("id", prefixed_id("id"))
+        "id": key,
+    }).drop("listing_id")
 
 
 # D2
@@ -89,25 +93,22 @@ def room_type(df: DataFrame) -> DataFrame:
 
 
 # D9 (U1-U3)
-def property_type(df: DataFrame, types, key_col: str = "accommodation_type", known_rows: int | None = None) -> DataFrame:
+def property_type(df: DataFrame, types, key_col: str = "accommodation_type") -> DataFrame:
     """Property type from a type table (U1).  ``types`` is a dict (literal map,
-    evaluated in the row) or a (code, property_type) frame joined by a
-    size-checked broadcast."""
+    evaluated in the row) or a (code, property_type) frame that is joined."""
     key = F.col(key_col).cast("string")
     if isinstance(types, dict):
         return df.withColumn("property_type", literal_map({str(k): v for k, v in types.items()})[key])
     t = types.select(F.col(types.columns[0]).cast("string").alias("_type_code"), F.col("property_type"))
-    t = sized_broadcast(t, known_rows=known_rows)
     return df.join(t, key == t["_type_code"], "left").drop("_type_code")
 
 
-def type_category(df: DataFrame, categories, known_rows: int | None = None) -> DataFrame:
+def type_category(df: DataFrame, categories) -> DataFrame:
     """Category of the property type, "Other" when unknown."""
     if isinstance(categories, dict):
         cat = literal_map(categories)[F.col("property_type")]
         return df.withColumn("property_type_category", F.coalesce(cat, F.lit(rules.OTHER_CATEGORY)))
-    c = sized_broadcast(categories.select(F.col("property_type").alias("_pt"), "property_type_category"),
-                        known_rows=known_rows)
+    c = categories.select(F.col("property_type").alias("_pt"), "property_type_category")
     out = df.join(c, F.col("property_type") == c["_pt"], "left").drop("_pt")
     return out.withColumn("property_type_category", default("property_type_category", rules.OTHER_CATEGORY))
 
@@ -282,7 +283,7 @@ def property_flags(df: DataFrame, keyword_lists: dict) -> DataFrame:
         "name": normalize_text(F.col("property_name")),
         "desc": normalize_text(localized(F.col("description.text"), "en-us")),
         "type": normalize_text(F.col("property_type")),
-        "amen": normalize_text(F.array_join(F.coalesce("amenities", F.array().cast("array<string>")), " ")),
+        "amen": normalize_text(F.array_join("amenities", " ")),      # null amenities are no part at all
         "other": normalize_text(F.col("policy.other_policy")),
     }
     df = df.withColumns({f"_n_{k}": v for k, v in parts.items()})
@@ -329,6 +330,10 @@ def commission_and_meal_plan(df: DataFrame, search: DataFrame) -> DataFrame:
     and de-duplicated, null when there are none.  Products without meals are
     ignored."""
     s = search.select(prefixed_id("id").alias("id"), "commission", "products")
-    out = enrich_left(df, s, "id")
+    return meal_plan(enrich_left(df, s, "id"))
+
+
+def meal_plan(df: DataFrame) -> DataFrame:
+    """Meal plan from the joined ``products`` column."""
     meals = F.col("products.policies.meal_plan.meals")
-    return out.withColumn("meal_plan", empty_to_null(flat_distinct(meals, F.initcap)))
+    return df.withColumn("meal_plan", empty_to_null(flat_distinct(meals, F.initcap)))

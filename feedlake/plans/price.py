@@ -6,17 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.functions import per_night, query_param, row_key, safe_date
+from feedlake.functions import per_night, query_param, row_key, run_epoch, safe_date
 from feedlake.operators import dedupe, enrich_left, match, reconcile
-
-
-def fresh_prices(search: DataFrame) -> DataFrame:
-    """Per-night USD price from the search feed (one row per id):
-    abs(round(book / 3, 2)), 0 when absent."""
-    return (search
-            .select(F.col("id").alias("feed_provider_id"),
-                    per_night(F.col("price.book"), rules.PRICE_NIGHTS).alias("search_usd_price"))
-            .fillna({"search_usd_price": 0}))
+from feedlake.plans.listing import prefixed_id
 
 
 def resolve_price(stored: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
@@ -41,36 +33,52 @@ def changed_price_history(resolved: DataFrame, search: DataFrame, key: str) -> D
                             "checkout": safe_date(query_param(link, "checkout"))})
 
 
-def usd_price(df: DataFrame, search: DataFrame, stored: DataFrame | None = None, run_ts: str | None = None):
-    """USD price per listing and the price-history rows (D21 + D22).
+def search_facts(search: DataFrame, *extra: str) -> DataFrame:
+    """What the details steps need of the search feed (one row per id), keyed by
+    listing id: the fresh price, the price struct, stay dates, and ``extra`` columns."""
+    link = F.col("deep_link_url")
+    fresh = per_night(F.col("price.book"), rules.PRICE_NIGHTS)
+    return search.select(
+        prefixed_id("id").alias("id"), *extra, F.coalesce(fresh, F.lit(0)).alias("search_usd_price"),
+        F.col("price").alias("search_price"), safe_date(query_param(link, "checkin")).alias("stay_checkin"),
+        safe_date(query_param(link, "checkout")).alias("stay_checkout"))
+
+
+def price_columns(df: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """``usd_price`` and ``from_search`` of rows that carry the search facts.
 
     ``stored`` holds the curated (id, feed_provider_id, usd_price) rows; absent
-    or empty on a first run, in which case every search price is new.  One
-    plan covers both cases, so no row count decides the branch.
+    on a first run, in which case every search price is new.  The stored price
+    wins when positive.  Only listings of the batch are kept, so a left join on
+    the listing id replaces a full outer one, and the decision is made in the row.
     """
-    fresh = fresh_prices(search)
     if stored is None:
-        stored = fresh.select("feed_provider_id", F.lit(None).cast("double").alias("usd_price")).limit(0)
+        df = df.withColumn("_stored", F.lit(None).cast("double"))
     else:
-        from feedlake.operators import restrict_to
-        stored = restrict_to(stored, df.select("feed_provider_id"), "feed_provider_id")
-        stored = dedupe(stored, "feed_provider_id")
-    resolved = resolve_price(stored, fresh, "feed_provider_id")
-    history = price_history(df, search, resolved)
-    # joined on the listing id like every other enrichment, so the wide listing
-    # frame keeps one hash partitioning by id across the details steps
-    prices = resolved.select(F.concat(F.lit(rules.ID_PREFIX), F.col("feed_provider_id").cast("string")).alias("id"),
-                             "usd_price")
-    out = enrich_left(df, prices, "id").fillna({"usd_price": 0})
-    return out, history
-
-
-def price_history(df: DataFrame, search: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Price-history rows for changed prices: property id, search price struct,
-    stay dates, feed, country and a repeatable row id (D22)."""
-    s = search.select(F.col("id").alias("feed_provider_id"), "price", "deep_link_url")
-    hist = changed_price_history(resolved, s, "feed_provider_id")
-    owners = df.select("feed_provider_id", F.col("id").alias("property_id"), "feed", "country_code")
-    hist = match(hist, owners, "feed_provider_id")
-    return hist.select("property_id", "price", "checkin", "checkout", "feed", "country_code",
-                       row_key("property_id", "checkin", "checkout").alias("id"))
+        keyed = stored.select(prefixed_id("feed_provider_id").alias("id"), F.col("usd_price").alias("_stored"))
+        df = enrich_left(df, dedupe(keyed, "id", ["_stored"]), "id")
+    fresh, old = F.col("search_usd_price"), F.col("_stored")
+    take = F.coalesce((old.isNull() | (old <= 0)) & (fresh >= 0), F.lit(False))
+    return df.withColumn("from_search", take).withColumn(
+        "usd_price", F.coalesce(F.round(F.when(F.col("from_search"), fresh).otherwise(old), 2), F.lit(0))).drop(
+        "_stored", "search_usd_price")
+
+
+# Columns that carry the price history through the staged frame.
+HISTORY_COLUMNS = ["from_search", "search_price", "stay_checkin", "stay_checkout"]
+
+
+def usd_price(df: DataFrame, search: DataFrame, stored: DataFrame | None = None, run_ts: str = "1970-01-01 00:00:00"):
+    """USD price per listing and the price-history rows of the run (D21 + D22)."""
+    out = price_columns(enrich_left(df, search_facts(search), "id"), stored)
+    return out.drop(*HISTORY_COLUMNS), price_history(out, run_ts)
+
+
+def price_history(df: DataFrame, run_ts: str) -> DataFrame:
+    """Price-history rows: a filter over listings that carry ``HISTORY_COLUMNS``
+    (D22).  The row id holds the run's time, so a later price for the same stay,
+    or for a link without dates, is a new row; a repeated run gives the same ids."""
+    return df.where("from_search").select(
+        F.col("id").alias("property_id"), F.col("search_price").alias("price"), F.col("stay_checkin").alias("checkin"),
+        F.col("stay_checkout").alias("checkout"), "feed", "country_code",
+        row_key("id", "stay_checkin", "stay_checkout", run_epoch(run_ts)).alias("id"))

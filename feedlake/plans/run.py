@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlake import schemas
-from feedlake.operators import dedupe
+from feedlake.operators import dedupe, enrich_left
 from feedlake.plans import listing as P
 from feedlake.plans import localize as LZ
 from feedlake.plans import location as LOC
 from feedlake.plans import price as PR
 from feedlake.plans.reviews import reviews
-from feedlake.session import stage
+from feedlake.session import stage, stage_path, unstage
 from feedlake.sources import empty_like, read_feed, read_if_exists, upsert, write_worklist
 
 
@@ -33,15 +34,16 @@ def basic(df: DataFrame, ref, run_date: str) -> DataFrame:
 
 # D33
 def details(df: DataFrame, ref, scores: DataFrame, chains: DataFrame, search: DataFrame,
-            stored_prices: DataFrame | None, run_date: str):
-    """Basic steps, review scores, flags, chain and brand, meal plan, USD price;
-    returns (listings, price_history)."""
+            stored_prices: DataFrame | None, run_date: str) -> DataFrame:
+    """Basic steps, review scores, flags, chain and brand, meal plan, USD price.
+    The search feed is joined once; the listings carry ``PR.HISTORY_COLUMNS``."""
     df = basic(df, ref, run_date)
     df = P.review_scores(df, scores)
     df = P.property_flags(df, ref.keyword_lists)
-    df = P.chain_and_brand(df, chains)
-    df = P.commission_and_meal_plan(df, search)
-    return PR.usd_price(df, search, stored_prices)
+    df = P.meal_plan(enrich_left(df, PR.search_facts(search, "commission", "products"), "id"))
+    df = PR.price_columns(df, stored_prices)
+    # last: this join is keyed by brand and breaks the partitioning by id
+    return P.chain_and_brand(df, chains)
 
 
 @dataclass
@@ -71,11 +73,17 @@ class Sinks:
     extra: dict = field(default_factory=dict)
 
 
+def ingest_details(raw: DataFrame) -> DataFrame:
+    """Listing documents, one per id.  They are keyed by the listing id that all
+    later joins use, so the wide documents cross one shuffle."""
+    return dedupe(raw.withColumn("listing_id", P.prefixed_id("id")), "listing_id")
+
+
 def prepare(spark: SparkSession, paths: FeedPaths) -> dict:
     """Read every feed with its explicit schema and de-duplicate at ingestion."""
     rd = lambda p, s: read_feed(spark, p, s, multiline=paths.multiline)
     feeds = {
-        "details": dedupe(rd(paths.details, schemas.DETAILS), "id"),
+        "details": ingest_details(rd(paths.details, schemas.DETAILS)),
         "scores": dedupe(rd(paths.review_scores, schemas.REVIEW_SCORES), "id"),
         "search": dedupe(rd(paths.search, schemas.SEARCH), "id"),
         "chains": rd(paths.chains, schemas.CHAINS),
@@ -89,37 +97,57 @@ def prepare(spark: SparkSession, paths: FeedPaths) -> dict:
 
 
 # D35
-def run(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks | None = None) -> dict:
-    """The whole batch: read, enrich, localise, upsert.  Returns the output frames."""
-    return run_frames(spark, prepare(spark, paths), ref, run_date, sinks or Sinks())
+def compose(feeds: dict, ref, run_date: str, run_ts: str, state: DataFrame, stored: DataFrame | None,
+            cut=lambda listings: listings) -> dict:
+    """The whole run as frames, without sinks: listings, localized, new_locations,
+    reviews, price_history and worklist.  ``cut`` may stage the enriched listings,
+    which feed all outputs but the worklist."""
+    begun, worklist = LOC.location_begin(feeds["details"], state)
+    enriched = cut(details(begun, ref, feeds["scores"], feeds["chains"], feeds["search"], stored, run_date))
+    listings, new_locations = LOC.location_finish(enriched.drop(*PR.HISTORY_COLUMNS), feeds["city_map"],
+                                                  feeds["country_map"], feeds["assigned"])
+    listings = P.property_name_fill(listings)
+    return {
+        "worklist": worklist,
+        "listings": listings,
+        "localized": LZ.localize(listings, ref, run_date),
+        "new_locations": new_locations,
+        "reviews": reviews(enriched.select("id", "feed_provider_id", "country_code"), feeds["reviews"]),
+        "price_history": PR.price_history(enriched, run_ts),
+    }
+
+
+def run(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks | None = None,
+        run_ts: str | None = None) -> None:
+    """The whole batch: read, enrich, localise, upsert."""
+    run_frames(spark, prepare(spark, paths), ref, run_date, sinks or Sinks(), run_ts=run_ts)
 
 
-def run_frames(spark: SparkSession, feeds: dict, ref, run_date: str, sinks: Sinks, tag: str = "batch") -> dict:
+def run_frames(spark: SparkSession, feeds: dict, ref, run_date: str, sinks: Sinks, tag: str = "batch",
+               run_ts: str | None = None) -> None:
     """The run on already-read feeds (shared by the batch and streaming drivers).
 
-    The enriched listing frame feeds three outputs, so it is staged once to
-    the shared checkpoint folder (a lineage cut that also survives lost
-    executors) and re-read by the localise, reviews and location branches.
+    The enriched listings feed every output, so they are staged once to the shared
+    checkpoint folder before the first sink is touched: no output reads a table
+    that this run has already changed, and outputs of one run agree.  The staged
+    table is dropped at the end.
     """
     state = read_if_exists(spark, sinks.location_table, schemas.LOCATION)
-    df, worklist = LOC.location_begin(feeds["details"], state)
-    if sinks.worklist_path:
-        write_worklist(worklist, f"{sinks.worklist_path.rstrip('/')}/{tag}")
-    stored = read_if_exists(spark, sinks.price_state_table,
-                            schemas.STORED_PRICE) if sinks.price_state_table else None
-    df, history = details(df, ref, feeds["scores"], feeds["chains"], feeds["search"], stored, run_date)
-    df = stage(df, f"enriched_{run_date}_{tag}", bucket_by="id")
-    review_rows = reviews(df.select("id", "feed_provider_id", "country_code"), feeds["reviews"])
-    df, new_locations = LOC.location_finish(df, feeds["city_map"], feeds["country_map"], feeds["assigned"])
-    df = P.property_name_fill(df)
-    localized = LZ.localize(df, ref, run_date)
-    upsert(localized, sinks.localize_table, ["property_id", "language"])
-    upsert(new_locations, sinks.location_table, "id")
-    if sinks.listing_table:
-        upsert(df, sinks.listing_table, "id")
-    if sinks.reviews_table:
-        upsert(review_rows, sinks.reviews_table, "id")
-    if sinks.price_history_table:
-        upsert(history, sinks.price_history_table, "id")
-    return {"listings": df, "localized": localized, "new_locations": new_locations,
-            "reviews": review_rows, "price_history": history, "worklist": worklist}
+    stored = read_if_exists(spark, sinks.price_state_table, schemas.STORED_PRICE) if sinks.price_state_table else None
+    name = f"enriched_{run_date}_{tag}_{uuid.uuid4().hex[:8]}"
+    path = stage_path(spark, name)
+    try:
+        out = compose(feeds, ref, run_date, run_ts or f"{run_date} 00:00:00", state, stored,
+                      cut=lambda df: stage(df, name, bucket_by="id"))
+        if sinks.worklist_path:      # before the location table changes
+            write_worklist(out["worklist"], f"{sinks.worklist_path.rstrip('/')}/{tag}")
+        upsert(out["localized"], sinks.localize_table, ["property_id", "language_code"], partition_by=["language_code"])
+        if sinks.reviews_table:
+            upsert(out["reviews"], sinks.reviews_table, "id")
+        if sinks.price_history_table:
+            upsert(out["price_history"], sinks.price_history_table, "id")
+        if sinks.listing_table:
+            upsert(out["listings"], sinks.listing_table, "id")
+        upsert(out["new_locations"], sinks.location_table, "id")
+    finally:
+        unstage(spark, name, path)

@@ -48,15 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is configured by the platform and is read from the
     session.  Only when it is unset (local tests) is a scratch folder chosen.
     """
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir is not set: configure the cluster's shared "
                                "checkpoint folder; a machine-local folder would not survive executor loss")
         current = tempfile.mkdtemp(prefix="feedlake-ckpt-")   # local runs only
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return spark.sparkContext.getCheckpointDir() or current
 
 
@@ -65,18 +64,31 @@ def stage(df, name: str, bucket_by: str | None = None, buckets: int | None = Non
 
     Cuts the lineage of a frame that several sinks consume, so a lost executor
     re-reads the staged files instead of recomputing the whole plan.  With
-    ``bucket_by`` the files are written as a table bucketed (and sorted) by that
-    key, so later joins on the key read it co-located instead of shuffling the
-    staged rows again.
+    ``bucket_by`` the rows are dealt by that key first and written as a table
+    with one sorted file per bucket, so later joins on the key read it co-located
+    instead of shuffling the staged rows again.  ``unstage`` removes it.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/stage/{name}"
+    path = stage_path(spark, name)
     if not bucket_by:
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = "stage_" + "".join(ch if ch.isalnum() else "_" for ch in name)
-    (df.write.mode("overwrite").option("path", path)
-       .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table))
-    return spark.table(table)
+    (df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
+       .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(_stage_table(name)))
+    return spark.table(_stage_table(name))
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage/{name}"
+
+
+def _stage_table(name: str) -> str:
+    return "stage_" + "".join(ch if ch.isalnum() else "_" for ch in name)
+
+
+def unstage(spark: SparkSession, name: str, path: str) -> None:
+    """Drop a staged table and delete its files; frames that read them are void."""
+    spark.sql(f"DROP TABLE IF EXISTS {_stage_table(name)}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -14,20 +14,16 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, multiline: b
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def read_table(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """A parquet table, spread over at least ``min_partitions`` tasks.
-
-    Parquet splits by row group; a small table written as one row group scans
-    as one task, leaving the other cores idle for CPU-heavy text work.  Only
-    then is the scan round-robin repartitioned to the session's default
-    parallelism.  A large input has far more splits than cores and is read as
-    is, with no extra exchange.
-    """
-    df = spark.read.parquet(path)
-    want = min_partitions if min_partitions is not None else spark.sparkContext.defaultParallelism
-    if want > 1 and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+# Most keys of a lookup that is made from run parameters and hinted for broadcast.
+LOOKUP_MAX_KEYS = 10_000
+
+
+def parameter_frame(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A lookup frame from run parameters, hinted for broadcast: its rows are
+    driver-side values, at most ``LOOKUP_MAX_KEYS`` of them."""
+    if len(rows) > LOOKUP_MAX_KEYS:
+        raise ValueError(f"a parameter lookup takes at most {LOOKUP_MAX_KEYS} rows, got {len(rows)}; read it as a table")
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -43,8 +39,10 @@ def lookup_frame(spark: SparkSession, mapping: dict, languages, key_name: str =
     the language fan-out, the fallback name and the blank filter run as Spark
     expressions.  Output: ``key_name, language_code, name`` plus ``extra``
     columns ({column: dict field}).  Rows whose resolved name is blank are
-    dropped.
+    dropped.  A mapping of more than ``LOOKUP_MAX_KEYS`` keys is refused.
     """
+    if len(mapping) > LOOKUP_MAX_KEYS:
+        raise ValueError(f"a parameter lookup takes at most {LOOKUP_MAX_KEYS} keys, got {len(mapping)}; read it as a table")
     extra = extra or {}
     schema = T.StructType(
         [T.StructField(key_name, T.StringType()), T.StructField("names", T.MapType(T.StringType(), T.StringType()))]
@@ -67,7 +65,7 @@ def localized_rows(df: DataFrame, names_col: str, languages, fallback: str = "fa
 @dataclass
 class Reference:
     """All lookups of a run, loaded once (S6).  Dict lookups are bounded
-    parameters; frames are broadcast behind a size check by the join operators."""
+    parameters; frames are joined as Spark's size estimates decide."""
     themes: dict = field(default_factory=dict)
     facilities: dict = field(default_factory=dict)
     facility_types: dict = field(default_factory=dict)

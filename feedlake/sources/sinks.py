@@ -2,62 +2,120 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.aggregates import dedupe
 
 
+def _keys(keys) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
 def merge_by_key(existing: DataFrame, changes: DataFrame, keys, order=None) -> DataFrame:
     """Keyed insert-or-update as a frame (S7 core): rows of ``changes`` replace
     rows of ``existing`` with the same key, new keys are added, and each key
-    occurs once.  ``changes`` is de-duplicated first (greatest ``order`` wins)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    occurs once.  ``changes`` is de-duplicated first (greatest ``order`` wins).
+    A null key part matches a null key part."""
+    keys = _keys(keys)
     changes = dedupe(changes, keys, order)
     ck = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     cond = None
-    for k in keys:   # null-safe: a null key part matches a null key part
+    for k in keys:
         c = existing[k].eqNullSafe(ck[f"_k_{k}"])
         cond = c if cond is None else cond & c
     kept = existing.join(ck, cond, "left_anti")
     return kept.unionByName(changes.select(*existing.columns))
 
 
+def merge_condition(table: str, keys) -> Column:
+    """Null-safe key equality of a MERGE: the target by its table name, the source as ``s``."""
+    name = table.split(".")[-1].strip("`")
+    return F.expr(" AND ".join(f"`{name}`.`{k}` <=> s.`{k}`" for k in _keys(keys)))
+
+
+def merge_into(df: DataFrame, table: str, keys, order=None) -> None:
+    """Row-level ``MERGE INTO`` of ``df``; any error of the catalog surfaces."""
+    (dedupe(df, _keys(keys), order).alias("s").mergeInto(table, merge_condition(table, keys))
+        .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+
+
+def supports_merge(spark: SparkSession, table: str) -> bool:
+    """Whether the table's catalog declares row-level operations for it."""
+    leaf = spark.table(table)._jdf.queryExecution().analyzed().collectLeaves().head()
+    if not leaf.getClass().getSimpleName().startswith("DataSourceV2Relation"):
+        return False
+    kinds = spark.sparkContext._jvm.java.lang.Class.forName(
+        "org.apache.spark.sql.connector.catalog.SupportsRowLevelOperations")
+    return kinds.isInstance(leaf.table())
+
+
+def _beside(table: str, what: str) -> str:
+    head, _, name = table.rpartition(".")
+    return f"{head}{'.' if head else ''}{name.strip('`')}__{what}"
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo an upsert that died.
+
+    ``<table>__staging`` may be incomplete and is dropped.  ``<table>__pending``
+    was written in full before the target was touched, so it is applied again,
+    which gives the same rows.
+    """
+    spark.sql(f"DROP TABLE IF EXISTS {_beside(table, 'staging')}")
+    if spark.catalog.tableExists(_beside(table, "pending")):
+        _apply_pending(spark, table)
+
+
+def _apply_pending(spark: SparkSession, table: str) -> None:
+    pending = _beside(table, "pending")
+    if spark.catalog.tableExists(table):
+        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        rows = spark.table(pending).select(*spark.table(table).columns)
+        w = rows.write.option("partitionOverwriteMode", "dynamic" if parts else "static")
+        w.insertInto(table, overwrite=True)
+        spark.sql(f"DROP TABLE {pending}")
+    else:
+        spark.sql(f"ALTER TABLE {pending} RENAME TO {table}")
+
+
 def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> None:
     """Keyed upsert into a catalog table.
 
-    Uses ``MERGE INTO`` where the table's catalog supports row-level merge.
-    Otherwise the merged result is written to a staging table, then swapped
-    in; the target is never read and overwritten by one plan.
+    Tables whose catalog declares row-level operations take a ``MERGE INTO``.
+    For others the merged rows are written to ``<table>__staging``, renamed to
+    ``<table>__pending`` once complete, and then overwrite the target; with
+    ``partition_by`` (columns of the key, so a key never moves) only the
+    partitions that ``df`` touches are read and overwritten.  The target's name
+    exists throughout, and ``recover`` completes an upsert that died half-way.
     """
     spark = df.sparkSession
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if not spark.catalog.tableExists(table):
-        w = dedupe(df, keys, order).write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(table)
-        return
-    try:
-        cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-        (dedupe(df, keys, order).alias("s").mergeInto(table, F.expr(cond))
-            .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+    keys, parts = _keys(keys), list(partition_by or [])
+    if not set(parts) <= set(keys):
+        raise ValueError(f"partition columns {parts} must belong to the key {keys}")
+    recover(spark, table)
+    if spark.catalog.tableExists(table) and supports_merge(spark, table):
+        merge_into(df, table, keys, order)
         return
-    except Exception:  # catalog without row-level merge: staged swap
-        pass
-    existing = spark.table(table)
-    tag = uuid.uuid4().hex[:8]
-    staging, previous = f"{table}__staging_{tag}", f"{table}__previous_{tag}"
-    w = merge_by_key(existing, df, keys, order).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    if spark.catalog.tableExists(table):
+        existing = spark.table(table)
+        if parts:
+            touched = df.select(*[F.col(p).alias(f"_p_{p}") for p in parts]).distinct()
+            cond = None
+            for p in parts:
+                c = existing[p].eqNullSafe(touched[f"_p_{p}"])
+                cond = c if cond is None else cond & c
+            existing = existing.join(touched, cond, "left_semi")
+        rows = merge_by_key(existing, df, keys, order)
+    else:
+        rows = dedupe(df, keys, order)
+    w = rows.write.mode("overwrite")
+    if parts:
+        w = w.partitionBy(*parts)
+    staging, pending = _beside(table, "staging"), _beside(table, "pending")
     w.saveAsTable(staging)
-    # swap by renames; the old table is dropped only once the new one holds the name
-    spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {previous}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {pending}")
+    _apply_pending(spark, table)
 
 
 def append(df: DataFrame, table: str) -> None:

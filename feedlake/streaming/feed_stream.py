@@ -14,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from feedlake import schemas
-from feedlake.operators import dedupe
-from feedlake.plans.run import FeedPaths, Sinks, prepare, run_frames
+from feedlake.plans.run import FeedPaths, Sinks, ingest_details, prepare, run_frames
 from feedlake.session import ensure_checkpoint_dir
 
 
 def start(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks | None = None,
-          name: str = "listing_feed", available_now: bool = True, max_files_per_trigger: int | None = None):
+          name: str = "listing_feed", available_now: bool = True, max_files_per_trigger: int | None = None,
+          run_ts: str | None = None):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``available_now=True`` processes every file present at start in one or
@@ -36,8 +36,8 @@ def start(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sink
 
     def per_batch(batch_df, epoch_id: int) -> None:
         feeds = prepare(spark, paths)
-        feeds["details"] = dedupe(batch_df, "id")
-        run_frames(spark, feeds, ref, run_date, sinks, tag=f"{name}_{epoch_id}")
+        feeds["details"] = ingest_details(batch_df)
+        run_frames(spark, feeds, ref, run_date, sinks, tag=f"{name}_{epoch_id}", run_ts=run_ts)
 
     writer = details.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

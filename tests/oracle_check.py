@@ -85,7 +85,7 @@ def main(argv):
     spark = local_session()
     con = duck(sf)
     qs, sq = queries(), oracle_sql()
-    names = names or list(qs)
+    names = names or [n for n in qs if n in sq]
     bad = 0
     for n in names:
         if n not in sq:
