@@ -57,4 +57,4 @@ def sql_initcap(expr: str) -> str:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from feedlake.catalog import relational, domain  # noqa: F401
+    from feedlake.catalog import relational, domain, whole_run  # noqa: F401

@@ -98,14 +98,15 @@ SELECT id, CAST(11 AS INTEGER) AS feed, k AS feed_provider_id,
        CASE WHEN s >= 3 THEN 'https://feed.example/hotel/' || CAST(k AS VARCHAR) || '.html?aid=affiliate_id' END AS feed_provider_url,
        CASE WHEN s % 3 = 0 THEN 'LIC-' || CAST(k AS VARCHAR) || ', REG-' || CAST(s AS VARCHAR) END AS license_number,
        s >= 3 AS published, CAST(1 AS INTEGER) AS min_stay,
-       lpad(CAST(s % 24 AS VARCHAR), 2, '0') || ':00' AS checkin_from, 'en-us,fr,es,de' AS languages
+       lpad(CAST(s % 24 AS VARCHAR), 2, '0') || ':00' AS checkin_from, '23:00' AS checkin_to, '07:00' AS checkout_from,
+       '11:00' AS checkout_to, 'en-us,fr,es,de' AS languages
 FROM l""")
 def d_init_keys(spark, d):
     df = listing(spark, d).transform(P.url_and_licence).transform(P.is_published)
     df = df.transform(P.min_stay).transform(P.checkin_times)
     return df.select("id", "feed", "feed_provider_id", "currency", "owner_id", "country_code", "feed_provider_url",
-                     "license_number", "published", "min_stay", "checkin_from",
-                     F.array_join("languages", ",").alias("languages"))
+                     "license_number", "published", "min_stay", "checkin_from", "checkin_to", "checkout_from",
+                     "checkout_to", F.array_join("languages", ",").alias("languages"))
 
 
 _RS = f"CAST(ROUND(CAST(coalesce(CASE WHEN s % 9 <> 0 THEN pr / 210 END, 0.0) AS DECIMAL(38,10)), 2) AS FLOAT)"
@@ -249,17 +250,19 @@ WITH {BASE}, {_RATING},
 sc AS (SELECT doc_id, CAST(CASE WHEN toxic = 1 THEN 0.0 ELSE quality * 6.5 + 2.25 END AS FLOAT) AS new_score,
               CAST(ROUND(CAST((CASE WHEN toxic = 1 THEN 0.0 ELSE quality * 6.5 + 2.25 END) / 2 AS DECIMAL(38,10)), 1)
                    AS DECIMAL(12,2)) AS new_general,
-              CAST(quality * 10 + toxic AS INTEGER) AS new_count, CAST(quality * 8.0 AS FLOAT) AS cleanliness
+              CAST(quality * 10 + toxic AS INTEGER) AS new_count, CAST(quality * 8.0 AS FLOAT) AS cleanliness,
+              CAST(toxic * 2.0 AS FLOAT) AS comfort, CAST(7.5 AS FLOAT) AS facilities, CAST(6.0 AS FLOAT) AS free_wifi,
+              CAST(quality + 5.5 AS FLOAT) AS location, CAST(9.0 AS FLOAT) AS staff, CAST(8.25 AS FLOAT) AS value_for_money
        FROM labels)
 SELECT rt.id, coalesce(CASE WHEN new_score <> 0 THEN new_score END, review_score) AS review_score,
        CAST(coalesce(CASE WHEN new_general <> 0 THEN new_general END, review_score_general) AS DECIMAL(12,2)) AS review_score_general,
-       coalesce(CASE WHEN new_count <> 0 THEN new_count END, number_of_review) AS number_of_review, cleanliness
+       coalesce(CASE WHEN new_count <> 0 THEN new_count END, number_of_review) AS number_of_review,
+       cleanliness, comfort, facilities, free_wifi, location, staff, value_for_money
 FROM rt LEFT JOIN sc ON sc.doc_id = rt.k""")
 def d_review_scores(spark, d):
     df = listing(spark, d).transform(P.rating_and_score)
     df = P.review_scores(df, A.scores_feed(spark, d))
-    return df.select("id", "review_score", "review_score_general", "number_of_review",
-                     F.col("review_scores.cleanliness").alias("cleanliness"))
+    return df.select("id", "review_score", "review_score_general", "number_of_review", "review_scores.*")
 
 
 def _flag_sql(col_sql: str, words) -> str:
@@ -578,7 +581,12 @@ SELECT id, language_code, CAST(k * 10 + i AS VARCHAR) AS room_id,
 FROM r2""")
 def d_room_arrangement(spark, d):
     df, ref = localized_listing(spark, d)
-    df = LZ.room_arrangement(df, ref).select("id", "language_code", F.explode("room_arrangement_arr_struct").alias("r"))
+    return room_columns(LZ.room_arrangement(df, ref).select("id", "language_code",
+                                                            F.explode("room_arrangement_arr_struct").alias("r")))
+
+
+def room_columns(df):
+    """Flat columns of one room ``r`` per row."""
     beds = F.array_join(F.transform("r.bed_options.configuration", lambda c: F.concat(
         c["bed_type"], F.lit(":"), c["number_of_beds"].cast("string"))), ",")
     return df.select("id", "language_code", F.col("r.id").alias("room_id"), F.col("r.name").alias("room_name"),

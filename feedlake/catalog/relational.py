@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.catalog import RUN_DATE, RUN_TS, query, sql_initcap, sql_round, sql_row_key, table, tables
+from feedlake.catalog import ORACLE, RUN_DATE, RUN_TS, query, sql_initcap, sql_round, sql_row_key, table, tables
 from feedlake.functions import (
     add_tag, blank_to_null, by_language, classify, clean_case, contains_any, constant_array,
     default, empty_to_null, first_nonblank, flag, flat_distinct,
-    guarded, join_present, localized, map_lookup, matches_any, nested, normalize_text,
+    guarded, join_array, join_present, localized, map_lookup, matches_any, nested, normalize_text,
     override_if, pack, pluck, query_param, remap_code, replace_field, row_key,
     run_epoch, safe_date, sentence, slugify, slugify_all, sorted_text, sqft, strip_nul,
     humanize, before_first, to_type, struct_text, field, per_night, round_to, half,
 )
 from feedlake.operators import (
-    attach, collect_distinct_structs, collect_sets, enrich_left,
+    attach, collect_distinct_structs, collect_flat_distinct, collect_sets, enrich_left,
     collect_sorted, dedupe, distinct_elements, explode_path, fan_out,
     fill_defaults, fill_from, first_non_null, first_where_agg, join_first_element, join_state,
-    lookup_elements, lookup_left, lookup_left_on, match,
+    lookup_elements, lookup_left, lookup_left_on, match, only,
     rollup_children, row_counts, shape, stamp, with_constants,
 )
 from feedlake.sources import localized_rows, merge_by_key, parameter_frame, sample
@@ -959,3 +959,52 @@ def q_counts(spark, d):
     ev, region, labels = tables(spark, d, "events", "region", "labels")
     return row_counts({"events": ev, "region": region,
                        "labels_quality_2": labels.filter(F.col("quality") > 1)})               # A10
+
+
+# --------------------------------------------- operators on their own
+
+@query("q_state_absent", """
+SELECT c_custkey, CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS VARCHAR) AS parent_path, CAST(NULL AS VARCHAR) AS state
+FROM customer""")
+def q_state_absent(spark, d):
+    from feedlake import schemas
+    from feedlake.sources import read_if_exists
+    state = read_if_exists(spark, "feedlake_no_such_state", schemas.LOCATION)                # S2 S5
+    keyed = table(spark, d, "customer").select("c_custkey", F.concat(F.lit(rules.ID_PREFIX), F.col("c_custkey")).alias("id"))
+    return join_state(keyed, state, "id").select("c_custkey", "location_id",
+                                                 F.array_join("parent_path", "/").alias("parent_path"), "state")
+
+
+@query("q_only", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+WHERE l_quantity > 45 AND l_returnflag = 'R'""")
+def q_only(spark, d):
+    li = table(spark, d, "lineitem")
+    kept = only(li, (F.col("l_quantity") > 45) & (F.col("l_returnflag") == "R"))             # P6
+    return kept.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+
+
+@query("q_flat_distinct", """
+SELECT l_suppkey, array_to_string(list_sort(list_distinct(flatten(list([l_returnflag, l_linestatus])))), ',') AS codes
+FROM lineitem GROUP BY l_suppkey""")
+def q_flat_distinct(spark, d):
+    li = table(spark, d, "lineitem").select("l_suppkey", F.array("l_returnflag", "l_linestatus").alias("codes"))
+    return collect_flat_distinct(li, "l_suppkey", "codes", alias="codes").select(             # A2
+        "l_suppkey", F.array_join("codes", ",").alias("codes"))
+
+
+@query("q_elem_lookup_join", ORACLE["q_elem_lookup"])
+def q_elem_lookup_join(spark, d):
+    slugged = F.regexp_replace(F.lower("text"), r"[^a-zA-Z0-9\s]", "-")
+    docs = table(spark, d, "documents").select("doc_id", F.split(slugged, r"\s+").alias("slugs"))
+    rows = [(k, c) for k, v in rules.WORD_SYNONYMS.items() for c in (v if isinstance(v, list) else [v])]
+    dim = parameter_frame(spark, rows, "slug string, category string")
+    out = lookup_elements(docs, "doc_id", "slugs", dim, "categories", dim_key="slug", value="category")  # J5 G2
+    return out.select("doc_id", F.array_join("categories", ",").alias("categories"))
+
+
+@query("q_join_array", """
+SELECT c_custkey, c_name || ' | ' || c_mktsegment AS label FROM customer""")
+def q_join_array(spark, d):
+    c = table(spark, d, "customer").withColumn("parts", F.array("c_name", "c_mktsegment"))
+    return c.select("c_custkey", join_array("parts", " | ").alias("label"))                   # F10
