@@ -60,23 +60,34 @@ def recover(spark: SparkSession, table: str) -> None:
 
     ``<table>__staging`` may be incomplete and is dropped.  ``<table>__pending``
     was written in full before the target was touched, so it is applied again,
-    which gives the same rows.
+    which gives the same rows; where the target does not exist yet, the pending
+    rows stay for the next ``upsert`` and readers use them (``current_name``).
     """
     spark.sql(f"DROP TABLE IF EXISTS {_beside(table, 'staging')}")
-    if spark.catalog.tableExists(_beside(table, "pending")):
-        _apply_pending(spark, table)
+    if spark.catalog.tableExists(table) and spark.catalog.tableExists(_beside(table, "pending")):
+        _apply_pending(spark, table, [])
 
 
-def _apply_pending(spark: SparkSession, table: str) -> None:
+def current_name(spark: SparkSession, table: str) -> str | None:
+    """The table that holds the current rows: itself, or its pending rows if it died while being created."""
+    return next((t for t in (table, _beside(table, "pending")) if spark.catalog.tableExists(t)), None)
+
+
+def _apply_pending(spark: SparkSession, table: str, partition_by: list[str]) -> None:
     pending = _beside(table, "pending")
     if spark.catalog.tableExists(table):
-        parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
         rows = spark.table(pending).select(*spark.table(table).columns)
-        w = rows.write.option("partitionOverwriteMode", "dynamic" if parts else "static")
-        w.insertInto(table, overwrite=True)
-        spark.sql(f"DROP TABLE {pending}")
+        mode = "spark.sql.sources.partitionOverwriteMode"      # insertInto takes it from the session only
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
     else:
-        spark.sql(f"ALTER TABLE {pending} RENAME TO {table}")
+        w = spark.table(pending).write
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
+    spark.sql(f"DROP TABLE {pending}")
 
 
 def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> None:
@@ -94,6 +105,8 @@ def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> No
     if not set(parts) <= set(keys):
         raise ValueError(f"partition columns {parts} must belong to the key {keys}")
     recover(spark, table)
+    if spark.catalog.tableExists(_beside(table, "pending")):      # died while the table was created
+        _apply_pending(spark, table, parts)
     if spark.catalog.tableExists(table) and supports_merge(spark, table):
         merge_into(df, table, keys, order)
         return
@@ -109,13 +122,10 @@ def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> No
         rows = merge_by_key(existing, df, keys, order)
     else:
         rows = dedupe(df, keys, order)
-    w = rows.write.mode("overwrite")
-    if parts:
-        w = w.partitionBy(*parts)
     staging, pending = _beside(table, "staging"), _beside(table, "pending")
-    w.saveAsTable(staging)
+    rows.write.mode("overwrite").saveAsTable(staging)
     spark.sql(f"ALTER TABLE {staging} RENAME TO {pending}")
-    _apply_pending(spark, table)
+    _apply_pending(spark, table, parts)
 
 
 def append(df: DataFrame, table: str) -> None:

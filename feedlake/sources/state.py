@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from feedlake.operators.joins import restrict_to
 from feedlake.sources.feeds import empty_like
-from feedlake.sources.sinks import recover
+from feedlake.sources.sinks import current_name, recover
 
 
 def read_if_exists(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
@@ -18,8 +18,9 @@ def read_if_exists(spark: SparkSession, table: str, schema: T.StructType) -> Dat
     of an existing table are added as typed nulls.  An upsert that died half-way
     is completed first."""
     recover(spark, table)
-    if spark.catalog.tableExists(table):
-        t = spark.table(table)
+    name = current_name(spark, table)
+    if name:
+        t = spark.table(name)
         have = set(t.columns)
         return t.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                           for f in schema.fields])

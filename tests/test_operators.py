@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from feedlake import rules
 from feedlake.operators import (
-    dedupe, explode_path, lookup_elements, lookup_left, sized_broadcast, fan_out, row_counts,
+    dedupe, explode_path, lookup_elements, lookup_left, fan_out, row_counts,
 )
 from feedlake.sources import merge_by_key, upsert
 from tests.conftest import SF_SMALL
@@ -24,13 +24,16 @@ def test_left_lookup_keeps_rows(spark):
     assert lookup_left(c, n.filter(F.col("c_nationkey") < 10), "c_nationkey").count() == c.count()
 
 
-def test_sized_broadcast_falls_back(spark):
-    small = spark.range(10)
-    plan = spark.range(100).join(sized_broadcast(small, max_rows=100), "id")._jdf.queryExecution().analyzed().toString()
+def test_parameter_lookups_are_bounded(spark):
+    import pytest
+    from feedlake.functions import literal_map
+    from feedlake.sources import parameter_frame
+    plan = spark.range(100).join(parameter_frame(spark, [(1,)], "id long"), "id")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan.lower()
-    big = sized_broadcast(spark.range(1000), max_rows=100)
-    plan = spark.range(100).join(big, "id")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in plan.lower()
+    with pytest.raises(ValueError):
+        parameter_frame(spark, [(i,) for i in range(10_001)], "id long")
+    with pytest.raises(ValueError):
+        literal_map({i: i for i in range(1001)})
 
 
 def test_upsert_frame_idempotent(spark):
@@ -103,11 +106,6 @@ def test_append_and_worklist_sinks(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "wl")).count() == 5
 
 
-def test_at_most_rows(spark):
-    from feedlake.operators import at_most_rows
-    assert at_most_rows(spark.range(10), 10) and not at_most_rows(spark.range(11), 10)
-
-
 def test_hot_key_third_of_rows(spark):
     """One key holds a third of the rows: dedupe, first-by-order and rollups stay
     exact, and every aggregate runs with a partial (map-side) phase."""
@@ -136,3 +134,80 @@ def test_read_feed_and_empty_like(spark, tmp_path):
     (tmp_path / "chains.json").write_text(doc)
     rows = read_feed(spark, str(tmp_path), schemas.CHAINS).orderBy("id").collect()
     assert [(r["id"], len(r["brands"])) for r in rows] == [(1, 1), (2, 0)]
+
+
+def test_dedupe_is_total(spark):
+    """Without an order the survivor depends on the rows alone, not on their layout."""
+    rows = [(i % 7, f"v{i}", {"k": str(i)}) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, v string, m map<string,string>")
+    a = sorted(map(str, dedupe(df.repartition(5), "k").collect()))
+    b = sorted(map(str, dedupe(df.orderBy(F.rand(3)).repartition(3), "k").collect()))
+    assert a == b and len(a) == 7
+
+
+def test_row_key_tells_positions_apart(spark):
+    from feedlake.functions import row_key
+    df = spark.createDataFrame([("a", None, "x"), ("a", "x", None), ("a", "", "x"), ("a", "null", "x"), ("a,1:b", None, "x")],
+                               "p string, q string, r string")
+    assert df.select(row_key("p", "q", "r").alias("id")).distinct().count() == 5
+
+
+def _fresh(spark, name):
+    for t in (name, f"{name}__staging", f"{name}__pending"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return name
+
+
+def test_upsert_matches_null_key_parts(spark):
+    t = _fresh(spark, "t_upsert_null")
+    kind = "a string, b string, v int"
+    upsert(spark.createDataFrame([("x", None, 1), ("x", "y", 2)], kind), t, ["a", "b"])
+    upsert(spark.createDataFrame([("x", None, 3), (None, None, 4)], kind), t, ["a", "b"])
+    upsert(spark.createDataFrame([(None, None, 5)], kind), t, ["a", "b"])
+    assert sorted(map(str, spark.table(t).collect())) == sorted(map(str, spark.createDataFrame(
+        [("x", None, 3), ("x", "y", 2), (None, None, 5)], kind).collect()))
+
+
+def test_upsert_touches_only_its_partitions(spark):
+    import pytest
+    t = _fresh(spark, "t_upsert_parts")
+    kind = "k int, p string, v int"
+    upsert(spark.createDataFrame([(1, "a", 1), (2, "a", 1), (1, "b", 1)], kind), t, ["k", "p"], partition_by=["p"])
+    before = {f for f in spark.table(t).where("p = 'b'").inputFiles()}
+    upsert(spark.createDataFrame([(2, "a", 9), (7, "c", 9)], kind), t, ["k", "p"], partition_by=["p"])
+    assert {f for f in spark.table(t).where("p = 'b'").inputFiles()} == before
+    assert sorted(map(tuple, spark.table(t).select("k", "p", "v").collect())) == [(1, "a", 1), (1, "b", 1), (2, "a", 9), (7, "c", 9)]
+    with pytest.raises(ValueError):
+        upsert(spark.createDataFrame([(2, "a", 9)], kind), t, ["k"], partition_by=["p"])
+
+
+def test_upsert_killed_between_its_steps_loses_nothing(spark, monkeypatch):
+    import pytest
+    from feedlake.sources import read_if_exists, sinks
+    t = _fresh(spark, "t_upsert_kill")
+    upsert(spark.range(10).selectExpr("id AS k", "0 AS v"), t, "k")
+    apply = sinks._apply_pending
+    monkeypatch.setattr(sinks, "_apply_pending", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):                     # dies after the merged rows are complete
+        upsert(spark.range(8, 12).selectExpr("id AS k", "1 AS v"), t, "k")
+    assert spark.catalog.tableExists(t) and spark.table(t).count() == 10
+    spark.range(3).write.saveAsTable(f"{t}__staging")          # and another left an incomplete one
+    monkeypatch.setattr(sinks, "_apply_pending", apply)
+    state = read_if_exists(spark, t, spark.table(t).schema)    # the next reader completes it
+    assert state.count() == 12 and state.where("v = 1").count() == 4
+    assert not spark.catalog.tableExists(f"{t}__staging") and not spark.catalog.tableExists(f"{t}__pending")
+
+
+def test_merge_condition_resolves_and_errors_surface(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from feedlake.sources.sinks import merge_into, supports_merge
+    t = _fresh(spark, "t_upsert_merge")
+    upsert(spark.range(3).selectExpr("id AS k", "0 AS v"), t, "k")
+    assert not supports_merge(spark, t)                        # a plain Parquet table declares no row-level operations
+    with pytest.raises(Exception) as e:                        # asked for anyway: the catalog's refusal surfaces,
+        merge_into(spark.range(3).selectExpr("id AS k", "1 AS v"), t, "k")
+    assert "UNRESOLVED" not in str(e.value)                    # and the condition was resolved before it
+    with pytest.raises(AnalysisException):
+        upsert(spark.range(3).selectExpr("id AS other"), t, "k")
+    assert spark.table(t).count() == 3

@@ -12,8 +12,9 @@ def con():
 
 
 def _names():
-    from __spark_entry__ import oracle_sql
-    return sorted(oracle_sql())
+    from feedlake.catalog import ORACLE, load_all
+    load_all()
+    return sorted(ORACLE)
 
 
 @pytest.mark.parametrize("name", _names())
@@ -25,7 +26,9 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    from feedlake.catalog import ORACLE, QUERIES
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):

@@ -12,8 +12,9 @@ def physical(df):
 
 @pytest.fixture(scope="module")
 def all_queries():
-    from __spark_entry__ import queries
-    return queries()
+    from feedlake.catalog import QUERIES, load_all
+    load_all()
+    return QUERIES
 
 
 def test_no_python_evaluation(spark, all_queries):
@@ -28,10 +29,22 @@ def test_photos_and_rooms_rollups_have_no_exchange(spark):
     from feedlake.plans import listing as P
     df = A.listing_feed(spark, SF_SMALL)
     plan = physical(df.transform(P.hotel_photos).transform(P.rooms).select("id", "images", "bedroom_count"))
-    # the only exchange allowed is the source balancing of a one-split table
     assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
 
 
+def test_building_a_plan_starts_no_job(spark, all_queries):
+    """Only Spark's sizes and AQE pick strategies: no operator counts rows while a plan is built
+    (reading a table's schema from its footer is the reader's own job)."""
+    tracker = spark.sparkContext.statusTracker()
+    for name, q in all_queries.items():
+        spark.sparkContext.setJobGroup(f"build::{name}", name)
+        q(spark, SF_SMALL)
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"build::{name}")]
+        tasks = sum(tracker.getStageInfo(s).numTasks for j in jobs if j for s in j.stageIds if tracker.getStageInfo(s))
+        scans = 14      # at most one single-task footer job per table read
+        assert tasks <= scans * 4, f"{name} runs {len(jobs)} jobs, {tasks} tasks while it is built"
+
+
 def test_dimension_lookups_broadcast(spark, all_queries):
     plan = physical(all_queries["q_broadcast_feature"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan
@@ -67,10 +80,37 @@ def test_wide_listing_shuffled_once_at_scale(spark, all_queries):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     smj_on_id = len(re.findall(r"SortMergeJoin \[id#\d+\], \[id#\d+\]", plan))
     shuffles_on_id = len(re.findall(r"Exchange hashpartitioning\(id#\d+, \d+\)", plan))
-    assert smj_on_id >= 3
+    # state, review scores and search are joined by id: three joins, the wide frame crosses one exchange
+    assert smj_on_id == 2
     assert shuffles_on_id == smj_on_id + 1
 
 
+def test_wide_documents_shuffled_once_from_ingestion(spark):
+    """From the raw feed on: the de-duplication's shuffle by listing id serves the joins by id."""
+    import re
+    from feedlake.catalog import RUN_DATE, adapters as A
+    from feedlake.plans import location as LOC
+    from feedlake.plans.run import details, ingest_details
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    try:
+        raw = A.listing_feed(spark, SF_SMALL)
+        df, _ = LOC.location_begin(ingest_details(raw), A.location_state(spark, SF_SMALL))
+        df = details(df, A.reference(spark), A.scores_feed(spark, SF_SMALL), A.chains_feed(spark, SF_SMALL),
+                     A.search_feed(spark, SF_SMALL), A.stored_prices(spark, SF_SMALL), RUN_DATE)
+        df.write.format("noop").mode("overwrite").save()
+        plan = physical(df)
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    final = plan.split("== Initial Plan ==")[0]
+    by_id = re.findall(r"SortMergeJoin \[id#\d+\], \[id#\d+\], LeftOuter", final)
+    assert len(by_id) == 4                                       # state, scores, search, stored price
+    # one exchange by listing id (the documents) and one by id for each narrow right side
+    assert len(re.findall(r"Exchange hashpartitioning\(listing_id#\d+, \d+\)", final)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(id#\d+, \d+\)", final)) == 4
+
+
 def test_localized_wide_rows_shuffled_once_at_scale(spark, all_queries):
     """Localise path with automatic broadcasts off: the feature-summary map is
     joined to the listing rows by id before the language fan-out, so the wide

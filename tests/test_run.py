@@ -21,23 +21,36 @@ def test_run_twice_is_stable(spark):
         df.write.mode("overwrite").json(f"{root}/{name}")
     # Spark writes JSON Lines (one document per line), so multiLine is off here
     paths = FeedPaths(**{k: f"{root}/{k}" for k in feeds}, multiline=False)
-    for t in ("rental_property_localize", "rental_property_location"):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    names = ("localize", "location", "listing", "reviews", "history")
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS r_{t}")
     ref = A.reference(spark)
-    sinks = Sinks(worklist_path=f"{root}/worklist", price_state_table=None)
-    out = run(spark, paths, ref, RUN_DATE, sinks)
-    loc = spark.table("rental_property_localize")
+    # two locales without a language name: their rows stay apart by language_code
+    ref.locales = {k: {**v, "disabled": v["code"] in ("fr", "es")} for k, v in ref.locales.items()}
+    # the listing table is the price state of the next run; all five sinks are on
+    sinks = Sinks(localize_table="r_localize", location_table="r_location", listing_table="r_listing",
+                  reviews_table="r_reviews", price_history_table="r_history", price_state_table="r_listing",
+                  worklist_path=f"{root}/worklist")
+    run(spark, paths, ref, RUN_DATE, sinks)
+    loc = spark.table("r_localize")
     n1 = loc.count()
     assert n1 == feeds["details"].count() * 4
-    assert loc.select("property_id", "language").distinct().count() == loc.filter(F.col("language").isNotNull()).count() \
-        + loc.filter(F.col("language").isNull()).select("property_id").distinct().count()
+    assert loc.select("property_id", "language_code").distinct().count() == n1
+    assert loc.where("language is null").count() == n1 // 2
+    history = spark.table("r_history").count()
+    assert history > 0 and spark.table("r_listing").count() == feeds["details"].count()
+    assert spark.table("r_reviews").count() > 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stage_enriched")]
     assert spark.read.option("header", True).csv(f"{root}/worklist/batch").count() > 0
-    first = sorted(map(tuple, loc.select("property_id", "language", "property_slug", "address").collect()), key=repr)
-    run(spark, paths, ref, RUN_DATE, sinks)
-    again = sorted(map(tuple, spark.table("rental_property_localize").select(
-        "property_id", "language", "property_slug", "address").collect()), key=repr)
-    assert again == first
-    newloc = spark.table("rental_property_location")
+    cols = ("property_id", "language_code", "property_slug")
+    first = sorted(map(tuple, loc.select(*cols).collect()), key=repr)
+    run(spark, paths, ref, RUN_DATE, sinks)                  # replayed: same rows, same history ids
+    assert sorted(map(tuple, spark.table("r_localize").select(*cols).collect()), key=repr) == first
+    zero = spark.table("r_listing").where("usd_price <= 0").count()
+    run(spark, paths, ref, RUN_DATE, sinks, run_ts=f"{RUN_DATE} 12:00:00")
+    grown = spark.table("r_history").count()                 # a later run adds rows for prices still taken from search
+    assert grown >= history and (zero == 0 or grown > history)
+    newloc = spark.table("r_location")
     assert newloc.count() == newloc.select("id").distinct().count()
 
 
@@ -74,5 +87,6 @@ def test_staged_frame_bucketed_by_id(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    # only the other side is shuffled; the staged side is read co-located
+    # one file per bucket, and only the other side is shuffled; the staged side is read co-located
+    assert len(staged.inputFiles()) == 8
     assert plan.count("Exchange hashpartitioning") == 1
