@@ -151,8 +151,8 @@ def _scan(docs: DataFrame, block, id_type: str, only_hits: bool) -> DataFrame:
             doc = np.searchsorted(bounds, pos, side="right") - 1
             order = np.argsort(doc, kind="stable")
             pos, tests, doc = pos[order], tests[order], doc[order]
-            rows, firsts = np.unique(doc, return_index=True)
-            lasts = np.append(firsts[1:], len(doc))
+            rows, firsts, counts = np.unique(doc, return_index=True, return_counts=True)
+            lasts = firsts + counts
             n = part.num_rows
             spans, items, matches = [[]] * n, [[]] * n, [[]] * n
             for d, lo, hi in zip(rows.tolist(), firsts.tolist(), lasts.tolist(), strict=True):
