@@ -60,15 +60,16 @@ def _strength(groups: DataFrame) -> float:
     """Pseudo-counts of the prior of one level, by moments over groups with (bad, n, m).
 
     The variance of the groups' rates beyond binomial noise around their parent
-    means ``m``; between 1 and 1,000.
+    means ``m``; at least 1, at most 1,000 or the number of labelled outcomes.
     """
     noise = F.col("m") * (1 - F.col("m"))
     r = groups.where("n > 0").agg(
         F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("m"), F.lit(2.0))).alias("seen"),
-        F.sum(noise).alias("noise"), F.sum(F.col("n") * noise).alias("most")).first()
+        F.sum(noise).alias("noise"), F.sum(F.col("n") * noise).alias("most"), F.sum("n").alias("n")).first()
+    most = min(1000.0, max(1.0, float(r["n"] or 0)))
     if not r["seen"] or r["seen"] <= r["noise"] or r["most"] <= r["noise"]:
-        return 1000.0
-    return min(1000.0, max(1.0, (r["most"] - r["noise"]) / (r["seen"] - r["noise"]) - 1))
+        return most
+    return min(most, max(1.0, (r["most"] - r["noise"]) / (r["seen"] - r["noise"]) - 1))
 
 
 def _posterior(groups: DataFrame, strength: float) -> DataFrame:
