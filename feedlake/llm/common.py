@@ -37,6 +37,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class StagedTable:
+    """A staged table bucketed and sorted by ``key``: joins and groups by the key read it without a shuffle.
+
+    ``deal`` sends the rows to one task a bucket first (one file each); without it
+    every task writes the buckets it holds.  ``drop`` removes table and files.
+    """
+
+    def __init__(self, df: DataFrame, key: str, buckets: int | None = None, deal: bool = True):
+        self.spark = df.sparkSession
+        n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"llm_stage_{uuid.uuid4().hex}"
+        self.path = f"{shared_dir(self.spark)}/llm/{self.name}"
+        rows = df.repartition(n, key) if deal else df
+        w = rows.write.option("path", self.path).option("compression", "zstd").bucketBy(n, key)
+        (w.sortBy(key) if deal else w).saveAsTable(self.name)
+
+    def df(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` does this fast where a text is all ASCII;
     elsewhere it would also change other letters, so ``translate`` is used."""

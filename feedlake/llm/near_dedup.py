@@ -10,12 +10,14 @@
    falls below ``MISS``.  Survivors are confirmed on their full sets.
 4. Pairs within a bucket are never all formed.  First each member meets the
    bucket's smallest id.  Buckets whose members then lie in one component are
-   done, as further links could not change it.  In the others, growing random
-   slices of members meet the members of other components, and before each later
-   slice every document is closed that cannot reach the threshold with any open
-   one because too few of its shingles occur in another open document (an exact
-   bound).  This ends when all buckets are done or every member has been met, so
-   no link that joins two components is lost, whatever a bucket's size.
+   done, as further links could not change it.  In the others every document is
+   closed that cannot reach the threshold with any open one because too few of its
+   shingles occur in another open document (an exact bound).  What is left open in
+   a small bucket meets the members of other components; in a large one, the
+   members outside its main component are the queries, which are compared with the
+   bucket block by block inside tasks, and only pairs that pass step 3's signature
+   test leave them.  So no link that joins two components is lost, whatever a
+   bucket's size.
 
 Texts are lower-cased in A-Z and split at ASCII white space.  A text with fewer
 words than a shingle is one shingle; a text without words (or null) has an empty
@@ -35,14 +37,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
-from .common import join_groups, stage
+from .common import StagedTable, join_groups, stage
 from .components import components
 
 HASHES, ROWS = 128, 4
 BANDS = HASHES // ROWS
 BATCH = 32                # hashes compared at a time
 MISS = 1e-6               # posterior probability at which a pair is dropped
-FIRST_SLICE, GROWTH = 16, 8
+SMALL = 32                # members of a bucket whose open pairs are formed by a join
+BLOCK_MEMBERS = 1024      # members of a larger bucket compared by one call
 BLOCK_BYTES = 1 << 20
 GROUP_HASHES = 1 << 20    # shingles one task counts
 
@@ -137,50 +140,58 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_
     return rows.select("rep", "text", "digest").mapInArrow(build, "rep long, shingles binary")
 
 
-class _Verifier:
-    """Confirms candidate pairs (u, v)."""
-
-    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int):
-        self.classes, self.sets, self.percent = classes, sets, percent
-
-    def _both(self, pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
-        for side in "uv":
-            pairs = pairs.join(table.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-        return pairs
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that reach the threshold, staged."""
-        percent = self.percent
-        similarity = percent / 100
-        least = [least_matches(n, similarity, MISS) for n in range(BATCH, HASHES + 1, BATCH)]
-
-        def likely(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), dtype=np.uint32).reshape(-1, HASHES) for k in ("sig_u", "sig_v"))
-                alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
-                for k, need in enumerate(least):
-                    at = slice(k * BATCH, (k + 1) * BATCH)
-                    matches = matches + (a[alive, at] == c[alive, at]).sum(axis=1)
-                    going = matches >= need
-                    alive, matches = alive[going], matches[going]
-                yield b.select(["u", "v"]).take(pa.array(alive))
-
-        def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keep = []
-                for x, y in zip(b.column("shingles_u").to_pylist(), b.column("shingles_v").to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                    both = np.concatenate((x, y))
-                    both.sort(kind="stable")
-                    same = int((both[1:] == both[:-1]).sum())
-                    keep.append(100 * same >= percent * (len(x) + len(y) - same))
-                yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-        near = self._both(pairs, self.classes, ["n", "sig"])
-        near = near.where((100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")))
-        maybe = stage(near.select("u", "v", "sig_u", "sig_v").mapInArrow(likely, "u long, v long"), "maybe")
-        full = self._both(maybe, self.sets, ["shingles"])
-        return stage(full.select("u", "v", "shingles_u", "shingles_v").mapInArrow(exact, "u long, v long"), "confirmed")
+def likely(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
+    """Rows at which signatures a and b stay likely to reach the threshold through all batches."""
+    alive, matches = np.arange(len(b)), np.zeros(len(b), dtype=np.int64)
+    for k, need in enumerate(least):
+        at = slice(k * BATCH, (k + 1) * BATCH)
+        matches = matches + ((a[alive, at] if a.ndim == 2 else a[at]) == b[alive, at]).sum(axis=1)
+        going = matches >= need
+        alive, matches = alive[going], matches[going]
+    return alive
+
+
+def batch_bounds(percent: int) -> list[int]:
+    return [least_matches(n, percent / 100, MISS) for n in range(BATCH, HASHES + 1, BATCH)]
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+
+
+def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+    for side in "uv":
+        pairs = pairs.join(table.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs
+
+
+def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (u, v) that pass the sizes' and the signatures' test."""
+    least = batch_bounds(percent)
+
+    def test(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            alive = likely(_signatures(b.column("sig_u")), _signatures(b.column("sig_v")), least)
+            yield b.select(["u", "v"]).take(pa.array(alive))
+
+    near = _both(pairs, classes, ["n", "sig"])
+    near = near.where(100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
+    return near.select("u", "v", "sig_u", "sig_v").mapInArrow(test, "u long, v long")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that reach the threshold on their full sets."""
+    def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column("shingles_u").to_pylist(), b.column("shingles_v").to_pylist(), strict=True):
+                both = np.frombuffer(x + y, dtype=np.uint64).copy()
+                both.sort(kind="stable")
+                same = int((both[1:] == both[:-1]).sum())
+                keep.append(100 * same >= percent * (len(both) - same))
+            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return _both(pairs, sets, ["shingles"]).select("u", "v", "shingles_u", "shingles_v").mapInArrow(exact, "u long, v long")
 
 
 def _shared_shingles(sets: DataFrame, open_reps: DataFrame, total: int) -> DataFrame:
@@ -201,8 +212,7 @@ def _shared_shingles(sets: DataFrame, open_reps: DataFrame, total: int) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
                                              names=["part", "rep", "hashes"])
 
-    def count(batches: Iterable[pa.RecordBatch]) -> pa.Table:
-        t = batches
+    def count(t: pa.Table) -> pa.Table:
         reps = t.column("rep").to_pylist()
         lists = [np.frombuffer(h, dtype=np.uint64) for h in t.column("hashes").to_pylist()]
         sizes = np.array([len(x) for x in lists])
@@ -224,14 +234,15 @@ def near_groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col:
     """Per row: doc_id, n_shingles, component_id, kept."""
     rows = stage(signed(docs, shingle, id_col, text_col), "signed")
     # The signature is a function of the set, so any member's will do.
-    classes = stage(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
+    class_table = StagedTable(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"),
-        F.count(F.lit(1)).alias("members")), "classes")
+        F.count(F.lit(1)).alias("members")), "rep")
+    classes = class_table.df()
 
     def banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                keys = band_keys(np.frombuffer(b"".join(b.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, HASHES))
+                keys = band_keys(_signatures(b.column("sig")))
                 rep, n = (np.repeat(b.column(c).to_numpy(), BANDS) for c in ("rep", "n"))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep), pa.array(n)], names=["key", "rep", "n"])
 
@@ -239,32 +250,35 @@ def near_groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col:
     counted = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("first")).where("m > 1")
     members = stage(bands.join(counted, "key"), "members")          # only buckets with company
     touched = members.select("rep").distinct().join(classes.select("rep", "digest"), "rep")
-    verify = _Verifier(classes, stage(_full_sets(docs, touched, shingle, id_col, text_col), "sets"), percent)
+    set_table = StagedTable(_full_sets(docs, touched, shingle, id_col, text_col), "rep")
+    sets = set_table.df()
 
-    links = verify.links(members.where("rep <> first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct())
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return stage(_confirmed(stage(pairs, "likely"), sets, percent), "links")
+
+    first = members.where("rep <> first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct()
+    links = confirm(_likely_pairs(first, classes, percent))
     group = stage(components(links), "components")
     open_rows = _open(members.where("m > 2").select("key", "rep", "n", "m"), group)
-    below, upto = 0, FIRST_SLICE
-    while not open_rows.isEmpty():
-        if below:
-            open_rows = _open(_closed(open_rows, verify.sets, percent), None)
-        pairs = stage(_slice_pairs(open_rows, below, upto, percent), "pairs")
-        if not pairs.isEmpty():
-            links = verify.links(pairs)
-            # Old components stay as links to their smallest member.
-            group = stage(components(links.unionByName(group.select(F.col("node").alias("u"), F.col("component").alias("v")))), "components")
-        open_rows = _open(open_rows.where(F.col("m") > upto).drop("component"), group)
-        below, upto = upto, upto * GROWTH
+    if not open_rows.isEmpty():
+        open_rows = _open(_closed(_open(_closed(open_rows, sets, percent)), sets, percent))
+        small = _likely_pairs(_small_pairs(open_rows, percent), classes, percent)
+        more = confirm(small.unionByName(_block_pairs(open_rows, classes, percent)).distinct())
+        # Old components stay as links to their smallest member.
+        kept = group.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        group = stage(components(more.unionByName(kept)), "components")
 
     # Classes with few members are joined by a shuffle, the few heavy ones stay in place.
     named = stage(classes.join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
         "digest", "members", F.coalesce("component", "rep").alias("component")), "named")
+    class_table.drop()
+    set_table.drop()
     found = join_groups(rows.select("doc_id", "n", "digest"), named, "digest", "members", rows.count(), "left")
     own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
-def _open(rows: DataFrame, group: DataFrame | None) -> DataFrame:
+def _open(rows: DataFrame, group: DataFrame | None = None) -> DataFrame:
     """The members (key, rep, n, m, component) of buckets that hold more than one component, staged."""
     if group is not None:
         rows = rows.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -288,24 +302,55 @@ def _closed(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return open_rows.join(alive, "rep", "left_semi")
 
 
-def _slice_pairs(open_rows: DataFrame, below: int, upto: int, percent: int) -> DataFrame:
-    """Pairs of a random slice of each bucket's members with its members of other components.
+def _small_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in buckets of at most SMALL members."""
+    rows = open_rows.where(F.col("m") <= SMALL)
+    a = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "component")])
+    b = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "component")])
+    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return a.join(b, "key").where(apart & sizes).select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v")).distinct()
+
 
-    Members are dealt by a hash of their id, so that about ``upto`` of a bucket have been
-    picked after this slice (all, if it has no more).  Pairs are formed in the first
-    bucket they share only.
+def _block_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs in larger buckets: members outside the bucket's main component against all its members.
+
+    Both sides are dealt into blocks of about BLOCK_MEMBERS; one call compares one
+    block of queries with one of members and passes on what the signatures leave,
+    in the first band that the two share only.
     """
-    keyed = open_rows.groupBy("rep").agg(F.sort_array(F.collect_list("key")).alias("keys"))      # at most BANDS keys
-    rows = open_rows.join(keyed, "rep").withColumn("turn", F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("m"))
-    rows = rows.where(F.col("turn") >= below)              # members of earlier slices have met everyone
-    picked = rows.where(F.col("turn") < upto)
-    a = picked.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "component", "keys", "turn")])
-    b = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "component", "keys", "turn")])
-    once = (F.col("turn_b") >= upto) | (F.col("rep_a") < F.col("rep_b"))
-    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return (a.join(b, "key").where((F.col("component_a") != F.col("component_b")) & once & sizes & first)
-            .select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v")).distinct())
+    rows = open_rows.where(F.col("m") > SMALL)
+    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"),
+                                    F.sum("c").alias("all"), F.max("c").alias("most"))
+    rows = rows.join(main, "key").join(classes.select("rep", "sig"), "rep")
+    blocks = F.ceil(F.col("all") / BLOCK_MEMBERS).cast("int")
+    asked = F.ceil((F.col("all") - F.col("most")) / BLOCK_MEMBERS).cast("int")
+    own = F.xxhash64("rep")
+    cols = ["key", "rep", "n", "component", "sig"]
+    members = rows.select(*cols, F.pmod(own, blocks).cast("int").alias("mb"), F.explode(F.sequence(F.lit(0), asked - 1)).alias("qb"))
+    queries = rows.where("component <> main").select(*[F.col(c).alias(c) for c in cols], F.pmod(own, asked).cast("int").alias("qb"),
+                                                     F.explode(F.sequence(F.lit(0), blocks - 1)).alias("mb"))
+    least = batch_bounds(percent)
+
+    def compare(q: pa.Table, m: pa.Table) -> pa.Table:
+        u, v = [], []
+        if q.num_rows and m.num_rows:
+            key = q.column("key")[0].as_py()
+            (rep_q, n_q, c_q), (rep_m, n_m, c_m) = ([t.column(c).to_numpy() for c in ("rep", "n", "component")] for t in (q, m))
+            sig_q, sig_m = (_signatures(t.column("sig").combine_chunks()) for t in (q, m))
+            keys_q, keys_m = band_keys(sig_q), band_keys(sig_m)
+            for i in range(len(rep_q)):
+                fit = np.flatnonzero((c_m != c_q[i]) & (100 * np.minimum(n_m, n_q[i]) >= percent * np.maximum(n_m, n_q[i])))
+                fit = fit[likely(sig_q[i], sig_m[fit], least)]
+                shared = keys_m[fit] == keys_q[i]
+                fit = fit[keys_q[i][shared.argmax(axis=1)] == key]
+                u.append(np.minimum(rep_m[fit], rep_q[i]))
+                v.append(np.maximum(rep_m[fit], rep_q[i]))
+        u, v = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (u, v))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return queries.groupBy("key", "qb", "mb").cogroup(members.groupBy("key", "qb", "mb")).applyInArrow(compare, "u long, v long")
 
 
 def drop_near_copies(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -313,4 +358,4 @@ def drop_near_copies(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id
     """One document of each group stays (its smallest id), with all its columns."""
     found = near_groups(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -20,7 +20,6 @@ id never remove words from each other.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
+from .common import StagedTable, stage
 
 # Perfect difference covers: every number modulo the period is a difference of two members.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -112,17 +112,14 @@ def _cut48(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes & low) | (hashes & lead & ~low)
 
 
-def _staged(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, int]:
-    """(documents in chunks, table, bytes of text); a task writes the chunks it reads, nothing is shuffled."""
-    spark = docs.sparkSession
+def _staged(docs: DataFrame, id_col: str, text_col: str) -> tuple[StagedTable, int]:
+    """(documents in chunks, bytes of text); a task writes the chunks it reads, nothing is shuffled."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     number = F.monotonically_increasing_id()
     row = F.pmod(number, F.lit(1 << 33))
-    name = f"substring_dedup_{uuid.uuid4().hex}"
-    (rows.withColumn("chunk", F.shiftright(number, 33) * F.lit(1 << 20) + F.floor(row / CHUNK_ROWS))
-         .write.bucketBy(max(1, -(-size // BUCKET_BYTES)), "chunk").option("compression", "zstd").saveAsTable(name))
-    return spark.table(name), name, size
+    chunk = F.shiftright(number, 33) * F.lit(1 << 20) + F.floor(row / CHUNK_ROWS)
+    return StagedTable(rows.withColumn("chunk", chunk), "chunk", max(1, -(-size // BUCKET_BYTES)), deal=False), size
 
 
 def remove_repeats(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,9 +127,8 @@ def remove_repeats(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id",
 
     The result is read from files in the shared folder.
     """
-    from .common import stage
     period = _period(window)
-    staged, name, size = _staged(docs, id_col, text_col)
+    table, size = _staged(docs, id_col, text_col)
     a_bits = max(0, (size // 14 // GROUP_HASHES)).bit_length()       # about one anchor in 14 bytes
     w_bits = a_bits
 
@@ -230,7 +226,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id",
             kept.append(b" ".join([w for w, g in zip(own, mask.tolist(), strict=True) if not g]))
         return _result(c.ids, c.sizes, removed, spans, kept)
 
-    chunks = staged.groupBy("chunk")
+    chunks = table.df().groupBy("chunk")
     pairs = (chunks.applyInArrow(anchors, "chunk long, part int, hashes binary, several binary")
              .groupBy("part").applyInArrow(repeated_anchors, "chunk long, part int, hashes binary, low binary"))
     opened = (chunks.cogroup(pairs.groupBy("chunk"))
@@ -239,7 +235,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 13, id_col: str = "doc_id",
     result = (chunks.cogroup(first.groupBy("chunk"))
               .applyInArrow(cut, "doc_id long, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept string"))
     out = stage(result, "kept")
-    docs.sparkSession.sql(f"DROP TABLE {name}")
+    table.drop()
     return out
 
 
