@@ -169,7 +169,9 @@ class Model:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
         index, bounds = features(texts)
-        total = lambda v: np.diff(np.concatenate(([0.0], np.cumsum(v[index], dtype=np.float64)))[bounds])
+        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        # Summed text by text, so a score does not depend on the texts beside it.
+        total = lambda v: np.bincount(doc, weights=v[index], minlength=len(texts))
         margin = total(self.part) / np.maximum(1e-9, np.sqrt(np.maximum(total(self.square), 0))) + self.bias
         return 1 / (1 + np.exp(-np.clip(self.a * margin + self.c, -30, 30)))
 
