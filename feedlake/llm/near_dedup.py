@@ -15,8 +15,8 @@
    shingles occur in another open document (an exact bound).  What is left open in
    a small bucket meets the members of other components; in a large one, the
    members outside its main component are the queries, which are compared with the
-   bucket block by block inside tasks, and only pairs that pass step 3's signature
-   test leave them.  So no link that joins two components is lost, whatever a
+   bucket block by block inside tasks by step 3's tests, and only confirmed links
+   leave them.  So no link that joins two components is lost, whatever a
    bucket's size.
 
 Texts are lower-cased in A-Z and split at ASCII white space.  A text with fewer
@@ -179,16 +179,21 @@ def _likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return near.select("u", "v", "sig_u", "sig_v").mapInArrow(test, "u long, v long")
 
 
+def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets of distinct values reach the threshold."""
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return 100 * same >= percent * (len(both) - same)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that reach the threshold on their full sets."""
     def exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
             for x, y in zip(b.column("shingles_u").to_pylist(), b.column("shingles_v").to_pylist(), strict=True):
-                both = np.frombuffer(x + y, dtype=np.uint64).copy()
-                both.sort(kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * same >= percent * (len(both) - same))
+                keep.append(reaches(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent))
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return _both(pairs, sets, ["shingles"]).select("u", "v", "shingles_u", "shingles_v").mapInArrow(exact, "u long, v long")
@@ -263,7 +268,7 @@ def near_groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col:
     if not open_rows.isEmpty():
         open_rows = _open(_closed(_open(_closed(open_rows, sets, percent)), sets, percent))
         small = _likely_pairs(_small_pairs(open_rows, percent), classes, percent)
-        more = confirm(small.unionByName(_block_pairs(open_rows, classes, percent)).distinct())
+        more = confirm(small).unionByName(stage(_block_links(open_rows, classes, sets, percent), "links"))
         # Old components stay as links to their smallest member.
         kept = group.select(F.col("node").alias("u"), F.col("component").alias("v"))
         group = stage(components(more.unionByName(kept)), "components")
@@ -312,22 +317,22 @@ def _small_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     return a.join(b, "key").where(apart & sizes).select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v")).distinct()
 
 
-def _block_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs in larger buckets: members outside the bucket's main component against all its members.
+def _block_links(open_rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links in larger buckets: members outside the bucket's main component against all its members.
 
     Both sides are dealt into blocks of about BLOCK_MEMBERS; one call compares one
-    block of queries with one of members and passes on what the signatures leave,
-    in the first band that the two share only.
+    block of queries with one of members: by signatures, and what these leave by
+    full sets, in the first band that the two share only.
     """
     rows = open_rows.where(F.col("m") > SMALL)
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"),
                                     F.sum("c").alias("all"), F.max("c").alias("most"))
-    rows = rows.join(main, "key").join(classes.select("rep", "sig"), "rep")
+    rows = rows.join(main, "key").join(classes.select("rep", "sig"), "rep").join(sets, "rep")
     blocks = F.ceil(F.col("all") / BLOCK_MEMBERS).cast("int")
     asked = F.ceil((F.col("all") - F.col("most")) / BLOCK_MEMBERS).cast("int")
     own = F.xxhash64("rep")
-    cols = ["key", "rep", "n", "component", "sig"]
+    cols = ["key", "rep", "n", "component", "sig", "shingles"]
     members = rows.select(*cols, F.pmod(own, blocks).cast("int").alias("mb"), F.explode(F.sequence(F.lit(0), asked - 1)).alias("qb"))
     queries = rows.where("component <> main").select(*[F.col(c).alias(c) for c in cols], F.pmod(own, asked).cast("int").alias("qb"),
                                                      F.explode(F.sequence(F.lit(0), blocks - 1)).alias("mb"))
@@ -340,11 +345,13 @@ def _block_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> Data
             (rep_q, n_q, c_q), (rep_m, n_m, c_m) = ([t.column(c).to_numpy() for c in ("rep", "n", "component")] for t in (q, m))
             sig_q, sig_m = (_signatures(t.column("sig").combine_chunks()) for t in (q, m))
             keys_q, keys_m = band_keys(sig_q), band_keys(sig_m)
+            set_q, set_m = ([np.frombuffer(b, dtype=np.uint64) for b in t.column("shingles").to_pylist()] for t in (q, m))
             for i in range(len(rep_q)):
                 fit = np.flatnonzero((c_m != c_q[i]) & (100 * np.minimum(n_m, n_q[i]) >= percent * np.maximum(n_m, n_q[i])))
                 fit = fit[likely(sig_q[i], sig_m[fit], least)]
                 shared = keys_m[fit] == keys_q[i]
                 fit = fit[keys_q[i][shared.argmax(axis=1)] == key]
+                fit = fit[[reaches(set_q[i], set_m[j], percent) for j in fit.tolist()]] if len(fit) else fit
                 u.append(np.minimum(rep_m[fit], rep_q[i]))
                 v.append(np.maximum(rep_m[fit], rep_q[i]))
         u, v = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (u, v))
