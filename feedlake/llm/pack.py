@@ -18,9 +18,12 @@ numbered per input partition from ``1 << 40`` up.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +33,42 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import words as W
 from .common import stage
 
-MEMO = 600_000            # words a worker remembers
+MEMO = 1_200_000            # words a worker remembers
 BLOCK_BYTES = 2 << 20
 SWEEPS = 60
 
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = True
+_PUNCTUATION = np.zeros(256, dtype=bool)
+_PUNCTUATION[0x21:0x7F] = True
+_PUNCTUATION[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"]] = False
+
+# Lower-case letters of ASCII and Latin-1, as UTF-8: composed, and the same in lower case.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# Byte-level text: visible bytes stand for themselves, the others for the next characters from 256 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LEVEL = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE) if b != 0x20}
+
+
 class WordTokens:
     """Token ids of texts, by words: a word between ASCII white space is tokenised
-    once and remembered.  Right for tokenizers that drop white space and never
-    join or change text across it."""
+    once and remembered.  Right for tokenizers that lower-case, drop white space,
+    never join or change text across it, and split letters from punctuation."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(definition)
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tokenizer, self.end = Tokenizer.from_str(definition), end
+        # A model that marks word ends codes a list of plain words in one go: no normaliser
+        # or splitting pattern changes those, and the marks tell the words apart.
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        self.ends = None
+        if suffix and '"ByteLevel"' in definition:
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+            self.ends = np.array([t.endswith(suffix) for t in names])
         self._clear()
 
     def _clear(self) -> None:
@@ -51,50 +76,123 @@ class WordTokens:
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.start, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+    def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, number of each)."""
+        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
         ids = [e.ids for e in coded]
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        total, n = int(sizes.sum()), len(self.memo)
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+    def _coded_plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of lower-case letters, as byte-level text."""
+        text = b" ".join(words).decode("latin-1").translate(_BYTE_LEVEL)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain = [w for w in new if _PLAIN.fullmatch(w)] if self.ends is not None else []
+        if plain:
+            self._keep(plain, *self._coded_plain(plain))
+        other = [w for w in new if not _PLAIN.fullmatch(w)] if plain else new
+        if other:
+            self._keep(other, *self._coded(other))
+
+    def _keep(self, new: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        total, n = len(ids), len(self.memo)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
         while n + len(new) > len(self.start):
             self.start = np.concatenate((self.start, np.zeros_like(self.start)))
             self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-        self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=total)
+        self.flat[self.used:self.used + total] = ids
         self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
         self.size[n:n + len(new)] = sizes
         self.memo.update(zip(new, range(n, n + len(new)), strict=True))
         self.used += total
 
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by ``end``; bounds)."""
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by the end id; bounds)."""
         if len(self.memo) > MEMO:
             self._clear()
-        split = [t.split() for t in texts]
-        words = [w for ws in split for w in ws]
-        memo = self.memo
-        new = list({w for w in words if w not in memo})
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(memo.__getitem__, words), dtype=np.int64, count=len(words))
-        sizes = self.size[at]
-        ends = np.cumsum(np.fromiter(map(len, split), dtype=np.int64, count=len(split)))
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        lengths = np.diff(upto[ends], prepend=0) + 1
-        bounds = np.concatenate(([0], np.cumsum(lengths)))
-        out = np.full(bounds[-1], end, dtype=np.uint32)
+        parts, owner, whole = [], [], {}
+        for i, t in enumerate(texts):
+            cut = None if b"<|" in t else _cut(t.lower())
+            if cut is None:              # the name of a special token, or a word beyond a buffer: as it is
+                whole[i] = self._coded([t])[0]
+            else:
+                parts += cut
+                owner += [i] * len(cut)
+        ids, counts = self._buffers(parts)
+        lengths = np.bincount(np.array(owner, dtype=np.int64), weights=counts, minlength=len(texts)).astype(np.int64)
+        for i, own in whole.items():
+            lengths[i] = len(own)
+        bounds = np.concatenate(([0], np.cumsum(lengths + 1)))
+        out = np.full(bounds[-1], self.end, dtype=np.uint32)
         text = np.ones(len(out), dtype=bool)
         text[bounds[1:] - 1] = False
-        out[text] = self.flat[np.repeat(self.start[at] - upto[:-1], sizes) + np.arange(upto[-1])]
+        for i, own in whole.items():
+            out[bounds[i]:bounds[i] + len(own)] = own
+            text[bounds[i]:bounds[i] + len(own)] = False
+        out[text] = ids
         return out, bounds
 
+    def _buffers(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids per part), joining parts into buffers of at most a chunk."""
+        ids, counts, i = [np.empty(0, dtype=np.uint32)], [np.empty(0, dtype=np.int64)], 0
+        while i < len(parts):
+            size, j = 0, i
+            while j < len(parts) and (j == i or size + len(parts[j]) < W.CHUNK):
+                size += len(parts[j]) + 1
+                j += 1
+            some, n = self._buffer(parts[i:j])
+            ids.append(some)
+            counts.append(n)
+            i = j
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _buffer(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one buffer: its words are told apart by their hashes and only
+        different ones are looked up."""
+        raw = b" ".join(parts)
+        buf = np.frombuffer(raw, dtype=np.uint8)
+        starts, ends = W.word_spans(buf, W.WHITE)
+        # Punctuation at the end of a word, after an ASCII letter or digit, is a word of its own.
+        last = np.maximum.accumulate(np.where(_PUNCTUATION[buf], -1, np.arange(len(buf), dtype=np.int32)))
+        stop = last[ends - 1] if len(ends) else last[:0]
+        tail = (stop >= starts) & (stop < ends - 1) & _LETTER[buf[np.maximum(stop, 0)]]
+        starts, ends = np.concatenate((starts, stop[tail] + 1)), np.concatenate((np.where(tail, stop + 1, ends), ends[tail]))
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
+        _, first, at = np.unique(W.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        new = [w for w in words if w not in self.memo]
+        if new:
+            self._learn(new)
+        at = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))[at]
+        sizes = self.size[at]
+        upto = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.start[at] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+        part_ends = np.cumsum([len(t) + 1 for t in parts])
+        return ids, np.diff(np.concatenate(([0], upto))[np.searchsorted(starts, part_ends)], prepend=0)
+
+
+def _cut(text: bytes) -> list[bytes] | None:
+    """A text in parts shorter than a chunk, cut at white space; none if a word is too long."""
+    out = []
+    while len(text) >= W.CHUNK:
+        at = max(text.rfind(c, 0, W.CHUNK - 1) for c in (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"))
+        if at < 0:
+            return None
+        out.append(text[:at])
+        text = text[at + 1:]
+    return [*out, text]
+
 
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-_coders: dict[int, WordTokens] = {}
+_coders: dict[tuple, WordTokens] = {}
 
 
 def tokenised(docs: DataFrame, definition: str, end: int, window: int, id_col: str, text_col: str) -> DataFrame:
@@ -104,12 +202,14 @@ def tokenised(docs: DataFrame, definition: str, end: int, window: int, id_col: s
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coders.setdefault(zlib.crc32(held.value.encode()), None) or WordTokens(held.value)
-        _coders[zlib.crc32(held.value.encode())] = coder          # a worker that is reused keeps its words
+        key = (zlib.crc32(held.value.encode()), end)
+        if key not in _coders:                 # a worker that is reused keeps its words
+            _coders[key] = WordTokens(held.value, end)
+        coder = _coders[key]
         part = TaskContext.get().partitionId()
         seen, fulls = np.zeros(window, dtype=np.int64), 0
         for block in W.blocks(batches, "text", BLOCK_BYTES):
-            ids, bounds = coder.encode(W.utf8(block.column("text")), end)
+            ids, bounds = coder.encode(W.utf8(block.column("text")))
             lengths = np.diff(bounds)
             full, rest = lengths // window, lengths % window
             order = np.argsort(rest, kind="stable")                # number tails of one length in turn

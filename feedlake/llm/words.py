@@ -48,12 +48,21 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _hash_buffer(buf: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, start offsets) of the words of a buffer that is at most CHUNK bytes long."""
-    sep = separators[buf]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], sep, [True]))))
-    starts, ends = edge[::2], edge[1::2]
+    starts, ends = word_spans(buf, separators)
+    return span_hashes(buf, starts, ends), starts
+
+
+def word_spans(buf: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of a buffer."""
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], separators[buf], [True]))))
+    return edge[::2], edge[1::2]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of a buffer that is at most CHUNK bytes long."""
     run = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[buf] * _UP[:len(buf)], out=run[1:])
-    return mix((run[ends] - run[starts]) * _DOWN[starts]), starts
+    return mix((run[ends] - run[starts]) * _DOWN[starts])
 
 
 def _long_word(buf: bytes) -> np.uint64:
