@@ -16,6 +16,8 @@ id and the text are neither read nor needed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import ascii_lower, join_groups, stage
@@ -29,10 +31,14 @@ def normalised(text: Column) -> Column:
     return F.coalesce(ascii_lower(text), F.lit(""))
 
 
+def _sha(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text).cast("binary"), 256))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, sha) of every row; ``sha`` is the SHA-256 of the normalised text."""
     return docs.select(F.col(id_col).alias("doc_id"),
-                       F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)).alias("sha"))
+                       _sha(F.col(text_col)).alias("sha"))
 
 
 def _bits(sha: Column) -> Column:
@@ -81,7 +87,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay: one per normalised text, with all their columns.
 
-    Ids are taken as unique; of rows that share both id and text, all stay or go together.
+    A row leaves only if a row with its id and its text is not kept, so null or reused
+    ids cost no other text; rows that share both id and text stay or go together.
     """
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = (exact_groups(docs, id_col, text_col).where(~F.col("kept"))
+            .select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_gone_sha")).distinct())
+    own = f"_sha_{uuid.uuid4().hex}"         # a column, so that a text is hashed once and not in every comparison
+    rows = docs.withColumn(own, _sha(docs[text_col]))
+    same = rows[id_col].eqNullSafe(gone["_gone"]) & (rows[own] == gone["_gone_sha"])
+    return rows.join(gone, same, "left_anti").drop(own)

@@ -34,6 +34,21 @@ def test_exact_groups(spark, monkeypatch, bits):
     assert exact_dedup.exact_groups(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("threshold", ["10m", "-1"])       # broadcast and shuffled
+def test_null_and_reused_ids_lose_no_text(spark, threshold):
+    rows = [(None, "copy", 1), (4, "COPY", 2), (None, "alone", 3), (None, None, 4), (7, "a", 5), (9, "a", 6), (7, "b", 7),
+            (None, "both", 8), (None, "both", 9), (7, "A", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        left = exact_dedup.drop_exact_copies(docs)
+        assert left.columns == docs.columns
+        assert sorted(r["_gone"] for r in left.collect()) == [2, 3, 4, 6, 7, 8, 9]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_unique_rows_are_not_shuffled_by_hash(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     prints = exact_dedup.fingerprints(docs)
