@@ -7,7 +7,10 @@ stop-word density and link density.  Blocks that are too short or too plain to
 tell are left open, and pass 2 gives them the label of the nearest decided
 neighbours of their region.  A region is the closest article, main or excluded
 element; where a page has an article with text, only articles can hold main text
-and their open blocks without decided neighbours stay in.
+and their open blocks without decided neighbours stay in.  An article inside an
+element that is out by a class word alone (``has-sidebar``), or a post with such a
+word itself, is in doubt: it counts where the page has no other article, and only
+with blocks that pass 1 or a decided neighbour lets in.  Comments stay out.
 
 Scripts, styles, comments, heads and hidden elements are dropped while reading.
 Character references are decoded, white space becomes one space, kept blocks are
@@ -59,6 +62,8 @@ respond search share sharing sidebar signup skyscraper social sponsor sponsored
 toolbar widget complementary contentinfo
 """.split())
 HEAD_WORDS = frozenset("header topbar".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+POST_WORDS = frozenset("article entry hentry post story".split())       # as whole words of class, id or role
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?/](?![a-zA-Z])[^>]*(?:>|\Z)"""
@@ -70,16 +75,27 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 
 
 class _Region:
-    """An article, an excluded element or the rest of the page."""
-    __slots__ = ("tag", "main", "out")
+    """An article, an excluded element or the rest of the page.
 
-    def __init__(self, tag: str, main: bool, out: bool):
-        self.tag, self.main, self.out = tag, main, out
+    ``doubt``: an element that is out by a class word alone, or an article in one.
+    """
+    __slots__ = ("tag", "main", "out", "doubt")
 
+    def __init__(self, tag: str, main: bool, out: bool, doubt: bool = False):
+        self.tag, self.main, self.out, self.doubt = tag, main, out, doubt
 
-def _attributes(text: str) -> tuple[set[str], bool]:
-    """(words of class, id and role; hidden)."""
-    words, hidden = set(), False
+    @property
+    def article(self) -> bool:
+        return self.main or self.doubt and not self.out
+
+
+def _is_comment(words: set[str], whole: set[str]) -> bool:
+    return bool(COMMENT_WORDS & whole or COMMENT_WORDS & words and not POST_WORDS & whole)
+
+
+def _attributes(text: str) -> tuple[set[str], set[str], bool]:
+    """(words of class, id and role; the same uncut; hidden)."""
+    words, whole, hidden = set(), set(), False
     for name, value in _ATTR.findall(text):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(
@@ -87,7 +103,8 @@ def _attributes(text: str) -> tuple[set[str], bool]:
             hidden = True
         elif name in ("class", "id", "role"):
             words.update(_PARTS.split(value))
-    return words, hidden
+            whole.update(value.split())
+    return words, whole, hidden
 
 
 def _blocks(page: str) -> list[tuple[str, int, _Region]]:
@@ -114,6 +131,12 @@ def _blocks(page: str) -> list[tuple[str, int, _Region]]:
             if in_link:
                 linked += len(text.strip())
 
+    def excluded(name: str, words: set[str], whole: set[str], hard: bool) -> _Region:
+        """Out; in doubt if only by a class word, outside of articles and comments."""
+        above = stack[-1][1] if stack else root
+        doubt = not (hard or above.article or above.out and not above.doubt or _is_comment(words, whole))
+        return _Region(name, False, True, doubt)
+
     while m := _TAG.search(page, at):
         add(page[at:m.start()])
         at = m.end()
@@ -134,12 +157,11 @@ def _blocks(page: str) -> list[tuple[str, int, _Region]]:
             parts.append(" ")
             continue
         if name not in BLOCK_TAGS:
-            words = ()
             if not closing and m["attrs"]:
-                words, hidden = _attributes(m["attrs"])
+                words, whole, hidden = _attributes(m["attrs"])
                 if hidden or OUT_WORDS.intersection(words):
                     flush()
-                    stack.append((name, _Region(name, False, True)))
+                    stack.append((name, excluded(name, words, whole, hidden)))
             elif closing and stack and stack[-1][0] == name:
                 flush()
                 stack.pop()
@@ -156,17 +178,20 @@ def _blocks(page: str) -> list[tuple[str, int, _Region]]:
             if name != "p":
                 continue
         region = stack[-1][1] if stack else root
-        words, hidden = _attributes(m["attrs"] or m["attrs2"] or "")
-        inside = region.main
-        if name in MAIN_TAGS and not OUT_WORDS.intersection(words) and not hidden:
+        words, whole, hidden = _attributes(m["attrs"] or m["attrs2"] or "")
+        inside = region.article
+        named = bool(OUT_WORDS.intersection(words))
+        post = bool(POST_WORDS & whole) and not _is_comment(words, whole)
+        if name in MAIN_TAGS and (not named or post and not inside) and not hidden:
             # An article cannot stand in a menu or page header: that one was not closed.
             while stack and stack[-1][0] in ("nav", "menu", "header", "ul", "li"):
                 stack.pop()
             region = stack[-1][1] if stack else root
-            stack.append((name, region if region.out else _Region(name, True, False)))
-        elif hidden or name in OUT_TAGS or OUT_WORDS.intersection(words) or not inside and (
-                name == "header" or HEAD_WORDS.intersection(words)):
-            stack.append((name, _Region(name, False, True)))
+            doubt = named or region.doubt
+            stack.append((name, region if region.out and not region.doubt else _Region(name, not doubt, False, doubt)))
+        elif hidden or name in OUT_TAGS or named or not inside and (name == "header" or HEAD_WORDS.intersection(words)):
+            hard = hidden or name in OUT_TAGS or name in MAIN_TAGS or name == "header"
+            stack.append((name, excluded(name, words, whole, hard)))
         elif name != "p":
             stack.append((name, region))
     add(page[at:])
@@ -208,7 +233,7 @@ def main_text(page: str) -> str:
             near, k = decided.get(id(r), []), last.get(id(r), 0)
             around = [j for j in (near[k - 1] if k else None, near[k] if k < len(near) else None) if j is not None]
             # The nearest decided block; of two as near, one that stays in wins.
-            label = labels[min(around, key=lambda j: (abs(j - i), not labels[j]))] if around else r.main or not linked
+            label = labels[min(around, key=lambda j: (abs(j - i), not labels[j]))] if around else r.main or not (linked or r.doubt)
         if label:
             kept.append(text)
     return "\n\n".join(kept)

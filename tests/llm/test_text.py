@@ -58,6 +58,26 @@ def test_html(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_articles_in_wrappers_with_class_words():
+    long = " ".join(("This is the story of a man and his dog. " * 5).split())
+    story = f"<header><h1>T</h1></header><p>{long}</p><p>Short end.</p>"
+    whole = f"T\n\n{long}\n\nShort end."
+    for page in (f"<div class='has-sidebar'><article>{story}</article></div>", f"<div id='content-sidebar-wrap'><main>{story}</main></div>",
+                 f"<div class='has-header'><div class=x><main><article>{story}</article></main></div></div>",
+                 f"<article class='post comment-open'>{story}</article>",
+                 f"<div class=has-sidebar><main>{story}<div class=related><article><p>{long}</p></article></div></main></div>"):
+        assert html_text.main_text(page) == whole, page
+    # Beside an article, in comments and by element such articles stay out; short blocks alone do not come in.
+    for page in (f"<div class=sidebar><article>{story}</article></div><article><p>Own.</p></article>",
+                 f"<article><p>Own.</p><div class=related><article>{story}</article></div></article>"):
+        assert html_text.main_text(page) == "Own."
+    for page in (f"<div class=comments><article>{story}</article></div>", f"<aside class=sidebar><article>{story}</article></aside>",
+                 f"<aside><div class=sidebar><article>{story}</article></div></aside>", f"<div class=sidebar>{story}</div>",
+                 f"<div class=sidebar><article class=comment>{story}</article></div>", f"<article class=ad>{story}</article>",
+                 "<div class=sidebar><article><p>Read this.</p></article></div>", f"<div class=sidebar hidden><article>{story}</article></div>"):
+        assert html_text.main_text(page) == "", page
+
+
 def test_articles_of_the_pages_table(spark):
     import html as h
     from tests.conftest import SF_CHECK
