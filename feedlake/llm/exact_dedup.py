@@ -2,11 +2,13 @@
 
 Pass 1 sets, for every row, ``K`` bits of a blocked Bloom filter and finds the
 bits that rows set more than once; pass 2 looks every row's bits up.  A row with
-a bit that nobody else sets is unique for certain and passes straight through;
-only possibly repeated rows are shuffled by their hash, where the decision is
-made exactly on SHA-256.  The filter takes ``BITS_PER_ROW`` bits a row at every
-size, in blocks of 32,768 bits (4 KB), and is joined by block, not broadcast by
-hint: Spark picks a broadcast only where its own byte threshold allows one.
+a bit that nobody else sets is unique for certain and is not grouped by hash;
+only possibly repeated rows are, where the decision is made exactly on SHA-256.
+The filter takes ``BITS_PER_ROW`` bits a row at every size, in blocks of 32,768
+bits (4 KB), and is joined by block, not broadcast by hint: Spark picks a
+broadcast only where its own byte threshold allows one.  Beyond it this join
+shuffles the (id, SHA-256) of every row, and pass 1 up to ``K`` (block, bit,
+count) rows per distinct text and task at any size; texts are never shuffled.
 
 Null text counts as empty.  Rows with equal normalised texts form a group, rows
 repeated with the same id count each; the largest id stays (a null id only if
