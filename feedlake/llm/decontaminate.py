@@ -7,10 +7,11 @@ in it, which gives all occurrences of its first ``window`` words; occurrences on
 one diagonal are joined into longest verbatim matches with their locations.
 Then affected documents are marked or removed.
 
-The documents are read once a test block and never shuffled.  The test items
-are the stated query set: they are sent to the tasks in blocks of at most
-``BLOCK_WORDS`` words (a longer item is a block of its own), one broadcast a
-block.  Results of several blocks are joined by document.
+The documents are read once a test block and their texts never shuffled.  The
+test items are the stated query set: they are sent to the tasks in blocks of at
+most ``BLOCK_WORDS`` words (a longer item is a block of its own), one broadcast a
+block.  With several blocks the rows are staged once with a row number, and the
+blocks' results are joined by it: every row is judged on its own at any size.
 
 Words are runs of ASCII letters, digits and all non-ASCII characters, A-Z in
 lower case, compared by 64-bit hashes.  Null and empty texts have no words;
@@ -22,17 +23,19 @@ no hits.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
+from .common import stage
 
 WINDOW = 10
 BLOCK_WORDS = 500_000
 SHARD_BYTES = 4 << 20
-_ROW = ("doc_id {id}, n_words long, spans array<struct<start:int,end:int>>, items array<string>, "
+_ROW = ("row long, doc_id {id}, n_words long, spans array<struct<start:int,end:int>>, items array<string>, "
         "matches array<struct<item:string,start:int,length:int>>")
 
 
@@ -125,7 +128,7 @@ def _matches(block: TestBlock, pos: np.ndarray, tests: np.ndarray) -> list[tuple
 
 
 def test_blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> Iterator[TestBlock]:
-    """The test items in blocks; one block at a time is on the driver."""
+    """The test items in blocks; the driver holds one or two at a time."""
     held, size = [], 0
     for row in benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")),
                                 F.coalesce(F.col(text_col), F.lit("")).cast("binary")).toLocalIterator():
@@ -140,7 +143,7 @@ def test_blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str)
 
 
 def _scan(docs: DataFrame, block, id_type: str, only_hits: bool) -> DataFrame:
-    """Rows (doc_id, n_words, spans, items, matches) of documents against one block."""
+    """Rows (row, doc_id, n_words, spans, items, matches) of documents against one block."""
     schema = _ROW.format(id=id_type)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,11 +164,11 @@ def _scan(docs: DataFrame, block, id_type: str, only_hits: bool) -> DataFrame:
                 items[d] = sorted(set(test.names[test.item[own]]))
                 matches[d] = [{"item": i, "start": s, "length": k} for i, s, k in _matches(test, at, own)]
             out = pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()),
+                part.column("row"), part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                 pa.array(items, pa.list_(pa.string())),
                 pa.array(matches, pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()), ("length", pa.int32())])))],
-                names=["doc_id", "n_words", "spans", "items", "matches"])
+                names=["row", "doc_id", "n_words", "spans", "items", "matches"])
             yield out.take(pa.array(rows)) if only_hits else out
 
     return docs.mapInArrow(scan, schema)
@@ -175,18 +178,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
                   text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items (sorted), matches, contaminated."""
     sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                       F.col(text_col).cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    found = None
-    for i, block in enumerate(test_blocks(benchmark, window, item_col, item_text)):
-        one = _scan(rows, sc.broadcast(block), id_type, only_hits=i > 0).withColumn("first", F.lit(i == 0))
-        found = one if found is None else found.unionByName(one)
-    if i:   # several blocks: hits of a document meet by its id; rows that share an id are judged together
-        found = (found.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+    blocks = test_blocks(benchmark, window, item_col, item_text)
+    head, more = next(blocks), next(blocks, None)
+    if more is not None:      # every block has to see the same row numbers
+        rows = stage(rows, "rows")
+    found = _scan(rows, sc.broadcast(head), id_type, only_hits=False)
+    if more is not None:
+        for block in chain([more], blocks):
+            found = found.unionByName(_scan(rows, sc.broadcast(block), id_type, only_hits=True))
+        found = (found.groupBy("row").agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.flatten(F.collect_list("spans")).alias("spans"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-            F.flatten(F.collect_list("matches")).alias("matches"), F.count_if("first").alias("times"))
-            .withColumn("spans", _union(F.col("spans"))).withColumn("_", F.explode(F.sequence(F.lit(1), "times"))))
+            F.flatten(F.collect_list("matches")).alias("matches"))
+            .withColumn("spans", _union(F.col("spans"))))
     length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_words", length.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                         F.sort_array("items").alias("items"), "matches", (F.size("spans") > 0).alias("contaminated"))

@@ -179,6 +179,20 @@ def test_contamination(spark, monkeypatch, block):
     assert decontaminate.contamination(empty(spark), bench).count() == 0
 
 
+def test_rows_with_shared_ids_are_judged_alone_in_several_blocks(spark, monkeypatch):
+    parts = [" ".join(f"{c}{i}" for i in range(12)) for c in "ab"]
+    values = [(None, "clean"), (None, parts[0]), (None, None), (7, "clean too"), (7, parts[0] + " x " + parts[1]), (8, parts[1]), (8, parts[1])]
+    docs = spark.createDataFrame(values, "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(parts)), "item_id long, text string")
+    want = Counter({(None, 1, 0, (), 0): 1, (None, 12, 12, ("0",), 1): 1, (None, 0, 0, (), 0): 1, (7, 2, 0, (), 0): 1,
+                    (7, 25, 24, ("0", "1"), 2): 1, (8, 12, 12, ("1",), 1): 2})
+    for block in (500_000, 4):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+        assert len(list(decontaminate.test_blocks(bench, 10, "item_id", "text"))) == (1 if block > 4 else 2)
+        got = decontaminate.contamination(docs, bench).collect()
+        assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), len(r["matches"])) for r in got) == want
+
+
 def test_covers():
     for period, cover in substring_dedup.COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
