@@ -25,8 +25,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 # Runs shorter than the least length would only be found to be dropped; a maximal
 # run found by {32,} starts and ends where the one found by + does.
 HEX = r"[0-9a-f]{32,}"
-# A whole token of 16 or more characters with a digit and a letter.
-BARE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,64}[0-9])(?=[0-9+/_-]{0,64}[A-Za-z])[A-Za-z0-9+/_-]{16,}")
+# A whole token of 16 or more characters with a digit and a letter; the lookbehind
+# lets each token be looked through once, however long it is.
+BARE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}")
 # kind, pattern, group with the value, least characters of the value.
 KINDS = [("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32), ("live", BARE, 0, 16)]
 LIVE = 3

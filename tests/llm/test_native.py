@@ -147,3 +147,14 @@ def test_secret_spans(spark):
     assert shared["n_live"] == 0 and shared["n_shared"] == 2 and "live" not in shared["spans"]
     assert "live:4:25" in by_id[8 * 3 + 1]["spans"]
     assert secret_scan.scan_secrets(empty(spark)).count() == 0
+
+
+def test_bare_tokens_with_a_late_digit_or_letter(spark):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tokens = [letters + letters[:14] + "01234567", "0123456789" * 7 + "xyz", letters * 2000 + "7"]
+    plain = [letters * 3, "0123456789" * 9, "+" * 100 + "/" * 100]
+    got = {r["doc_id"]: r for r in secret_scan.scan_secrets(documents(spark, tokens + plain, repeat_rows=False)).collect()}
+    for i, t in enumerate(tokens + plain):
+        r = got[i * 3 + 1]
+        live = [x for x in r["spans"].split(",") if x.startswith("live")]
+        assert live == ([f"live:0:{len(t)}"] if i < len(tokens) else []), t[:80]
