@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, exact_dedup, html_text, kd_shard, near_dedup, pack, quality, secret_scan, substring_dedup, \
-    url_reputation
+from . import byte_bpe, decontaminate, dialogue_repair, exact_dedup, html_text, kd_shard, near_dedup, pack, pivot_codes, quality, \
+    secret_scan, substring_dedup, url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
@@ -19,6 +21,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@functools.lru_cache(1)
+def byte_level_definition() -> str:
+    import public_tokenizers
+    return byte_bpe.definition(byte_bpe.read_ranks(tokenizer_path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
 def op1_kd_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = kd_shard.kd_shards(table(spark, sf_dir, "documents"), ["source", "lang", "n_chars"], shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -69,6 +77,24 @@ def op10_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_suffix_dawg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.repair(dialogue_repair.damage(table(spark, sf_dir, "conversations")), times_col="times")
+
+
+def op12_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = pivot_codes.compress(table(spark, sf_dir, "embeddings"))
+    digest = books.digest() if books else hashlib.sha256().hexdigest()
+    return coded.select("vec_id", pivot_codes.hex_codes().alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    definition = byte_level_definition()
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), definition)
+    back = byte_bpe.decode(coded.withColumn("packed", byte_bpe.little_endian("ids")), definition)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"), "split_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_shard": op1_kd_shard,
     "op2_nbsvm_quality": op2_nbsvm_quality,
@@ -80,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_rule_html": op8_block_rule_html,
     "op9_suffix_array_decontamination": op9_suffix_array_decontamination,
     "op10_difference_cover": op10_difference_cover,
+    "op11_suffix_dawg_repair": op11_suffix_dawg_repair,
+    "op12_laesa_codes": op12_laesa_codes,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 _LOWER = "translate(coalesce({x}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
