@@ -15,10 +15,10 @@ from feedlake.functions import (
     humanize, before_first, to_type, struct_text, field, per_night, round_to, half,
 )
 from feedlake.operators import (
-    attach, collect_distinct_structs, collect_flat_distinct, collect_sets, enrich_left,
+    LOCATOR, attach, collect_distinct_structs, collect_flat_distinct, collect_sets, enrich_left,
     collect_sorted, dedupe, distinct_elements, explode_path, fan_out,
     fill_defaults, fill_from, first_non_null, first_where_agg, join_first_element, join_state,
-    lookup_elements, lookup_left, lookup_left_on, match, only,
+    lookup_elements, lookup_left, lookup_left_on, located, match, only,
     rollup_children, row_counts, shape, stamp, with_constants,
 )
 from feedlake.sources import localized_rows, merge_by_key, parameter_frame, sample
@@ -926,8 +926,8 @@ SELECT user_id, event_id, ts, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""")
 def q_dedupe(spark, d):
-    ev = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value")
-    return dedupe(ev, "user_id", ["ts", "event_id"])                                         # A8
+    ev = located(table(spark, d, "events")).select("user_id", "event_id", "ts", "event_type", "value", LOCATOR)
+    return dedupe(ev, "user_id", ["ts", "event_id"], locator=LOCATOR)                        # A8
 
 
 @query("q_topn_sample", """

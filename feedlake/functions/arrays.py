@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlake.functions.columns import as_col, literal_map
+from feedlake.functions.columns import as_col, literal_lookup
 from feedlake.functions.text import slugify
 
 
@@ -18,12 +18,9 @@ def pluck(col, field: str) -> Column:
 
 def map_lookup(col, mapping, key_type: str | None = "string") -> Column:
     """Translate every element through a map, dropping unknown ones.
-    ``mapping`` is a dict (literal map, R2) or a MapType Column."""
-    m = literal_map(mapping) if isinstance(mapping, dict) else mapping
-    if key_type:
-        translated = F.transform(as_col(col), lambda x: m[x.cast(key_type)])
-    else:
-        translated = F.transform(as_col(col), lambda x: m[x])
+    ``mapping`` is a dict (``literal_lookup``), a function of the key column or a MapType Column."""
+    look_up = literal_lookup(mapping) if isinstance(mapping, dict) else mapping if callable(mapping) else lambda x: mapping[x]
+    translated = F.transform(as_col(col), lambda x: look_up(x.cast(key_type) if key_type else x))
     return F.filter(translated, lambda x: x.isNotNull())
 
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import zlib
+from collections.abc import Callable
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Most keys of a lookup that is written into the plan.
+# Most keys of a literal map, and of a lookup in buckets; fewest keys that are worth buckets.
 LITERAL_MAP_MAX = 1000
+LOOKUP_MAX = 200_000
+BUCKETS_FROM = 16
 
 
 def as_col(c) -> Column:
@@ -82,19 +87,64 @@ def first_match(cases) -> Column:
 
 def literal_map(mapping: dict) -> Column:
     """A literal MapType column from a small driver-side dict (R2).  Keys and
-    values keep their Python types.  The map is part of the plan and searched
-    entry by entry, so a larger lookup is refused: join a frame instead."""
+    values keep their Python types.  The map is searched entry by entry, so it
+    takes few keys; ``literal_lookup`` takes many."""
     if len(mapping) > LITERAL_MAP_MAX:
-        raise ValueError(f"a literal map takes at most {LITERAL_MAP_MAX} keys, got {len(mapping)}; join a frame")
+        raise ValueError(f"a literal map takes at most {LITERAL_MAP_MAX} keys, got {len(mapping)}; use literal_lookup or join a frame")
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
 
 
+def literal_lookup(mapping: dict) -> Callable[[Column], Column]:
+    """A function from a key column to the mapping's value, null for other keys.
+
+    The mapping, run parameters of at most ``LOOKUP_MAX`` keys, is one constant of
+    the plan: an array of buckets, each a small map, picked by the key's CRC-32, so
+    the time of a lookup does not grow with the number of keys.  Keys are texts or
+    integers; values are texts, integers, floats or booleans, or lists of these.
+    A few keys stay a plain literal map.
+    """
+    if len(mapping) > LOOKUP_MAX:
+        raise ValueError(f"a lookup from parameters takes at most {LOOKUP_MAX} keys, got {len(mapping)}; join a frame")
+    kinds = {type(k) for k in mapping}
+    if len(mapping) <= BUCKETS_FROM or not kinds <= {str, int}:
+        m = literal_map(mapping)
+        return lambda key: m[key]
+    n = 1 << (len(mapping) // 2).bit_length()
+    buckets: list[dict] = [{} for _ in range(n)]
+    for k, v in mapping.items():
+        buckets[zlib.crc32(str(k).encode()) % n][str(k)] = list(v) if isinstance(v, (list, tuple)) else v
+    constant = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{_value_kind(mapping.values())}>>")
+
+    def look_up(key: Column) -> Column:
+        text = key.cast("string")
+        return F.get(constant, (F.crc32(text.cast("binary")) % n).cast("int"))[text]
+
+    return look_up
+
+
+def _value_kind(values) -> str:
+    """The SQL type that holds all values, as literals have it."""
+    values = [v for v in values if v is not None]
+    if any(isinstance(v, (list, tuple)) for v in values):
+        return f"array<{_value_kind([x for v in values for x in v])}>"
+    kinds = {type(v) for v in values}
+    if kinds <= {str}:
+        return "string"
+    if kinds == {bool}:
+        return "boolean"
+    if kinds == {int}:
+        return "int" if all(-(1 << 31) <= v < 1 << 31 for v in values) else "bigint"
+    if kinds <= {int, float}:
+        return "double"
+    raise TypeError(f"values of a lookup have one type; these have {sorted(k.__name__ for k in kinds)}")
+
+
 def remap_code(col, mapping: dict) -> Column:
     """Trimmed, upper-cased code with listed codes replaced."""
     code = F.upper(F.trim(as_col(col)))
     if not mapping:
         return code
-    return F.coalesce(literal_map(mapping)[code], code)
+    return F.coalesce(literal_lookup(mapping)(code), code)
 
 
 def row_key(*business_keys) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlake.functions.columns import as_col
+from feedlake.functions.columns import as_col, literal_lookup
 
 # Fixed patterns (values that must equal the reference's behaviour).
 SLUG_RUN = r"[^a-zA-Z0-9]+"          # slug: one separator per run of other characters
@@ -63,14 +63,63 @@ def matches_any(col, words, lower: bool = True) -> Column:
 
 def contains_any(col, words) -> Column:
     """Literal substring test, OR over a keyword list (F6).  Never null for a
-    null input: the result is coalesced to false."""
+    null input: the result is coalesced to false.  More than a few keywords are
+    looked for in one pass, so their number hardly matters."""
     c = as_col(col)
     if not words:
         return F.lit(False)
-    test = reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+    if "" in words:
+        return c.isNotNull()
+    if len(words) > PASSES:
+        test = c.rlike(keyword_pattern(words))
+    else:
+        test = reduce(lambda a, b: a | b, [c.contains(w) for w in words])
     return F.coalesce(test, F.lit(False))
 
 
+PASSES = 4          # keywords that are cheaper to look for one by one
+
+
+def keyword_pattern(words) -> str:
+    """One pattern for a keyword list: a trie, so that keywords share the test of their
+    common starts.  It matches the longest keyword at a place."""
+    trie: dict = {}
+    for w in words:
+        at = trie
+        for ch in w:
+            at = at.setdefault(ch, {})
+        at[""] = {}
+
+    def fold(node: dict) -> str:
+        ways = [_escape(ch) + fold(child) for ch, child in sorted(node.items()) if ch]
+        if not ways:
+            return ""
+        return (ways[0] if len(ways) == 1 and "" not in node else f"(?:{'|'.join(ways)})") + ("?" if "" in node else "")
+
+    return fold(trie)
+
+
+def keyword_lists_found(col, lists) -> Column:
+    """Which of several keyword lists have a keyword in the text, as the sorted array of
+    their positions (F6, U3, U4); empty for null.
+
+    The text is scanned once for all keywords: at every place the longest keyword that
+    starts there is taken, and a keyword that is the start of a found one is there as well.
+    """
+    c, words = as_col(col), sorted({w for ws in lists for w in ws if w})
+    always = F.array(*[F.lit(i) for i, ws in enumerate(lists) if "" in ws]).cast("array<int>")
+    if not words:
+        return F.when(c.isNotNull(), always).otherwise(F.array().cast("array<int>"))
+    owners: dict = {w: {i for i, ws in enumerate(lists) if w in ws} for w in words}
+    for w in words:                  # sorted: a start comes before the words that it starts
+        for k in range(1, len(w)):
+            owners[w] |= owners.get(w[:k], set())
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?=({keyword_pattern(words)}))"), F.lit(1)))
+    look_up = literal_lookup({w: sorted(own) for w, own in owners.items()})
+    places = F.flatten(F.transform(found, lambda w: look_up(w)))
+    return F.coalesce(F.array_sort(F.array_union(places, always)), F.array().cast("array<int>"))
+
+
 def before_first(col, sep: str, suffix: str) -> Column:
     """Text up to the first ``sep`` plus ``suffix``; null for null input."""
     c = as_col(col)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(cs):
@@ -27,25 +28,72 @@ def order_key(order) -> Column:
     return F.struct(*_cols(order))
 
 
-def dedupe(df: DataFrame, keys, order=None, keep: str = "last") -> DataFrame:
+def row_hash(df: DataFrame, columns) -> Column:
+    """A 64-bit hash of the columns' values; maps are hashed as their sorted entries."""
+    return F.xxhash64(*[_hashable(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns])
+
+
+def _hashable(c: Column, kind: T.DataType) -> Column:
+    """``c`` without maps, which have no order and hence no hash of their own."""
+    if not _holds_map(kind):
+        return c
+    if isinstance(kind, T.MapType):
+        entry = F.transform(F.map_entries(c), lambda e: F.struct(
+            _hashable(e["key"], kind.keyType).alias("k"), _hashable(e["value"], kind.valueType).alias("v")))
+        return F.sort_array(entry)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: _hashable(x, kind.elementType))
+    return F.when(c.isNotNull(), F.struct(*[_hashable(c.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]))
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
+LOCATOR = "_locator"
+
+
+def located(df: DataFrame) -> DataFrame:
+    """``df``, read straight from Parquet files, with each row's place (file, row) as ``LOCATOR``."""
+    return df.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(LOCATOR))
+
+
+def dedupe(df: DataFrame, keys, order=None, keep: str = "last", locator: str | None = None) -> DataFrame:
     """One row per key.
 
     The row with the greatest (``keep='last'``) or least (``keep='first'``)
     ordering struct survives.  A hash of the whole row comes last in the order,
     so the choice is total: rows that tie are equal, and computing the frame
-    twice gives the same survivors.  Implemented as ``max_by``/``min_by`` over a
-    struct of the row, which aggregates partially before the shuffle.
+    twice gives the same survivors.
+
+    Without a ``locator`` this is a ``max_by``/``min_by`` over a struct of the row,
+    which aggregates partially before the shuffle, but sorts whole rows; later joins
+    by the key profit from that order.  With a ``locator``, a column that names each
+    row and is the same whenever the frame is computed (``located``), the winner is
+    chosen among (key, order, locator) alone, and the whole rows are fetched by a
+    hash join with the winners: they cross one shuffle at most and are never sorted.
     """
     keys = _names(keys)
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c != locator]
     if not rest:
-        return df.dropDuplicates(keys)
+        return df.select(*keys).distinct()
     pick = F.max_by if keep == "last" else F.min_by
-    row = F.struct(*[F.col(c) for c in rest])
-    tie = F.xxhash64(F.to_json(row))
-    return (df.groupBy(*keys)
-              .agg(pick(row, F.struct(*_cols(order or []), tie)).alias("_row"))
-              .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
+    order, tie = _cols(order or []), row_hash(df, rest)
+    if locator is None:
+        row = F.struct(*[F.col(c) for c in rest])
+        return (df.groupBy(*keys)
+                  .agg(pick(row, F.struct(*order, tie)).alias("_row"))
+                  .select(*keys, *[F.col("_row")[c].alias(c) for c in rest]))
+    narrow = df.select(*keys, F.struct(*order).alias("_order"), tie.alias("_tie"), locator) if order else df.select(*keys, tie.alias("_tie"), locator)
+    # The hash is named twice: an expression used once would be computed in the aggregate, above a sort of whole rows.
+    place = F.struct(*(["_order"] if order else []), "_tie", locator, F.col("_tie").alias("_again"))
+    winners = narrow.groupBy(*keys).agg(pick(F.col(locator), place).alias("_winner")).select("_winner")
+    fetched = df.join(winners.hint("shuffle_hash"), F.col(locator) == F.col("_winner"), "left_semi")
+    return fetched.select(*keys, *rest)
 
 
 def collect_sorted(df: DataFrame, key, col: str, order=None, alias: str | None = None) -> DataFrame:

@@ -89,20 +89,18 @@ def lookup_elements(df: DataFrame, key: str, array_col: str, dim, out: str,
                     flatten_values: bool = False) -> DataFrame:
     """Per-element lookup of an array column.
 
-    * ``dim`` a dict: translated inside the row through a literal map; no
+    * ``dim`` a dict: translated inside the row through a literal lookup; no
       explode and no shuffle.  ``flatten_values`` flattens list values.
     * ``dim`` a DataFrame: distinct elements exploded (outer), joined to ``dim``,
       regrouped per ``key`` as sets (which combine map-side) and re-attached.
     Unknown elements are dropped and the result is de-duplicated.
     """
     from feedlake.functions.arrays import map_lookup, flat_distinct
-    from feedlake.functions.columns import literal_map
 
     if isinstance(dim, dict):
         if flatten_values:
-            m = literal_map({k: list(v) if isinstance(v, (list, tuple)) else [v]
-                             for k, v in dim.items()})
-            looked = map_lookup(F.col(array_col), m, key_type=None)
+            lists = {k: list(v) if isinstance(v, (list, tuple)) else [v] for k, v in dim.items()}
+            looked = map_lookup(F.col(array_col), lists, key_type=None)
             return df.withColumn(out, flat_distinct(looked))
         return df.withColumn(out, F.array_distinct(map_lookup(F.col(array_col), dim, key_type=None)))
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from feedlake import rules
 from feedlake.functions import (
-    add_tag, before_first, blank_to_null, classify, constant_array, contains_any, default,
+    add_tag, before_first, blank_to_null, classify, constant_array, default,
     empty_to_null, first_element, first_where, flag, flat_distinct, humanize, join_present,
-    literal_map, localized, map_lookup, matches_any, normalize_text, override_if, pluck,
+    keyword_lists_found, literal_lookup, localized, map_lookup, matches_any, normalize_text, override_if, pluck,
     remap_code, round_to, run_date as run_date_col, sentence, slugify, slugify_all, sqft, half,
 )
 from feedlake.operators import (
@@ -98,7 +98,7 @@ def property_type(df: DataFrame, types, key_col: str = "accommodation_type") ->
     evaluated in the row) or a (code, property_type) frame that is joined."""
     key = F.col(key_col).cast("string")
     if isinstance(types, dict):
-        return df.withColumn("property_type", literal_map({str(k): v for k, v in types.items()})[key])
+        return df.withColumn("property_type", literal_lookup({str(k): v for k, v in types.items()})(key))
     t = types.select(F.col(types.columns[0]).cast("string").alias("_type_code"), F.col("property_type"))
     return df.join(t, key == t["_type_code"], "left").drop("_type_code")
 
@@ -106,7 +106,7 @@ def property_type(df: DataFrame, types, key_col: str = "accommodation_type") ->
 def type_category(df: DataFrame, categories) -> DataFrame:
     """Category of the property type, "Other" when unknown."""
     if isinstance(categories, dict):
-        cat = literal_map(categories)[F.col("property_type")]
+        cat = literal_lookup(categories)(F.col("property_type"))
         return df.withColumn("property_type_category", F.coalesce(cat, F.lit(rules.OTHER_CATEGORY)))
     c = categories.select(F.col("property_type").alias("_pt"), "property_type_category")
     out = df.join(c, F.col("property_type") == c["_pt"], "left").drop("_pt")
@@ -117,8 +117,9 @@ def type_categories(df: DataFrame, category_rules: dict) -> DataFrame:
     """Several labels per listing from keyword rules over name, type and
     category (U3); ``category_rules`` maps label -> keywords."""
     text = normalize_text(F.concat_ws(" ", "property_name", "property_type", "property_type_category"))
-    labels = F.array(*[F.when(contains_any(text, ws), F.lit(lab)) for lab, ws in category_rules.items()])
-    return df.withColumn("property_type_categories", F.filter(labels, lambda x: x.isNotNull()))
+    labels = constant_array(category_rules)
+    found = keyword_lists_found(text, list(category_rules.values()))
+    return df.withColumn("property_type_categories", F.filter(labels, lambda lab, i: F.array_contains(found, i)))
 
 
 def property_types(df: DataFrame, ref) -> DataFrame:
@@ -139,7 +140,7 @@ def amenities(df: DataFrame, ref) -> DataFrame:
         "amenity_ids": pluck("facilities", "id"),
     })
     df = df.withColumn("amenities", map_lookup("amenity_ids", fac_en, key_type=None))
-    cats = flat_distinct(map_lookup(slugify_all("amenities"), literal_map(syn), key_type=None))
+    cats = flat_distinct(map_lookup(slugify_all("amenities"), syn, key_type=None))
     return df.withColumn("amenity_categories", F.coalesce(cats, F.array().cast("array<string>")))
 
 
@@ -296,7 +297,10 @@ def property_flags(df: DataFrame, keyword_lists: dict) -> DataFrame:
     }
     target = {"is_all_inclusive_type": "c5", "is_hotel_type": "c3", "is_promoting_escort": "name"}
     df = df.withColumns({f"_{k}": v for k, v in blobs.items()})
-    flags = {f: contains_any(F.col("_" + target.get(f, "c4")), ws) for f, ws in keyword_lists.items()}
+    # each blob is scanned once for the keywords of all its flags
+    of_blob = {b: [f for f in keyword_lists if target.get(f, "c4") == b] for b in blobs}
+    df = df.withColumns({f"_found_{b}": keyword_lists_found(F.col(f"_{b}"), [keyword_lists[f] for f in fs]) for b, fs in of_blob.items() if fs})
+    flags = {f: F.array_contains(f"_found_{target.get(f, 'c4')}", of_blob[target.get(f, "c4")].index(f)) for f in keyword_lists}
     if "is_business_travel" in flags and "is_work_friendly" in flags:
         flags["is_business_travel"] = flags["is_work_friendly"] | flags["is_business_travel"]
     pol = F.col("policy")
@@ -308,7 +312,7 @@ def property_flags(df: DataFrame, keyword_lists: dict) -> DataFrame:
         "is_preferred": flag(F.col("is_preferred")),
     })
     df = df.withColumn("property_flags", F.struct(*[v.alias(k) for k, v in flags.items()]))
-    return df.drop(*[f"_{k}" for k in blobs], *[f"_n_{k}" for k in parts])
+    return df.drop(*[f"_{k}" for k in blobs], *[f"_found_{k}" for k in blobs], *[f"_n_{k}" for k in parts])
 
 
 # D19

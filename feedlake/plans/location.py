@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake import rules
-from feedlake.functions import blank_to_null, first_nonblank, join_present, literal_map
+from feedlake.functions import blank_to_null, first_nonblank, join_present, literal_lookup
 from feedlake.operators import dedupe, fill_from, join_state, lookup_left
 from feedlake.plans.listing import country_code, init_keys
 
@@ -42,7 +42,7 @@ def location_finish(df: DataFrame, city_map: DataFrame, country_map: DataFrame,
     countries = dedupe(country_map.select(F.col("Code").alias("country_code"), F.col("Name").alias("country_name")),
                        "country_code", ["country_name"], keep="first")
     df = lookup_left(df, countries, "country_code")
-    df = df.withColumn("country", F.coalesce(literal_map(rules.COUNTRY_NAME_REMAP)[F.col("country_name")],
+    df = df.withColumn("country", F.coalesce(literal_lookup(rules.COUNTRY_NAME_REMAP)(F.col("country_name")),
                                              F.col("country_name"))).drop("country_name")
     cities = dedupe(city_map.select("city_code", "city"), "city_code", ["city"], keep="first")
     df = lookup_left(df, cities, "city_code").drop("city_code")

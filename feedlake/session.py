@@ -79,6 +79,11 @@ def stage(df, name: str, bucket_by: str | None = None, buckets: int | None = Non
     return spark.table(_stage_table(name))
 
 
+def staged(spark: SparkSession, name: str):
+    """The bucketed frame staged under ``name``, if its table is still there."""
+    return spark.table(_stage_table(name)) if spark.catalog.tableExists(_stage_table(name)) else None
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage/{name}"
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.aggregates import dedupe
+from feedlake.sources import snapshots as S
+
+ATTEMPTS = 20            # times that an upsert merges again after a concurrent commit
 
 
 def _keys(keys) -> list[str]:
@@ -16,8 +23,10 @@ def merge_by_key(existing: DataFrame, changes: DataFrame, keys, order=None) -> D
     """Keyed insert-or-update as a frame (S7 core): rows of ``changes`` replace
     rows of ``existing`` with the same key, new keys are added, and each key
     occurs once.  ``changes`` is de-duplicated first (greatest ``order`` wins).
-    A null key part matches a null key part."""
+    A null key part matches a null key part.  New columns of ``changes`` are added
+    and null in the rows that stay; a column that it lacks or retypes is an error."""
     keys = _keys(keys)
+    added = S.merged_schema(existing.schema, changes.schema, "changes")
     changes = dedupe(changes, keys, order)
     ck = changes.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
     cond = None
@@ -25,7 +34,7 @@ def merge_by_key(existing: DataFrame, changes: DataFrame, keys, order=None) -> D
         c = existing[k].eqNullSafe(ck[f"_k_{k}"])
         cond = c if cond is None else cond & c
     kept = existing.join(ck, cond, "left_anti")
-    return kept.unionByName(changes.select(*existing.columns))
+    return kept.unionByName(changes.select(*existing.columns, *added), allowMissingColumns=True)
 
 
 def merge_condition(table: str, keys) -> Column:
@@ -35,9 +44,12 @@ def merge_condition(table: str, keys) -> Column:
 
 
 def merge_into(df: DataFrame, table: str, keys, order=None) -> None:
-    """Row-level ``MERGE INTO`` of ``df``; any error of the catalog surfaces."""
-    (dedupe(df, _keys(keys), order).alias("s").mergeInto(table, merge_condition(table, keys))
-        .whenMatched().updateAll().whenNotMatched().insertAll().merge())
+    """Row-level ``MERGE INTO`` of ``df``; any error of the catalog surfaces.  New
+    columns go to the table with the catalog's schema evolution."""
+    added = S.merged_schema(df.sparkSession.table(table).schema, df.schema, table)
+    merge = dedupe(df, _keys(keys), order).alias("s").mergeInto(table, merge_condition(table, keys))
+    merge = merge.whenMatched().updateAll().whenNotMatched().insertAll()
+    (merge.withSchemaEvolution() if added else merge).merge()
 
 
 def supports_merge(spark: SparkSession, table: str) -> bool:
@@ -50,87 +62,99 @@ def supports_merge(spark: SparkSession, table: str) -> bool:
     return kinds.isInstance(leaf.table())
 
 
-def _beside(table: str, what: str) -> str:
-    head, _, name = table.rpartition(".")
-    return f"{head}{'.' if head else ''}{name.strip('`')}__{what}"
-
+def _merged(df: DataFrame, table: str, base: int | None, keys: list[str], order, parts: list[str]) -> DataFrame:
+    """The rows of the next version: all, or those of the partitions that ``df`` touches."""
+    if base is None:
+        return dedupe(df, keys, order)
+    existing = df.sparkSession.table(S.version_name(table, base))
+    if parts:
+        touched = df.select(*[F.col(p).alias(f"_p_{p}") for p in parts]).distinct()
+        cond = None
+        for p in parts:
+            c = existing[p].eqNullSafe(touched[f"_p_{p}"])
+            cond = c if cond is None else cond & c
+        existing = existing.join(touched, cond, "left_semi")
+    return merge_by_key(existing, df, keys, order)
 
-def recover(spark: SparkSession, table: str) -> None:
-    """Finish or undo an upsert that died.
-
-    ``<table>__staging`` may be incomplete and is dropped.  ``<table>__pending``
-    was written in full before the target was touched, so it is applied again,
-    which gives the same rows; where the target does not exist yet, the pending
-    rows stay for the next ``upsert`` and readers use them (``current_name``).
-    """
-    spark.sql(f"DROP TABLE IF EXISTS {_beside(table, 'staging')}")
-    if spark.catalog.tableExists(table) and spark.catalog.tableExists(_beside(table, "pending")):
-        _apply_pending(spark, table, [])
 
-
-def current_name(spark: SparkSession, table: str) -> str | None:
-    """The table that holds the current rows: itself, or its pending rows if it died while being created."""
-    return next((t for t in (table, _beside(table, "pending")) if spark.catalog.tableExists(t)), None)
-
-
-def _apply_pending(spark: SparkSession, table: str, partition_by: list[str]) -> None:
-    pending = _beside(table, "pending")
-    if spark.catalog.tableExists(table):
-        rows = spark.table(pending).select(*spark.table(table).columns)
-        mode = "spark.sql.sources.partitionOverwriteMode"      # insertInto takes it from the session only
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            rows.write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
-    else:
-        w = spark.table(pending).write
-        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
-    spark.sql(f"DROP TABLE {pending}")
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a row count that the job which writes it gathers on the way (A10):
+    ``observation.get["n_rows"]`` after the write, without a job of its own."""
+    seen = Observation(f"rows_{uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 
-def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> None:
-    """Keyed upsert into a catalog table.
+def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> int | None:
+    """Keyed upsert into a catalog table (S7); returns the rows written, where they were counted on the way.
 
     Tables whose catalog declares row-level operations take a ``MERGE INTO``.
-    For others the merged rows are written to ``<table>__staging``, renamed to
-    ``<table>__pending`` once complete, and then overwrite the target; with
-    ``partition_by`` (columns of the key, so a key never moves) only the
-    partitions that ``df`` touches are read and overwritten.  The target's name
-    exists throughout, and ``recover`` completes an upsert that died half-way.
+    Others are kept as snapshots (``snapshots``): the merged rows are written under
+    a name of this writer and one pointer change shows them, so readers see the
+    rows before or after and never a gap, and a writer that dies changes nothing.
+    If another writer committed in the meantime, the merge is done again on top of
+    its version.  With ``partition_by`` (columns of the key, so a key never moves)
+    only the partitions that ``df`` touches are read and written.
     """
     spark = df.sparkSession
     keys, parts = _keys(keys), list(partition_by or [])
     if not set(parts) <= set(keys):
         raise ValueError(f"partition columns {parts} must belong to the key {keys}")
-    recover(spark, table)
-    if spark.catalog.tableExists(_beside(table, "pending")):      # died while the table was created
-        _apply_pending(spark, table, parts)
-    if spark.catalog.tableExists(table) and supports_merge(spark, table):
-        merge_into(df, table, keys, order)
-        return
-    if spark.catalog.tableExists(table):
-        existing = spark.table(table)
-        if parts:
-            touched = df.select(*[F.col(p).alias(f"_p_{p}") for p in parts]).distinct()
-            cond = None
-            for p in parts:
-                c = existing[p].eqNullSafe(touched[f"_p_{p}"])
-                cond = c if cond is None else cond & c
-            existing = existing.join(touched, cond, "left_semi")
-        rows = merge_by_key(existing, df, keys, order)
-    else:
-        rows = dedupe(df, keys, order)
-    staging, pending = _beside(table, "staging"), _beside(table, "pending")
-    rows.write.mode("overwrite").saveAsTable(staging)
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {pending}")
-    _apply_pending(spark, table, parts)
-
-
-def append(df: DataFrame, table: str) -> None:
-    """Append rows to a catalog table."""
-    df.write.mode("append").saveAsTable(table)
+    if S.current_name(spark, table) == table:
+        if supports_merge(spark, table):
+            merge_into(df, table, keys, order)
+            return None
+        S.adopt(spark, table, parts)
+    for _ in range(ATTEMPTS):
+        known = S.versions(spark, table)
+        base = known[-1] if known else None
+        rows, seen = counted(_merged(df, table, base, keys, order, parts))
+        snapshot = S.write_snapshot(rows, table, parts, base)
+        try:
+            S.commit(spark, table, snapshot, (base or 0) + 1)
+            return seen.get["n_rows"]
+        except S.Conflict:
+            S.discard(spark, table, snapshot)
+    raise S.Conflict(f"{table}: {ATTEMPTS} merges in a row met a concurrent commit")
+
+
+def append(df: DataFrame, table: str, batch: str) -> bool:
+    """Append the rows of one batch to a catalog table, once.
+
+    The table is partitioned by ``batch_id``.  A batch is written to a folder of its
+    writer's own, and adding its partition, which the catalog does once, shows it as
+    a whole; a retry or a second writer of the batch adds nothing and gets False.
+    Tables of catalogs with row-level operations overwrite the batch's rows instead.
+    New columns are added to the table; dropped or retyped ones are an error.
+    """
+    spark = df.sparkSession
+    if not re.fullmatch(r"[\w .:/+-]+", batch):
+        raise ValueError(f"a batch is named by letters, digits and . : / + - only, not {batch!r}")
+    if not spark.catalog.tableExists(table):
+        empty = spark.createDataFrame([], df.schema).withColumn("batch_id", F.lit(batch))
+        empty.write.mode("ignore").partitionBy("batch_id").saveAsTable(table)
+    have = spark.table(table).schema
+    if "batch_id" not in have.names:
+        raise ValueError(f"{table} has no column batch_id; append keeps its ledger there")
+    added = S.merged_schema(have, df.withColumn("batch_id", F.lit(batch)).schema, table)
+    if supports_merge(spark, table):
+        df.withColumn("batch_id", F.lit(batch)).writeTo(table).overwrite(F.col("batch_id") == batch)
+        return True
+    spec = f"batch_id = '{batch}'"
+    if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").count():
+        return False
+    if added:
+        kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({kinds})")
+    folder = f"{S.data_root(spark, table)}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    try:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{folder}'")
+        return True
+    except AnalysisException as e:
+        S.delete_folder(spark, folder)
+        if e.getCondition() != "PARTITIONS_ALREADY_EXIST":
+            raise
+        return False
 
 
 def write_worklist(df: DataFrame, path: str) -> None:

@@ -8,16 +8,15 @@ from pyspark.sql import types as T
 
 from feedlake.operators.joins import restrict_to
 from feedlake.sources.feeds import empty_like
-from feedlake.sources.sinks import current_name, recover
+from feedlake.sources.snapshots import current_name
 
 
 def read_if_exists(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """The curated table's ``schema`` columns when the table exists, else an
     empty frame of ``schema`` (S2).  Joining to the empty frame yields typed
     nulls, so the downstream plan is the same in both cases; missing columns
-    of an existing table are added as typed nulls.  An upsert that died half-way
-    is completed first."""
-    recover(spark, table)
+    of an existing table are added as typed nulls.  Reading changes nothing, and
+    the frame keeps the version that was current when it was made."""
     name = current_name(spark, table)
     if name:
         t = spark.table(name)

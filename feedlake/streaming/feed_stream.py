@@ -12,10 +12,12 @@ in the pipeline aggregates across batches.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from feedlake import schemas
 from feedlake.plans.run import FeedPaths, Sinks, ingest_details, prepare, run_frames
-from feedlake.session import ensure_checkpoint_dir
+from feedlake.session import ensure_checkpoint_dir, stage
+from feedlake.sources.feeds import SOURCE_FILE, require_key, split_rejects, with_corrupt_record
 
 
 def start(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sinks | None = None,
@@ -28,15 +30,25 @@ def start(spark: SparkSession, paths: FeedPaths, ref, run_date: str, sinks: Sink
     query keeps polling the folder.
     """
     sinks = sinks or Sinks()
-    reader = spark.readStream.schema(schemas.DETAILS).option("multiLine", paths.multiline)
+    lenient = paths.on_reject == "write"
+    reader = (spark.readStream.schema(with_corrupt_record(schemas.DETAILS) if lenient else schemas.DETAILS)
+              .option("multiLine", paths.multiline).option("mode", "PERMISSIVE" if lenient else "FAILFAST"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     details = reader.json(paths.details)
+    if lenient:
+        details = details.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
     checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
 
     def per_batch(batch_df, epoch_id: int) -> None:
-        feeds = prepare(spark, paths)
-        feeds["details"] = ingest_details(batch_df)
+        feeds = prepare(spark, paths, skip=("details",))
+        if lenient:
+            landed = stage(batch_df, f"landed_{name}_{epoch_id}")
+            rows, rejects = split_rejects(landed, "details", "id")
+            feeds["rejects"] = feeds["rejects"].unionByName(rejects)
+        else:
+            rows = require_key(batch_df, "id", "details")
+        feeds["details"] = ingest_details(rows)
         run_frames(spark, feeds, ref, run_date, sinks, tag=f"{name}_{epoch_id}", run_ts=run_ts)
 
     writer = details.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).queryName(name)
