@@ -88,11 +88,9 @@ def op12_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    definition = byte_level_definition()
-    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), definition)
-    back = byte_bpe.decode(coded.withColumn("packed", byte_bpe.little_endian("ids")), definition)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"), "split_tokens")
+    coded = byte_bpe.encode(table(spark, sf_dir, "documents"), byte_level_definition(), round_trip=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "split_tokens")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -39,29 +39,50 @@ def test_byte_table():
 
 
 def test_every_letter_and_random_text(definition, reference):
-    coder, draw = B.Coder(definition), random.Random(1)
-    some = ODD + ["".join(draw.choice(["a", "aa", " ", "é", "'s", "\n", "中", "😀", "1", "-", "th", "̀", "אב"]) for _ in range(draw.randrange(30))) for _ in range(2000)]
+    coder, decoder, draw = B.Coder(definition), B.Decoder(definition), random.Random(1)
+    some = ODD + ["".join(draw.choice(["a", "aa", " ", "é", "'s", "\n", "中", "😀", "1", "-", "th", "̀", "אב", "'", "\"'", "s", "'ll", "'LL", ".", "\x1f", "\x00", "²", "_"]) for _ in range(draw.randrange(30)))
+             for _ in range(6000)]
     some += [f"a{chr(c)}1 {chr(c)}{chr(c)}!" for c in range(0, 0x30000, 7) if not 0xD800 <= c < 0xE000]
-    ids, offsets, bounds = coder.encode(some)
+    ids, offsets, bounds = coder.encode([t.encode() for t in some])
     for i, t in enumerate(some):
         own, at = ids[bounds[i]:bounds[i + 1]], offsets[bounds[i]:bounds[i + 1]]
         assert own.tolist() == reference.encode_ordinary(t)
-        assert coder.decode(own) == t.encode()
+        assert decoder.decode(own) == t.encode()
         # A token's bytes lie in the characters that its offsets name.
-        assert all(coder.decode(own[k:k + 1]) in t[a:b].encode() for k, (a, b) in enumerate(at.tolist()))
+        assert all(decoder.decode(own[k:k + 1]) in t[a:b].encode() for k, (a, b) in enumerate(at.tolist()))
 
 
 def test_cuts_of_long_texts(definition, reference, monkeypatch):
     draw = random.Random(2)
-    long = "".join(draw.choice(["word", " ", "  ", "\n", "\t ", "  ", "é", "don't", "!", "\x1c", " "]) for _ in range(5000))
-    coder = B.Coder(definition)
+    spaces = [" ", "  ", "\n", "\t ", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000"]
+    long = "".join(draw.choice(["word", "é", "don't", "!", "à", "‟", "'", "a1", "s", *spaces]) for _ in range(5000))
     for size in (1, 2, 7, 100):
+        coder = B.Coder(definition)
         monkeypatch.setattr(B, "BLOCK_BYTES", size)
-        parts = list(B.cuts(long))
-        assert "".join(p for _, p in parts) == long and all(long.startswith(p, at) for at, p in parts)
-        ids, offsets, _ = coder.encode(["x", long, ""])
+        parts = list(B.cuts(long.encode()))
+        assert b"".join(p for _, p in parts) == long.encode() and all(long.startswith(p.decode(), at) for at, p in parts)
+        ids, offsets, _ = coder.encode([b"x", long.encode(), b""])
         assert ids.tolist() == reference.encode_ordinary("x") + reference.encode_ordinary(long)
-        assert offsets[-1, 1] == len(long)
+        assert offsets[-1, 1] == len(long) and (np.diff(offsets[1:, 0]) >= 0).all()
+
+
+def test_units_longer_than_a_buffer(definition, reference):
+    coder = B.Coder(definition)
+    spaces = " " * (B.BLOCK_BYTES + 5) + "é"           # more than the pattern's other engine takes
+    for text in ("ab " + "x" * (B.BLOCK_BYTES + 9) + " cd", spaces, "é" * B.BLOCK_BYTES):
+        ids, offsets, bounds = coder.encode([text.encode(), b"cd"])
+        assert text == spaces or ids[:bounds[1]].tolist() == reference.encode_ordinary(text)
+        assert offsets[bounds[1] - 1, 1] == len(text) and ids[bounds[1]:].tolist() == reference.encode_ordinary("cd")
+        assert B.Decoder(definition).decode(ids[:bounds[1]]) == text.encode()
+
+
+def test_memory_is_bounded(definition, reference, monkeypatch):
+    monkeypatch.setattr(B, "MEMO", 50)
+    coder, draw = B.Coder(definition), random.Random(4)
+    for _ in range(30):
+        text = " ".join(str(draw.randrange(10 ** 6)) for _ in range(40))
+        assert coder.encode([text.encode()])[0].tolist() == reference.encode_ordinary(text)
+        assert len(coder.memo) <= 50 + 40
 
 
 def test_round_trip(spark, definition, reference):
@@ -71,15 +92,18 @@ def test_round_trip(spark, definition, reference):
     got = Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in B.decode(coded, definition).collect())
     assert got == Counter((r["doc_id"], tuple(reference.encode_ordinary(r["text"] or "")), (r["text"] or "").encode()) for r in docs.collect())
     assert B.encode(empty(spark), definition).count() == 0
+    once = B.encode(docs, definition, round_trip=True)
+    assert Counter((r["doc_id"], tuple(r["ids"]), bytes(r["decoded"])) for r in once.collect()) == got
+    assert once.where(B.little_endian("ids") != once["packed"]).count() == 0
     split = spark.createDataFrame([(1, "\U00010348a"), (2, "plain"), (None, None)], "doc_id long, text string")
     assert sorted(((r["doc_id"], r["split_tokens"]) for r in B.encode(split, definition).collect()), key=str) == [(1, 3), (2, 0), (None, 0)]
 
 
 def test_decoding_refuses_unknown_ids_and_takes_null(spark, definition):
-    coder = B.Coder(definition)
+    decoder = B.Decoder(definition)
     for bad in (-1, 50256):
         with pytest.raises(ValueError):
-            coder.decode(np.array([5, bad]))
+            decoder.decode(np.array([5, bad]))
     ids = spark.createDataFrame([(1, None, "clash"), (2, [], "clash")], "doc_id long, ids array<int>, text string")
     assert [bytes(r["decoded"]) for r in B.decode(ids, definition).collect()] == [b"", b""]
 
