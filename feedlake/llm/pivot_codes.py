@@ -58,7 +58,7 @@ def far_apart(entries: np.ndarray, count: int) -> np.ndarray:
 
 def squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     d = a - b
-    return (d * d).sum(axis=-1)
+    return np.einsum("...i,...i->...", d, d)
 
 
 def pivot_distances(parts: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -83,7 +83,7 @@ def nearest(parts: np.ndarray, to_pivots: np.ndarray, entries: np.ndarray, pivot
             if not len(going):
                 break
         entry = order[going, k]
-        d = squares(parts[going], entries[entry])
+        d = squares(parts.take(going, axis=0), entries.take(entry, axis=0))
         made += len(going)
         better = (d < best[going]) | ((d == best[going]) & (entry < index[going]))
         best[going[better]], index[going[better]] = d[better], entry[better]
