@@ -77,6 +77,8 @@ class Sinks:
     rejects_table: str | None = None            # needed with FeedPaths.on_reject = "write"
     journal_table: str = "feedlake_run_journal"
     keep_versions: int = 3                      # versions of each output that stay readable
+    # Buckets by id of the tables that the next run looks up (locations, prices), at least the shuffle partitions.
+    state_buckets: int | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -190,9 +192,11 @@ def run_frames(spark: SparkSession, feeds: dict, ref, run_date: str, sinks: Sink
     tables = [("localized", sinks.localize_table, ["property_id", "language_code"], ["language_code"]),
               ("reviews", sinks.reviews_table, "id", None), ("price_history", sinks.price_history_table, "id", None),
               ("listings", sinks.listing_table, "id", None), ("new_locations", sinks.location_table, "id", None)]
+    looked_up = {sinks.location_table, sinks.price_state_table}
     for step, table, keys, parts in tables:
         if table:
-            journal.once(step, lambda: upsert(out[step], table, keys, partition_by=parts))
+            buckets = sinks.state_buckets if table in looked_up else None
+            journal.once(step, lambda: upsert(out[step], table, keys, partition_by=parts, buckets=buckets))
     done = dict(journal.rows)
     journal.mark(FINISHED)
     unstage(spark, name, stage_path(spark, name))

@@ -84,7 +84,7 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n_rows")), seen
 
 
-def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> int | None:
+def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None, buckets: int | None = None) -> int | None:
     """Keyed upsert into a catalog table (S7); returns the rows written, where they were counted on the way.
 
     Tables whose catalog declares row-level operations take a ``MERGE INTO``.
@@ -93,7 +93,10 @@ def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> in
     rows before or after and never a gap, and a writer that dies changes nothing.
     If another writer committed in the meantime, the merge is done again on top of
     its version.  With ``partition_by`` (columns of the key, so a key never moves)
-    only the partitions that ``df`` touches are read and written.
+    only the partitions that ``df`` touches are read and written.  With ``buckets``
+    every version is dealt into that many files by the key (as the version before,
+    if not given), so later joins by the key, state lookups above all (S3, J1, J14),
+    read it without an exchange.
     """
     spark = df.sparkSession
     keys, parts = _keys(keys), list(partition_by or [])
@@ -108,7 +111,7 @@ def upsert(df: DataFrame, table: str, keys, order=None, partition_by=None) -> in
         known = S.versions(spark, table)
         base = known[-1] if known else None
         rows, seen = counted(_merged(df, table, base, keys, order, parts))
-        snapshot = S.write_snapshot(rows, table, parts, base)
+        snapshot = S.write_snapshot(rows, table, parts, base, (buckets, keys) if buckets else S.bucketing(spark, table, base))
         try:
             S.commit(spark, table, snapshot, (base or 0) + 1)
             return seen.get["n_rows"]

@@ -109,16 +109,32 @@ def _location(spark: SparkSession, snapshot: str, spec: str) -> str:
     return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
-def write_snapshot(rows: DataFrame, table: str, partition_by: list[str], base: int | None) -> str:
-    """Write ``rows`` under a name of this writer; with partitions, name those of ``base`` that they do not hold."""
+def bucketing(spark: SparkSession, table: str, number: int | None) -> tuple[int, list[str]] | None:
+    """(buckets, their columns) of a version, if it has any."""
+    if number is None:
+        return None
+    said = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_snapshot_of(spark, table, number)}").collect()}
+    count = int(said.get("Num Buckets") or 0)
+    return (count, re.findall("`([^`]+)`", said["Bucket Columns"])) if count > 0 else None
+
+
+def write_snapshot(rows: DataFrame, table: str, partition_by: list[str], base: int | None,
+                   buckets: tuple[int, list[str]] | None = None) -> str:
+    """Write ``rows`` under a name of this writer; with partitions, name those of ``base`` that they do not hold.
+    With ``buckets`` (number, columns) the rows are dealt by these columns and each file is sorted."""
     spark = rows.sparkSession
     head, name = split_name(table)
     if partition_by and base is not None and partition_columns(spark, _snapshot_of(spark, table, base)) != partition_by:
         raise ValueError(f"{table} is not partitioned by {partition_by}")
     own = f"{name}__s_{uuid.uuid4().hex}"
     snapshot = head + own
-    writer = rows.write.option("path", f"{data_root(spark, table)}/{own}")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(snapshot)
+    if buckets and partition_by:
+        raise ValueError("a table has partitions or buckets, not both")
+    if buckets:
+        writer = rows.repartition(buckets[0], *buckets[1]).write.bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
+    else:
+        writer = rows.write.partitionBy(*partition_by) if partition_by else rows.write
+    writer.option("path", f"{data_root(spark, table)}/{own}").saveAsTable(snapshot)
     if partition_by and base is not None:
         old, schema = _snapshot_of(spark, table, base), spark.table(snapshot).schema
         written = set(_partitions(spark, snapshot))

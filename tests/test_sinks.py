@@ -148,6 +148,51 @@ def test_schema_evolution(spark):
     assert content(merged, "k", "p", "v", "w") == [(1, "a", 1, None), (2, "c", 3, 0.5)]
 
 
+def test_state_lookup_has_no_exchange_of_the_state(spark):
+    """A bucketed state joins a batch by id where it lies: only the batch is shuffled, through several versions."""
+    from feedlake.operators import join_state
+    from feedlake.sources import state_for_keys
+    t = fresh(spark, "t_snap_buckets")
+    state = spark.range(2000).selectExpr("concat('BC-', id) AS id", "CAST(id AS INT) AS v")
+    upsert(state, t, "id", buckets=8)
+    upsert(state.where("v < 10").withColumn("v", F.col("v") + 5000), t, "id")         # keeps the buckets
+    assert snapshots.bucketing(spark, t, 2) == (8, ["id"]) and len(spark.table(t).inputFiles()) <= 2 * 8
+    batch = spark.range(0, 4000, 4).selectExpr("concat('BC-', id) AS id", "id AS w")
+    kept = read_if_exists(spark, t, spark.table(t).schema)
+    for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(k, "-1")
+    try:
+        for made, n in ((join_state(batch, kept), 1000), (state_for_keys(kept, batch.select("id")), 500)):
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan, plan
+            assert made.count() == n
+    finally:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(k)
+    assert join_state(batch, kept).where("v >= 5000").count() == 3
+    with pytest.raises(ValueError, match="not both"):
+        upsert(rows(spark, [(1, "a", 1)]), fresh(spark, "t_snap_both"), ["k", "p"], partition_by=["p"], buckets=2)
+
+
+def test_run_time_filter_on_the_state(spark, tmp_path):
+    """A selective batch prunes the state by a Bloom filter of its keys before the join, where the state is large."""
+    from feedlake.sources import state_for_keys
+    spark.range(20000).selectExpr("id", "id % 7 AS v").write.parquet(str(tmp_path / "state"))
+    spark.range(500).selectExpr("id * 3 AS id", "id % 5 AS kind").write.parquet(str(tmp_path / "batch"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        keys = spark.read.parquet(str(tmp_path / "batch")).where("kind = 1").select("id")
+        found = state_for_keys(spark.read.parquet(str(tmp_path / "state")), keys)
+        assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() == 100
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
 def test_upsert_counts_on_the_way(spark):
     t = fresh(spark, "t_snap_counts")
     assert upsert(rows(spark, [(1, "a", 1), (1, "a", 1), (2, "b", 1)]), t, ["k", "p"], partition_by=["p"]) == 2
