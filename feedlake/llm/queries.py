@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import byte_bpe, decontaminate, dialogue_repair, exact_dedup, html_text, kd_shard, near_dedup, pack, pivot_codes, quality, \
-    secret_scan, substring_dedup, url_reputation
+    secret_scan, sql, substring_dedup, url_reputation
 from .common import table
 
 # Fixed values of the URL rules.
@@ -129,9 +129,10 @@ ORACLE: dict[str, str] = {
             WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM part),
         seen AS (SELECT host, coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS b, l.doc_id IS NOT NULL AS known
                  FROM part LEFT JOIN labels l ON l.doc_id = page_id),
-        hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-                         string_split(host, '.')[-1] AS suffix, count(*) FILTER (known) AS n,
-                         CAST(coalesce(sum(b::INT) FILTER (known), 0) AS DOUBLE) AS bad FROM seen GROUP BY host),
+        cuts AS (SELECT *, string_split(host, '.') AS ls, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS two FROM seen),
+        hosts AS (SELECT host, any_value(CASE WHEN two IN {url_reputation.SUFFIXES} THEN array_to_string(list_slice(ls, -3, -1), '.') ELSE two END) AS domain,
+                         any_value(CASE WHEN two IN {url_reputation.SUFFIXES} THEN two ELSE ls[-1] END) AS suffix, count(*) FILTER (known) AS n,
+                         CAST(coalesce(sum(b::INT) FILTER (known), 0) AS DOUBLE) AS bad FROM cuts GROUP BY host),
         s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad,
                       (SELECT (coalesce(sum(bad), 0) + 0.5) / (coalesce(sum(n), 0) + 1) FROM hosts) AS m FROM hosts GROUP BY suffix),
         s1 AS (SELECT suffix, (bad + k * m) / (n + k) AS mean FROM s0, (SELECT {_STRENGTH.format(a="s0")} AS k)),
@@ -176,4 +177,6 @@ ORACLE: dict[str, str] = {
               FROM w LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.p = w.p GROUP BY w.doc_id)
         SELECT d.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
+    "op11_suffix_dawg_repair": sql.repair_sql(),
+    "op12_laesa_codes": sql.codes_sql(),
 }

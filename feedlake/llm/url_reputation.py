@@ -47,13 +47,21 @@ def longest_rule(host: Column, path: Column, rules: list[str]) -> Column:
     return fit
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels of a host."""
-    return F.substring_index(host, ".", -2)
+# Suffixes of two labels below which names are registered; others have one label.
+SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "or.jp", "com.br", "com.cn", "com.mx",
+            "com.tr", "co.in", "co.kr", "co.za", "com.ar", "com.sg", "com.hk", "com.tw")
 
 
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    """The last label of a host, or the last two where they are one of ``suffixes``."""
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1)) if suffixes else F.substring_index(host, ".", -1)
+
+
+def registered_domain(host: Column, suffixes: tuple[str, ...] = SUFFIXES) -> Column:
+    """The suffix and the label before it."""
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two) if suffixes else two
 
 
 def _strength(groups: DataFrame) -> float:
@@ -79,14 +87,14 @@ def _posterior(groups: DataFrame, strength: float) -> DataFrame:
             .withColumn("mean", F.col("a") / (F.col("a") + F.col("b"))))
 
 
-def host_reputation(outcomes: DataFrame, *, z: float = 1.645) -> DataFrame:
+def host_reputation(outcomes: DataFrame, *, z: float = 1.645, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """Posterior of every host in ``outcomes`` (host, bad: boolean or null): host, pages, n, mean, lower.
 
     ``lower`` is the mean less ``z`` posterior standard deviations.
     """
     hosts = stage(outcomes.groupBy("host").agg(
         F.count(F.lit(1)).alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad"))
-        .withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix(F.col("host"))), "hosts")
+        .withColumn("domain", registered_domain(F.col("host"), suffixes)).withColumn("suffix", suffix(F.col("host"), suffixes)), "hosts")
     total = hosts.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
     base = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1)
 
@@ -104,17 +112,17 @@ def host_reputation(outcomes: DataFrame, *, z: float = 1.645) -> DataFrame:
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: dict[str, str], *, threshold: float = 0.35,
                id_col: str = "page_id", url_col: str = "url", outcome_id: str = "doc_id",
-               bad_col: str = "bad") -> DataFrame:
+               bad_col: str = "bad", suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, host_rate, host_lower.
 
     ``outcomes`` holds labelled outcomes by page id; ``rules`` maps ``host/path``
-    to ``allow`` or ``block``.
+    to ``allow`` or ``block``; ``suffixes`` are those of two labels.
     """
     host, path = url_parts(F.col(url_col))
     parts = stage(pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path")), "parts")
     labels = outcomes.select(F.col(outcome_id).alias("page_id"), F.col(bad_col).alias("bad"))
     seen = parts.select("page_id", "host").join(labels, "page_id", "left")
-    reputation = stage(host_reputation(seen), "reputation")
+    reputation = stage(host_reputation(seen, suffixes=suffixes), "reputation")
     rule = longest_rule(F.col("host"), F.col("path"), list(rules))
     of_rule = F.lit(None).cast("string")
     for r, verdict in rules.items():

@@ -20,7 +20,12 @@ CONTRACT = {
     "op8": "page_id bigint, url string, text string, n_chars bigint",
     "op9": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
     "op10": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+    "op11": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, "
+            "repaired_sha256 string",
+    "op12": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op13": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
+TABLE = {"op4": "pages", "op8": "pages", "op11": "conversations", "op12": "embeddings"}
 
 
 @pytest.mark.parametrize("op", CONTRACT)
@@ -30,8 +35,8 @@ def test_contract(spark, op):
     df = QUERIES[name](spark, SF_SMALL)
     want = [tuple(c.split(" ")) for c in CONTRACT[op].split(", ")]
     assert df.dtypes[:len(want)] == want
-    table = "pages" if op in ("op4", "op8") else "documents"
-    rows = spark.read.parquet(f"{SF_SMALL}/{table}.parquet").count()
+    table = spark.read.parquet(f"{SF_SMALL}/{TABLE.get(op, 'documents')}.parquet")
+    rows = table.select("conv_id").distinct().count() if op == "op11" else table.count()
     assert df.count() == rows or op == "op7" and df.select("doc_id").distinct().count() == rows
     if name in ORACLE:
         ok, said = compare(spark, duck(SF_SMALL), name, QUERIES[name], ORACLE[name], SF_SMALL)
