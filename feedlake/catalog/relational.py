@@ -752,10 +752,10 @@ m AS (SELECT doc_id, string_agg(DISTINCT upper(word[1:1]) || word[2:], ','
 SELECT d.doc_id, m.meal_plan FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id""")
 def q_array_clean(spark, d):
     docs = table(spark, d, "documents")
-    keep = F.array(*[F.lit(w) for w in rules.MEAL_WORDS])
+    whole_words = F.lit(f"(?<![a-z])(?:{'|'.join(rules.MEAL_WORDS)})(?![a-z])")
     # one inner array per line; empty lines give a null inner array
     per_line = F.transform(F.split("text", "\n"), lambda line: F.when(
-        F.length(line) > 0, F.filter(F.split(F.lower(line), "[^a-z]+"), lambda w: F.array_contains(keep, w))))
+        F.length(line) > 0, F.regexp_extract_all(F.lower(line), whole_words, F.lit(0))))
     meals = empty_to_null(flat_distinct(per_line, F.initcap))                                  # R7 R5
     return docs.select("doc_id", F.array_join(F.sort_array(meals), ",").alias("meal_plan"))
 
