@@ -173,6 +173,8 @@ def adopt(spark: SparkSession, table: str, partition_by: list[str]) -> None:
     Readers by ``current_name`` see no gap.  The name itself is missing for the moment between two
     statements, once; where others read it, call this ahead of the first ``upsert``.
     """
+    if is_view(spark, table):
+        raise ValueError(f"{table} is a view of someone else's; an upsert keeps its own")
     commit(spark, table, write_snapshot(spark.table(table), table, partition_by, None), 1)
 
 

@@ -132,6 +132,9 @@ def test_plain_table_is_adopted(spark):
     assert content(spark.table(t), "k", "p", "v") == [(1, "a", 1), (2, "b", 2), (3, "c", 2)]
     snapshots.expire(spark, t, keep=1)
     assert spark.table(t).count() == 3
+    spark.sql("CREATE OR REPLACE VIEW t_snap_foreign AS SELECT 1 AS k, 'a' AS p, 2 AS v")
+    with pytest.raises(ValueError, match="view"):
+        upsert(rows(spark, [(2, "b", 2)]), "t_snap_foreign", "k")
 
 
 def test_schema_evolution(spark):
