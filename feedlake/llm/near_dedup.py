@@ -9,21 +9,23 @@
    soon as the posterior probability (uniform prior) that it reaches the threshold
    falls below ``MISS``.  Survivors are confirmed on their full sets.
 4. Pairs within a bucket are never all formed.  First each member meets the
-   bucket's smallest id.  Buckets whose members then lie in one component are
-   done, as further links could not change it.  In the others every document is
+   bucket's smallest node.  Buckets whose members then lie in one component are
+   done, as further links could not change it.  In the others every class is
    closed that cannot reach the threshold with any open one because too few of its
-   shingles occur in another open document (an exact bound).  What is left open in
-   a small bucket meets the members of other components; in a large one, the
-   members outside its main component are the queries, which are compared with the
-   bucket block by block inside tasks by step 3's tests, and only confirmed links
-   leave them.  So no link that joins two components is lost, whatever a
-   bucket's size.
+   shingles occur in another open class (an exact bound).  In a large open bucket,
+   the members outside its main component are the queries, which are compared with
+   the bucket block by block inside tasks by step 3's tests; members that a call has
+   already joined are not compared again, and a call gives a spanning forest: one
+   link for each two old components that it joins, never more links than it has
+   members.  Small buckets that are still open after this form pairs of members of
+   different components, of which only the pair of components goes on.  So no link
+   that joins two components is lost, whatever a bucket's size.
 
 Texts are lower-cased in A-Z and split at ASCII white space.  A text with fewer
 words than a shingle is one shingle; a text without words (or null) has an empty
-set and is linked with nothing, as is a row with a null id.  Ids are taken as
-unique except for rows repeated in full, which are each reported.  An empty
-table gives no rows.
+set and is linked with nothing, as is a row with a null id.  Rows with one id and
+different sets are different members; a component is named by its smallest id.
+Rows repeated in full are each reported.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import words as W
-from .common import StagedTable, join_groups, stage
+from .common import StagedTable, join_hot_groups, stage, without
 from .components import components
 
 HASHES, ROWS = 128, 4
@@ -105,19 +107,19 @@ def least_matches(hashes: int, similarity: float, miss: float) -> int:
 
 
 def signed(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, digest, sig); digest and sig are null for empty sets."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    """(doc_id, mark, n, digest, sig); digest and sig are null for empty sets.  ``mark`` is a hash of the text."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("binary").alias("text"))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.blocks(batches, "text", BLOCK_BYTES):
             sets = shingle_sets(W.utf8(part.column("text")), size)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [part.column("doc_id"), part.column("mark"), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                  pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "n", "digest", "sig"])
+                names=["doc_id", "mark", "n", "digest", "sig"])
 
-    return rows.mapInArrow(sign, "doc_id long, n long, digest binary, sig binary")
+    return rows.mapInArrow(sign, "doc_id long, mark long, n long, digest binary, sig binary")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -125,7 +127,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, shingles) of the wanted (rep, digest)."""
+    """(node, shingles) of the wanted (rep, digest, node)."""
     rows = (docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("binary").alias("text"))
             .join(wanted, "rep"))
 
@@ -133,11 +135,11 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_
         for part in W.blocks(batches, "text", BLOCK_BYTES):
             sets = shingle_sets(W.utf8(part.column("text")), size)
             own = [_digest(s) == d for s, d in zip(sets, part.column("digest").to_pylist(), strict=True)]
-            out = pa.RecordBatch.from_arrays([part.column("rep"), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["rep", "shingles"])
+            out = pa.RecordBatch.from_arrays([part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                             names=["node", "shingles"])
             yield out.filter(pa.array(own))
 
-    return rows.select("rep", "text", "digest").mapInArrow(build, "rep long, shingles binary")
+    return rows.select("node", "text", "digest").mapInArrow(build, "node long, shingles binary")
 
 
 def likely(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
@@ -161,7 +163,7 @@ def _signatures(column: pa.Array) -> np.ndarray:
 
 def _both(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
     for side in "uv":
-        pairs = pairs.join(table.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+        pairs = pairs.join(table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
     return pairs
 
 
@@ -199,8 +201,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _both(pairs, sets, ["shingles"]).select("u", "v", "shingles_u", "shingles_v").mapInArrow(exact, "u long, v long")
 
 
-def _shared_shingles(sets: DataFrame, open_reps: DataFrame, total: int) -> DataFrame:
-    """(rep, shared): how many of a document's shingles occur in another open document.
+def _shared_shingles(sets: DataFrame, open_nodes: DataFrame, total: int) -> DataFrame:
+    """(node, shared): how many of a document's shingles occur in another open document.
 
     Hashes travel as packed arrays, dealt by their leading bits into groups of about GROUP_HASHES.
     """
@@ -209,16 +211,16 @@ def _shared_shingles(sets: DataFrame, open_reps: DataFrame, total: int) -> DataF
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for rep, s in zip(b.column("rep").to_pylist(), b.column("shingles").to_pylist(), strict=True):
+            for node, s in zip(b.column("node").to_pylist(), b.column("shingles").to_pylist(), strict=True):
                 h = np.frombuffer(s, dtype=np.uint64)
                 group = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), dtype=np.int64)
                 cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(h)]
-                rows += [(int(group[lo]), rep, h[lo:hi].tobytes()) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+                rows += [(int(group[lo]), node, h[lo:hi].tobytes()) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))],
-                                             names=["part", "rep", "hashes"])
+                                             names=["part", "node", "hashes"])
 
     def count(t: pa.Table) -> pa.Table:
-        reps = t.column("rep").to_pylist()
+        nodes = t.column("node").to_pylist()
         lists = [np.frombuffer(h, dtype=np.uint64) for h in t.column("hashes").to_pylist()]
         sizes = np.array([len(x) for x in lists])
         every, owner = np.concatenate(lists), np.repeat(np.arange(len(lists)), sizes)
@@ -226,143 +228,204 @@ def _shared_shingles(sets: DataFrame, open_reps: DataFrame, total: int) -> DataF
         new = np.flatnonzero(np.concatenate(([True], np.diff(every[order]) != 0)))
         times = np.diff(np.append(new, len(every)))
         shared = np.bincount(owner[order], weights=np.repeat(times > 1, times), minlength=len(lists))
-        return pa.table({"rep": pa.array(reps, pa.int64()), "shared": pa.array(shared.astype(np.int64))})
+        return pa.table({"node": pa.array(nodes, pa.int64()), "shared": pa.array(shared.astype(np.int64))})
 
-    own = sets.join(open_reps.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
-    return (own.mapInArrow(deal, "part long, rep long, hashes binary")
-            .groupBy("part").applyInArrow(count, "rep long, shared long")
-            .groupBy("rep").agg(F.sum("shared").alias("shared")))
+    own = sets.join(open_nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return (own.mapInArrow(deal, "part long, node long, hashes binary")
+            .groupBy("part").applyInArrow(count, "node long, shared long")
+            .groupBy("node").agg(F.sum("shared").alias("shared")))
+
+
+def _labelled(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc_id, mark, n, component (its smallest id) and first (whether its set is the one that names it)."""
+    rows = stage(signed(docs, shingle, id_col, text_col), "signed")
+    # The signature is a function of the set, so any member's will do.  Nodes are numbered as
+    # they lie in files, so that a repeated task gives the same numbers.
+    found = stage(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("members")), "classes")
+    class_table = StagedTable(found.withColumn("node", F.monotonically_increasing_id()), "node")
+    try:
+        classes = class_table.df()
+        group = _components(docs, classes, shingle, percent, id_col, text_col)
+        named = classes.select("digest", "members", "rep", "node").join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = stage(named.drop("node"), "nodes")
+        names = stage(named.groupBy("component").agg(F.min(F.struct("rep", "digest")).alias("least"), F.count(F.lit(1)).alias("classes")), "names")
+        named = join_hot_groups(named, names, "component", "classes", named.count())
+        named = stage(named.select("digest", "members", F.col("least.rep").alias("component"),
+                                   (F.col("digest") == F.col("least.digest")).alias("first")), "named")
+    finally:
+        class_table.drop()
+    # Classes with few members are joined by a shuffle, the few heavy ones stay in place; rows without a class do not move.
+    linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    found = join_hot_groups(rows.where(linked).select("doc_id", "mark", "n", "digest"), named, "digest", "members", rows.count())
+    alone = rows.where(~linked).select("doc_id", "mark", "n", F.col("doc_id").alias("component"), F.lit(True).alias("first"))
+    return found.select("doc_id", "mark", "n", "component", "first").unionByName(alone)
 
 
 def near_groups(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
-    rows = stage(signed(docs, shingle, id_col, text_col), "signed")
-    # The signature is a function of the set, so any member's will do.
-    class_table = StagedTable(rows.where("n > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"),
-        F.count(F.lit(1)).alias("members")), "rep")
-    classes = class_table.df()
+    found = _labelled(docs, shingle, percent, id_col, text_col)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                        F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
+
+def _components(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the classes that have links."""
     def banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 keys = band_keys(_signatures(b.column("sig")))
-                rep, n = (np.repeat(b.column(c).to_numpy(), BANDS) for c in ("rep", "n"))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rep), pa.array(n)], names=["key", "rep", "n"])
-
-    bands = classes.select("rep", "n", "sig").mapInArrow(banded, "key long, rep long, n long")
-    counted = bands.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("rep").alias("first")).where("m > 1")
-    members = stage(bands.join(counted, "key"), "members")          # only buckets with company
-    touched = members.select("rep").distinct().join(classes.select("rep", "digest"), "rep")
-    set_table = StagedTable(_full_sets(docs, touched, shingle, id_col, text_col), "rep")
-    sets = set_table.df()
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        return stage(_confirmed(stage(pairs, "likely"), sets, percent), "links")
-
-    first = members.where("rep <> first").select(F.col("first").alias("u"), F.col("rep").alias("v")).distinct()
-    links = confirm(_likely_pairs(first, classes, percent))
-    group = stage(components(links), "components")
-    open_rows = _open(members.where("m > 2").select("key", "rep", "n", "m"), group)
-    if not open_rows.isEmpty():
-        open_rows = _open(_closed(_open(_closed(open_rows, sets, percent)), sets, percent))
-        small = _likely_pairs(_small_pairs(open_rows, percent), classes, percent)
-        more = confirm(small).unionByName(stage(_block_links(open_rows, classes, sets, percent), "links"))
-        # Old components stay as links to their smallest member.
-        kept = group.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        group = stage(components(more.unionByName(kept)), "components")
-
-    # Classes with few members are joined by a shuffle, the few heavy ones stay in place.
-    named = stage(classes.join(group.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "digest", "members", F.coalesce("component", "rep").alias("component")), "named")
-    class_table.drop()
-    set_table.drop()
-    found = join_groups(rows.select("doc_id", "n", "digest"), named, "digest", "members", rows.count(), "left")
-    own = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+                node, n = (np.repeat(b.column(c).to_numpy(), BANDS) for c in ("node", "n"))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node), pa.array(n)], names=["key", "node", "n"])
+
+    bands = stage(classes.select("node", "n", "sig").mapInArrow(banded, "key long, node long, n long"), "bands")
+    counted = stage(bands.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where("m > 1"), "buckets")
+    members = stage(join_hot_groups(bands, counted, "key", "m", bands.count()), "members")          # only buckets with company
+    touched = members.select("node").distinct().join(classes.select("node", "rep", "digest"), "node")
+    set_table = StagedTable(_full_sets(docs, touched, shingle, id_col, text_col), "node")
+    try:
+        sets = set_table.df()
+
+        def confirm(pairs: DataFrame) -> DataFrame:
+            return stage(_confirmed(stage(pairs, "likely"), sets, percent), "links")
+
+        first = members.where("node <> first").select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
+        group = stage(components(confirm(_likely_pairs(first, classes, percent))), "components")
+        open_rows = _open(members.where("m > 2").select("key", "node", "n", "m"), group)
+        if not open_rows.isEmpty():
+            open_rows = _open(_closed(_open(_closed(open_rows, sets, percent)), sets, percent))
+            large = stage(_block_links(open_rows, classes, sets, percent).distinct(), "links")
+            group = _joined(group, large)
+            small = _open(open_rows.where(F.col("m") <= SMALL).select("key", "node", "n", "m"), group)
+            links = confirm(_likely_pairs(_small_pairs(small, percent), classes, percent))
+            group = _joined(group, _between(links, group))
+    finally:
+        set_table.drop()
+    return group
+
+
+def _between(links: DataFrame, group: DataFrame) -> DataFrame:
+    """The pairs of components that links join."""
+    for side in "uv":
+        own = group.select(F.col("node").alias(side), F.col("component").alias("_c"))
+        links = links.join(own, side, "left").withColumn(side, F.coalesce("_c", side)).drop("_c")
+    return links.where("u <> v").distinct()
+
+
+def _joined(group: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after links between them (a component is named by its least node)."""
+    moved = stage(components(links).withColumnRenamed("component", "to").withColumnRenamed("node", "component"), "moved")
+    known = group.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    # A component that is one node without links so far has no row in ``group``.
+    new = moved.join(group.select(F.col("node").alias("component")), "component", "left_anti").select(
+        F.col("component").alias("node"), F.col("to").alias("component"))
+    return stage(known.unionByName(new), "components")
 
 
 def _open(rows: DataFrame, group: DataFrame | None = None) -> DataFrame:
-    """The members (key, rep, n, m, component) of buckets that hold more than one component, staged."""
+    """The members (key, node, n, m, component) of buckets that hold more than one component, staged."""
     if group is not None:
-        rows = rows.join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    return stage(rows.join(mixed, "key", "left_semi").select("key", "rep", "n", "m", "component"), "open")
+        rows = rows.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = stage(rows.select("key", "node", "n", "m", "component"), "placed")
+    mixed = stage(rows.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("here"))
+                  .where("a <> b").select("key", "here"), "mixed")
+    return stage(join_hot_groups(rows, mixed, "key", "here", rows.count()).drop("here"), "open")
 
 
 def _closed(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Open members without those that cannot reach the threshold with any other open document.
+    """Open members without those that cannot reach the threshold with any other open class.
 
     A partner of size k needs percent / (100 + percent) of n + k shingles in common,
     and k is at least the smallest open size and percent of n.
     """
-    reps = open_rows.groupBy("rep").agg(F.max("n").alias("n"))
-    total = reps.agg(F.sum("n")).first()[0] or 0
-    shared = stage(_shared_shingles(sets, reps, total), "shared")
-    smallest = open_rows.groupBy("key").agg(F.min("n").alias("least"))
-    bound = (open_rows.join(smallest, "key").groupBy("rep").agg(F.max("n").alias("n"), F.min("least").alias("least"))
-             .join(shared, "rep").withColumn("k", F.greatest("least", F.ceil(F.col("n") * percent / 100))))
-    alive = bound.where((100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("k"))).select("rep")
-    return open_rows.join(alive, "rep", "left_semi")
+    nodes = open_rows.groupBy("node").agg(F.max("n").alias("n"))
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    shared = stage(_shared_shingles(sets, nodes, total), "shared")
+    smallest = stage(open_rows.groupBy("key").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("here")), "smallest")
+    sized = join_hot_groups(open_rows.select("key", "node", "n"), smallest, "key", "here", open_rows.count())
+    bound = (sized.groupBy("node").agg(F.max("n").alias("n"), F.min("least").alias("least"))
+             .join(shared, "node").withColumn("k", F.greatest("least", F.ceil(F.col("n") * percent / 100))))
+    alive = bound.where((100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("k"))).select("node")
+    return open_rows.join(alive, "node", "left_semi")
 
 
 def _small_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components in buckets of at most SMALL members."""
-    rows = open_rows.where(F.col("m") <= SMALL)
-    a = rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "component")])
-    b = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "component")])
-    apart = (F.col("rep_a") < F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
+    a = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "component")])
+    b = open_rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return a.join(b, "key").where(apart & sizes).select(F.col("rep_a").alias("u"), F.col("rep_b").alias("v")).distinct()
+    return a.join(b, "key").where(apart & sizes).select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct()
+
+
+class _Forest:
+    """Components that a call has joined."""
+
+    def __init__(self, components: np.ndarray):
+        self.names, at = np.unique(components, return_inverse=True)
+        self.root = np.arange(len(self.names))
+        self.links: list[tuple[int, int]] = []
+        self.at = at
+
+    def join(self, a: int, b: int) -> None:
+        """Note that the components of members a and b are linked, unless they are joined already."""
+        x, y = self.root[self.at[a]], self.root[self.at[b]]
+        if x != y:
+            self.links.append((int(self.names[self.at[a]]), int(self.names[self.at[b]])))
+            self.root[self.root == max(x, y)] = min(x, y)
 
 
 def _block_links(open_rows: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links in larger buckets: members outside the bucket's main component against all its members.
+    """Links between components in larger buckets: members outside the bucket's main component against all its members.
 
     Both sides are dealt into blocks of about BLOCK_MEMBERS; one call compares one
     block of queries with one of members: by signatures, and what these leave by
-    full sets, in the first band that the two share only.
+    full sets, until the two are in one component.
     """
-    rows = open_rows.where(F.col("m") > SMALL)
+    rows = stage(open_rows.where(F.col("m") > SMALL), "large")
+    total = rows.count()
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"),
-                                    F.sum("c").alias("all"), F.max("c").alias("most"))
-    rows = rows.join(main, "key").join(classes.select("rep", "sig"), "rep").join(sets, "rep")
+    main = stage(sizes.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("main"),
+                                          F.sum("c").alias("all"), F.max("c").alias("most")), "main")
+    rows = join_hot_groups(rows, main, "key", "all", total).join(classes.select("node", "sig"), "node").join(sets, "node")
     blocks = F.ceil(F.col("all") / BLOCK_MEMBERS).cast("int")
     asked = F.ceil((F.col("all") - F.col("most")) / BLOCK_MEMBERS).cast("int")
-    own = F.xxhash64("rep")
-    cols = ["key", "rep", "n", "component", "sig", "shingles"]
+    own = F.xxhash64("node")
+    cols = ["key", "node", "n", "component", "sig", "shingles"]
     members = rows.select(*cols, F.pmod(own, blocks).cast("int").alias("mb"), F.explode(F.sequence(F.lit(0), asked - 1)).alias("qb"))
     queries = rows.where("component <> main").select(*[F.col(c).alias(c) for c in cols], F.pmod(own, asked).cast("int").alias("qb"),
                                                      F.explode(F.sequence(F.lit(0), blocks - 1)).alias("mb"))
     least = batch_bounds(percent)
 
     def compare(q: pa.Table, m: pa.Table) -> pa.Table:
-        u, v = [], []
+        links = []
         if q.num_rows and m.num_rows:
-            key = q.column("key")[0].as_py()
-            (rep_q, n_q, c_q), (rep_m, n_m, c_m) = ([t.column(c).to_numpy() for c in ("rep", "n", "component")] for t in (q, m))
+            (n_q, c_q), (n_m, c_m) = ([t.column(c).to_numpy() for c in ("n", "component")] for t in (q, m))
             sig_q, sig_m = (_signatures(t.column("sig").combine_chunks()) for t in (q, m))
-            keys_q, keys_m = band_keys(sig_q), band_keys(sig_m)
             set_q, set_m = ([np.frombuffer(b, dtype=np.uint64) for b in t.column("shingles").to_pylist()] for t in (q, m))
-            for i in range(len(rep_q)):
-                fit = np.flatnonzero((c_m != c_q[i]) & (100 * np.minimum(n_m, n_q[i]) >= percent * np.maximum(n_m, n_q[i])))
-                fit = fit[likely(sig_q[i], sig_m[fit], least)]
-                shared = keys_m[fit] == keys_q[i]
-                fit = fit[keys_q[i][shared.argmax(axis=1)] == key]
-                fit = fit[[reaches(set_q[i], set_m[j], percent) for j in fit.tolist()]] if len(fit) else fit
-                u.append(np.minimum(rep_m[fit], rep_q[i]))
-                v.append(np.maximum(rep_m[fit], rep_q[i]))
-        u, v = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (u, v))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+            forest = _Forest(np.concatenate((c_q, c_m)))
+            at_m = forest.at[len(c_q):]
+            for i in range(len(n_q)):
+                apart = forest.root[at_m] != forest.root[forest.at[i]]
+                fit = np.flatnonzero(apart & (100 * np.minimum(n_m, n_q[i]) >= percent * np.maximum(n_m, n_q[i])))
+                for j in fit[likely(sig_q[i], sig_m[fit], least)].tolist():
+                    if forest.root[at_m[j]] != forest.root[forest.at[i]] and reaches(set_q[i], set_m[j], percent):
+                        forest.join(i, len(c_q) + j)
+            links = forest.links
+        return pa.table({"u": pa.array([u for u, _ in links], pa.int64()), "v": pa.array([v for _, v in links], pa.int64())})
 
     return queries.groupBy("key", "qb", "mb").cogroup(members.groupBy("key", "qb", "mb")).applyInArrow(compare, "u long, v long")
 
 
 def drop_near_copies(docs: DataFrame, *, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """One document of each group stays (its smallest id), with all its columns."""
-    found = near_groups(docs, shingle=shingle, percent=percent, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """One document of each group stays (its smallest id), with all its columns.
+
+    A row leaves only if a row with its id and its text does, so null or reused ids
+    cost no other text; rows that share both id and text stay or go together.
+    """
+    found = _labelled(docs, shingle, percent, id_col, text_col)
+    stays = F.col("first") & F.col("doc_id").eqNullSafe(F.col("component"))
+    gone = stage(found.where(~stays).select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_gone_mark")).distinct(), "gone")
+    return without(docs, gone, id_col, F.xxhash64(docs[text_col]))

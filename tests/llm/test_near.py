@@ -67,6 +67,44 @@ def test_awkward_rows(spark):
         [(None, 2, None, True), (3, 2, 3, True), (None, 0, None, True)])
 
 
+def test_reused_ids_lose_no_text(spark):
+    """Rows that share an id, or have none, leave only with their own text."""
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty " * 3
+    rows = [(3, long), (7, long + "more"), (7, "nothing like the others at all, not one word in common here"), (None, long), (None, None), (7, None),
+            (9, "short"), (9, "short"), (4, "SHORT"), (7, "a text of its own that has some words again")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, _gone long")
+    left = near_dedup.drop_near_copies(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["_gone"] for r in left.collect()) == [0, 2, 3, 4, 5, 8, 9]
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_groups(docs).collect()}
+    assert (9, 1, 4, False) in got and (4, 1, 4, True) in got and (7, 21, 3, False) in got and (7, 6, 7, True) in got
+    # two unlike texts of one id, each the least of its component
+    twice = spark.createDataFrame([(5, long), (5, rows[2][1]), (6, long + "x"), (6, rows[2][1] + " x")], "doc_id long, text string")
+    assert sorted(r["text"] for r in near_dedup.drop_near_copies(twice).collect()) == sorted([long, rows[2][1]])
+
+
+def test_links_grow_with_the_group(spark, monkeypatch):
+    """What the block comparison of a near-copy group gives is at most linear in the group."""
+    seen = {}
+    real = near_dedup._joined
+
+    def joined(group, links):
+        seen[size] = seen.get(size, 0) + links.count()
+        return real(group, links)
+
+    monkeypatch.setattr(near_dedup, "_joined", joined)
+    for size in (250, 500, 1000):
+        draw = random.Random(size)
+        base = prose(draw, 90)
+        texts_ = [edited(draw, base, draw.randrange(1, 4)) for _ in range(size)]
+        docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+        got = Counter(map(tuple, near_dedup.near_groups(docs).collect()))
+        assert sum(got.values()) == size
+        if size == 250:
+            assert got == brute(list(enumerate(texts_)), 5, 80)
+    assert all(n <= 2 * size for size, n in seen.items()), seen
+
+
 def test_bounds():
     assert near_dedup.miss_chance(0.8) < 1e-7
     draw = np.random.default_rng(0)
