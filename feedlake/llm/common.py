@@ -24,16 +24,17 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the files instead of repeating
     the work, and every later pass sees the same rows.  The files are scratch
-    data of the run, below ``spark.checkpoint.dir``.
+    data of the run, below ``spark.checkpoint.dir``.  With ``partition_by`` a filter
+    on that column reads only its rows' files.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -86,3 +87,28 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     hot = F.broadcast(groups.where(large))
     rest = rows.join(F.broadcast(groups.where(large).select(key)), key, "left_anti")
     return rows.join(hot, key).unionByName(rest.join(groups.where(~large), key, how))
+
+
+def join_hot_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, how: str = "inner") -> DataFrame:
+    """As ``join_groups``, with the keys of the large groups, fewer than 1,000, as a constant of the plan:
+    without such a group this is one join, and the others pass no join but their own."""
+    large = F.col(size) * 1000 > F.lit(total)
+    hot = [r[0] for r in groups.where(large).select(key).collect()]
+    if not hot:
+        return rows.join(groups, key, how)
+    of_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return rows.where(of_hot).join(F.broadcast(groups.where(large)), key).unionByName(rows.where(~of_hot).join(groups.where(~large), key, how))
+
+
+GONE_ROWS = 2_000_000        # rows of an id and a hash (32 MB) that ``without`` broadcasts
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, mark: Column) -> DataFrame:
+    """``docs`` without the rows whose (id, ``mark``) is in staged ``gone`` (_gone, _gone_mark: long).
+
+    Up to ``GONE_ROWS`` of these are broadcast, so that the documents do not move; more are joined by a shuffle.
+    """
+    own = f"_mark_{uuid.uuid4().hex}"         # a column, so that a text is hashed once and not in every comparison
+    rows = docs.withColumn(own, mark)
+    gone = F.broadcast(gone) if gone.count() <= GONE_ROWS else gone
+    return rows.join(gone, rows[id_col].eqNullSafe(gone["_gone"]) & (rows[own] == gone["_gone_mark"]), "left_anti").drop(own)

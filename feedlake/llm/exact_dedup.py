@@ -1,14 +1,17 @@
 """Exact de-duplication with a two-pass Bloom filter.
 
 Pass 1 sets, for every row, ``K`` bits of a blocked Bloom filter and finds the
-bits that rows set more than once; pass 2 looks every row's bits up.  A row with
-a bit that nobody else sets is unique for certain and is not grouped by hash;
-only possibly repeated rows are, where the decision is made exactly on SHA-256.
+bits that rows set more than once; pass 2 looks every row's bits up, in place.  A
+row with a bit that nobody else sets is unique for certain and passes straight
+through; only possibly repeated rows are shuffled by hash, where the decision is
+made exactly on SHA-256.
+
 The filter takes ``BITS_PER_ROW`` bits a row at every size, in blocks of 32,768
-bits (4 KB), and is joined by block, not broadcast by hint: Spark picks a
-broadcast only where its own byte threshold allows one.  Beyond it this join
-shuffles the (id, SHA-256) of every row, and pass 1 up to ``K`` (block, bit,
-count) rows per distinct text and task at any size; texts are never shuffled.
+bits (4 KB).  What pass 1 shuffles is (block, bit, count), at most ``K`` a distinct
+text and task, combined map-side.  Pass 2 broadcasts the blocks with repeated bits,
+at most ``BROADCAST_BYTES`` of them at a time: a larger filter is looked up in as
+many turns, each over the rows of its own blocks, which are written apart once.  So
+no row that is unique for certain crosses a shuffle, at any size.
 
 Null text counts as empty.  Rows with equal normalised texts form a group, rows
 repeated with the same id count each; the largest id stays (a null id only if
@@ -18,15 +21,14 @@ id and the text are neither read nor needed.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, join_groups, stage
+from .common import ascii_lower, join_groups, stage, without
 
 BLOCK = 32768          # bits of one bitmap of bitmap_construct_agg
-K = 3                  # bits a row sets, all in one block
+K = 2                  # bits a row sets, both in one block
 BITS_PER_ROW = 16
+BROADCAST_BYTES = 256 << 20      # bitmaps that one turn of pass 2 broadcasts
 
 
 def normalised(text: Column) -> Column:
@@ -49,19 +51,32 @@ def _bits(sha: Column) -> Column:
 
 
 def possibly_repeated(prints: DataFrame, rows: int) -> DataFrame:
-    """``prints`` with ``maybe``: true where all of the row's bits are set by more than one row."""
+    """Staged ``prints`` with ``maybe``: true where all of the row's bits are set by more than one row."""
     blocks = max(1, -(-rows * BITS_PER_ROW // BLOCK))
     keyed = prints.withColumn("block", F.pmod(F.xxhash64("sha", F.lit(-1)), F.lit(blocks)))
     # Counting per bit combines map-side, so copies of one text cost one row a task.
-    twice = (keyed.select("block", F.explode(_bits(F.col("sha"))).alias("bit"))
+    twice = stage(keyed.select("block", F.explode(_bits(F.col("sha"))).alias("bit"))
                   .groupBy("block", "bit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                  .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")))
-
+                  .groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bitmap")), "bitmaps")
+    at_once = max(1, BROADCAST_BYTES // (BLOCK // 8))
+    turns = -(-blocks // at_once)
+    if turns == 1:
+        return _looked_up(keyed, twice)
+    keyed = stage(keyed.withColumn("turn", F.floor(F.col("block") / at_once)), "turns", partition_by="turn")
+    out = None
+    for t in range(turns):          # one after another: each broadcasts its own blocks
+        own = (F.col("block") >= t * at_once) & (F.col("block") < (t + 1) * at_once)
+        part = stage(_looked_up(keyed.where(F.col("turn") == t), twice.where(own)), f"turn{t}")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _looked_up(keyed: DataFrame, twice: DataFrame) -> DataFrame:
     def is_set(bit: Column) -> Column:
         byte = F.conv(F.hex(F.substring(F.col("bitmap"), (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
         return F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1
 
-    joined = keyed.join(twice, "block", "left")
+    joined = keyed.join(F.broadcast(twice), "block", "left")         # at most BROADCAST_BYTES
     maybe = F.coalesce(F.forall(_bits(F.col("sha")), is_set), F.lit(False))
     return joined.select("doc_id", "sha", maybe.alias("maybe"))
 
@@ -91,10 +106,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A row leaves only if a row with its id and its text is not kept, so null or reused
     ids cost no other text; rows that share both id and text stay or go together.
+    The texts of one id are told apart by a 64-bit hash of their SHA-256.
     """
-    gone = (exact_groups(docs, id_col, text_col).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone"), F.unhex("text_sha256").alias("_gone_sha")).distinct())
-    own = f"_sha_{uuid.uuid4().hex}"         # a column, so that a text is hashed once and not in every comparison
-    rows = docs.withColumn(own, _sha(docs[text_col]))
-    same = rows[id_col].eqNullSafe(gone["_gone"]) & (rows[own] == gone["_gone_sha"])
-    return rows.join(gone, same, "left_anti").drop(own)
+    gone = stage(exact_groups(docs, id_col, text_col).where(~F.col("kept"))
+                 .select(F.col("doc_id").alias("_gone"), F.xxhash64(F.unhex("text_sha256")).alias("_gone_mark")).distinct(), "gone")
+    return without(docs, gone, id_col, F.xxhash64(_sha(docs[text_col])))

@@ -49,9 +49,32 @@ def test_null_and_reused_ids_lose_no_text(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("turns", [1, 3])
+def test_unique_rows_do_not_move(spark, monkeypatch, turns):
+    """With Spark's own broadcasts off: rows reach an exchange only where they may be repeated."""
+    docs = documents(spark)
+    want = Counter(map(tuple, exact_dedup.exact_groups(docs).collect()))
+    monkeypatch.setattr(exact_dedup, "BLOCK", 32768)
+    monkeypatch.setattr(exact_dedup, "BITS_PER_ROW", 16 if turns == 1 else 1300)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 256 << 20 if turns == 1 else 12288)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    try:
+        prints = exact_dedup.stage(exact_dedup.fingerprints(docs), "fingerprints")
+        marked = exact_dedup.possibly_repeated(prints, prints.count())
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+        assert marked.count() == docs.count()
+        assert Counter(map(tuple, exact_dedup.exact_groups(docs).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_unique_rows_are_not_shuffled_by_hash(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
-    prints = exact_dedup.fingerprints(docs)
+    prints = exact_dedup.stage(exact_dedup.fingerprints(docs), "fingerprints")
     maybe = exact_dedup.possibly_repeated(prints, prints.count()).where("maybe").count()
     repeated = docs.groupBy("text").count().where("count > 1").agg(F.sum("count")).first()[0]
     assert repeated <= maybe <= repeated + docs.count() * 0.03
@@ -108,6 +131,17 @@ def test_url_rules(spark):
         assert got[i]["verdict"] == (RULES[rule] if rule else "allow")
 
 
+def test_registered_domains(spark):
+    hosts = {"a.b.example.co.uk": ("example.co.uk", "co.uk"), "example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"),
+             "x.example.com": ("example.com", "com"), "localhost": ("localhost", "localhost"), "": ("", ""), "a.github.io": ("github.io", "io")}
+    df = spark.createDataFrame([(h,) for h in hosts], "h string")
+    made = url_reputation
+    got = {r["h"]: (r["d"], r["s"]) for r in df.select("h", made.registered_domain(F.col("h")).alias("d"), made.suffix(F.col("h")).alias("s")).collect()}
+    assert got == hosts
+    own = df.where("h = 'a.github.io'").select(made.registered_domain(F.col("h"), ("github.io",)), made.suffix(F.col("h"), ("github.io",))).first()
+    assert tuple(own) == ("a.github.io", "github.io")
+
+
 def test_host_reputation_shrinks_and_blocks(spark):
     rows = [("bad.a.com", True)] * 30 + [("good.a.com", False)] * 200 + [("good.a.com", True)] * 4 + [("one.a.com", True)] + [
         ("new.b.com", None)] + [("x.c.org", False)] * 50 + [("bad.a.com", None)] * 5
