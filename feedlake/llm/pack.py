@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from . import words as W
-from .common import stage
+from .common import StagedTable, stage
 
 MEMO = 1_200_000            # words a worker remembers
 BLOCK_BYTES = 2 << 20
@@ -340,18 +340,28 @@ class Plan:
 
 def pack(docs: DataFrame, tokenizer_path: str, *, window: int = 2048, end: int = 1, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (read from files in the shared folder)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = f.read()
-    coded = stage(tokenised(docs, definition, end, window, id_col, text_col), "tokenised")
+    # Bucketed by the task that wrote them: the tails stay where they are when they learn their numbers.
+    table = StagedTable(tokenised(docs, definition, end, window, id_col, text_col), "part", deal=False)
+    try:
+        return stage(_packed(table.df(), window), "pieces")
+    finally:
+        table.drop()
+
+
+def _packed(coded: DataFrame, window: int) -> DataFrame:
     counts = coded.where("rest > 0").groupBy("part", "rest").agg(F.count(F.lit(1)).alias("n"))
     hist = np.zeros(window, dtype=np.int64)
     for r in counts.groupBy("rest").agg(F.sum("n").alias("n")).collect():     # fewer rows than the window has tokens
         hist[r["rest"]] = r["n"]
-    plan = docs.sparkSession.sparkContext.broadcast(Plan(hist, window))
+    plan = coded.sparkSession.sparkContext.broadcast(Plan(hist, window))
     earlier = Window.partitionBy("rest").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("part", "rest", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    placed = coded.join(first, ["part", "rest"], "left")
+    # One row a part, with less than a window of entries.
+    first = first.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("rest", "first"))).alias("firsts"))
+    placed = coded.join(first.hint("shuffle_hash"), "part", "left").withColumn("first", F.col("firsts")[F.col("rest")])
     kind = coded.schema["doc_id"].dataType
     order = ["doc_id", "tokens", "sums", "before", "part", "rest", "rank", "tail", "first"]
 
