@@ -32,6 +32,7 @@ from . import words as W
 DIMS = 1 << 20
 MAX_ROWS = 5000
 MAX_FIT_BYTES = 1 << 15
+FIT_TEXTS = 50            # texts of the sample whose features are made at a time
 BLOCK_BYTES = 1 << 20
 
 # Byte classes for shapes: lower case, upper case, digits, other letters; the rest stands for itself.
@@ -70,20 +71,29 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (every & (DIMS - 1)), np.searchsorted(every >> 20, np.arange(len(texts) + 1))
 
 
-def _log_ratios(index: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
-    good = np.bincount(index[y[row] > 0], minlength=DIMS) + 1.0
-    bad = np.bincount(index[y[row] < 0], minlength=DIMS) + 1.0
-    return np.log(good / good.sum()) - np.log(bad / bad.sum())
+def _log_ratios(x: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    good, bad = np.ones(DIMS), np.ones(DIMS)
+    for idx, label in zip(x, y.tolist(), strict=True):
+        (good if label > 0 else bad)[idx] += 1                 # the features of a text are distinct
+    for count in (good, bad):
+        count /= count.sum()
+        np.log(count, out=count)
+    good -= bad
+    return good
 
 
-def _dual_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, sweeps: int = 12) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a linear hinge-loss model; vectors have length one (with the intercept, two)."""
+def _dual_descent(x: list[np.ndarray], ratio: np.ndarray, y: np.ndarray, cost: float = 1.0, sweeps: int = 12) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a linear hinge-loss model; vectors have length one (with the intercept, two).
+
+    A vector's values are looked up when it is visited: kept, they would take more memory than all features."""
     w, b, alpha, draw = np.zeros(DIMS), 0.0, np.zeros(len(y)), np.random.default_rng(7)
+    length = np.array([_length(ratio[idx]) for idx in x])
     cap = np.where(y > 0, cost, cost * np.sqrt(max(1.0, (y > 0).sum() / max(1, (y < 0).sum()))))
     for _ in range(sweeps):
         moved = 0.0
         for i in draw.permutation(len(y)):
-            idx, val = x[i]
+            idx = x[i].astype(np.int64)
+            val = ratio[idx] / length[i]
             gradient = y[i] * (w[idx] @ val + b) - 1
             new = min(max(alpha[i] - gradient / 2, 0.0), cap[i])
             step = (new - alpha[i]) * y[i]
@@ -96,12 +106,8 @@ def _dual_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: f
     return w, b
 
 
-def _vectors(index: np.ndarray, bounds: np.ndarray, ratio: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
-    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-        val = ratio[index[lo:hi]]
-        out.append((index[lo:hi], val / max(1e-9, float(np.sqrt(val @ val)))))
-    return out
+def _length(val: np.ndarray) -> float:
+    return max(1e-9, float(np.sqrt(val @ val)))
 
 
 def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -130,39 +136,39 @@ class Model:
         if len(set(y.tolist())) < 2:
             return
         self.constant = None
-        parts = [features(texts[i:i + 200]) for i in range(0, len(texts), 200)]
-        index = np.concatenate([p[0] for p in parts])
-        sizes = np.concatenate([np.diff(p[1]) for p in parts])
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        x = []                           # per text its features; all else that the fit holds is of DIMS numbers
+        for i in range(0, len(texts), FIT_TEXTS):
+            index, bounds = features(texts[i:i + FIT_TEXTS])
+            x += np.split(index.astype(np.int32), bounds[1:-1])
         fold, margin = np.arange(len(y)) % 3, np.zeros(len(y))
         for k in range(3):
             rows = np.flatnonzero(fold != k)
             if len(set(y[rows].tolist())) == 2:
-                _, w, b = self._fit(index, bounds, y, rows)
+                weights, b = self._fit(x, y, rows)
                 for i in np.flatnonzero(fold == k):
-                    margin[i] = self._margin(index[bounds[i]:bounds[i + 1]], w, b)
-        (self.ratio, self.weights, self.bias), (self.a, self.c) = self._fit(index, bounds, y, np.arange(len(y))), _logistic(margin, y)
+                    margin[i] = self._margin(x[i], weights, b)
+                del weights
+        (self.weights, self.bias), (self.a, self.c) = self._fit(x, y, np.arange(len(y))), _logistic(margin, y)
 
     @staticmethod
-    def _fit(index, bounds, y, rows):
-        own = np.concatenate([index[bounds[i]:bounds[i + 1]] for i in rows])
-        size = np.diff(bounds)[rows]
-        ratio = _log_ratios(own, np.repeat(np.arange(len(rows)), size), y[rows])
-        w, b = _dual_descent(_vectors(own, np.concatenate(([0], np.cumsum(size))), ratio), y[rows])
-        return ratio.astype(np.float32), (ratio, w), b
+    def _fit(x, y, rows):
+        own = [x[i] for i in rows]
+        ratio = _log_ratios(own, y[rows])
+        w, b = _dual_descent(own, ratio, y[rows])
+        return (ratio, w), b
 
     @staticmethod
     def _margin(idx: np.ndarray, weights, b: float) -> float:
         ratio, w = weights
         val = ratio[idx]
-        return float(w[idx] @ val / max(1e-9, float(np.sqrt(val @ val))) + b)
+        return float(w[idx] @ val / _length(val) + b)
 
     def close(self) -> "Model":
         """Keep what scoring needs: per feature its squared length and its share of the margin."""
         if self.constant is None:
             ratio, w = self.weights
             self.square, self.part = (ratio * ratio).astype(np.float32), (ratio * w).astype(np.float32)
-            del self.weights, self.ratio
+            del self.weights
         return self
 
     def score(self, texts: list[bytes]) -> np.ndarray:

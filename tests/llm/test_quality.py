@@ -1,5 +1,6 @@
 """The quality classifier: held-out accuracy, label hygiene, awkward rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -58,3 +59,28 @@ def test_fit_is_bounded(spark):
     docs, labels = tables(spark)
     few = quality.fit(docs, labels, max_rows=40)
     assert 0 < len(np.flatnonzero(few.part)) < len(np.flatnonzero(quality.fit(docs, labels).part))
+
+
+def test_fit_holds_the_features_once():
+    """The driver's memory: four bytes a feature of the sample, besides a few vectors of DIMS numbers."""
+    draw = np.random.default_rng(3)
+    pool = np.array([f"w{i}" for i in range(200_000)])
+    sample = [" ".join(draw.choice(pool, 2500)).encode() for _ in range(1600)]
+    labels = np.arange(len(sample)) % 2
+    count = sum(len(quality.features([t])[0]) for t in sample)
+    assert count > 3_500_000
+    tracemalloc.start()
+    try:
+        model = quality.Model(sample, labels).close()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.constant is None and peak < 4 * count + 8 * 8 * quality.DIMS
+
+
+def test_log_ratios_count_texts():
+    sets = [np.array([1, 5, 9], dtype=np.int32), np.array([5], dtype=np.int32), np.array([], dtype=np.int32), np.array([5, 9], dtype=np.int32)]
+    got = quality._log_ratios(sets, np.array([1.0, 1.0, -1.0, -1.0]))
+    good, bad = quality.DIMS + 4, quality.DIMS + 2
+    for feature, a, b in ((1, 2, 1), (5, 3, 2), (9, 2, 2), (7, 1, 1)):
+        assert np.isclose(got[feature], np.log(a / good) - np.log(b / bad))
