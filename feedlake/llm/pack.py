@@ -33,28 +33,43 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import words as W
 from .common import StagedTable, stage
 
-MEMO = 1_200_000            # words a worker remembers
+MEMO = 1_200_000            # words a worker remembers ...
+MEMO_IDS = 16 * MEMO        # ... and their ids
 BLOCK_BYTES = 2 << 20
+BUFFER = 1 << 18            # bytes looked up at a time: their arrays stay in a core's cache
 SWEEPS = 60
 
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*b"abcdefghijklmnopqrstuvwxyz0123456789"]] = True
-_PUNCTUATION = np.zeros(256, dtype=bool)
-_PUNCTUATION[0x21:0x7F] = True
-_PUNCTUATION[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"]] = False
-
-# Lower-case letters of ASCII and Latin-1, as UTF-8: composed, and the same in lower case.
-_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
-# Byte-level text: visible bytes stand for themselves, the others for the next characters from 256 on.
-_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LEVEL = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _VISIBLE) if b != 0x20}
+_SECOND = np.zeros(256, dtype=bool)                  # second byte of a Latin-1 letter whose first is 0xC3
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_OTHER, _WHITE, _PUNCTUATION = range(3)
+_KINDS = bytes(_WHITE if W.WHITE[c] else _PUNCTUATION if 0x21 <= c < 0x7F and not chr(c).isalnum() else _OTHER for c in range(256))
+
+# Letters of ASCII (lower-case) and Latin-1, as UTF-8: composed, and lower-cased each by itself.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# Byte-level text: visible bytes stand for themselves, the others for the next characters from 256 on; spaces stay.
+_BYTE_LEVEL = np.arange(256, dtype="<u4")
+_HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+_BYTE_LEVEL[_HIDDEN] = np.arange(256, 256 + len(_HIDDEN))
+_BYTE_LEVEL[0x20] = 0x20
+
+# A word of up to SHORT bytes is two numbers: its bytes, padded with zeros, with its length in the last byte.
+SHORT = 15
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+_SPREAD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9)]
 
 
 class WordTokens:
     """Token ids of texts, by words: a word between ASCII white space is tokenised
     once and remembered.  Right for tokenizers that lower-case, drop white space,
-    never join or change text across it, and split letters from punctuation."""
+    never join or change text across it, and split letters from punctuation.
+
+    Short words are found in a hash table of arrays, a whole buffer at a time and
+    by all their bytes; longer ones, which are rare, in a dictionary.
+    """
 
     def __init__(self, definition: str, end: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,10 +87,39 @@ class WordTokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.memo: dict[bytes, int] = {}
+        """Words are numbered from 1; a slot with 0 is free."""
+        self.known, self.long = 0, {}
+        self.slots = np.zeros(1 << 15, dtype=np.int32)
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.low, self.high = np.zeros(1 << 14, dtype=np.uint64), np.zeros(1 << 14, dtype=np.uint64)
         self.start, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
+    def _homes(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = low * _SPREAD[0] + high * _SPREAD[1]
+        h = (h ^ (h >> np.uint64(32))) * _SPREAD[2]
+        return (h >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Numbers of short words, 0 where unknown."""
+        home = self._homes(low, high)
+        at = self.slots[home].astype(np.int64)
+        rest = np.flatnonzero((at > 0) & ((self.low[at] != low) | (self.high[at] != high)))
+        while len(rest):
+            home[rest] = (home[rest] + 1) & (len(self.slots) - 1)
+            some = self.slots[home[rest]]
+            at[rest] = some
+            rest = rest[(some > 0) & ((self.low[some] != low[rest]) | (self.high[some] != high[rest]))]
+        return at
+
+    def _place(self, at: np.ndarray) -> None:
+        """Give different short words, by number, their slots."""
+        home = self._homes(self.low[at], self.high[at])
+        while len(at):
+            free = self.slots[home] == 0
+            self.slots[home[free]] = at[free]
+            lost = self.slots[home] != at
+            at, home = at[lost], (home[lost] + 1) & (len(self.slots) - 1)
+
     def _coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, number of each)."""
         coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
@@ -84,40 +128,51 @@ class WordTokens:
         return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum())), sizes
 
     def _coded_plain(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words of lower-case letters, as byte-level text."""
-        text = b" ".join(words).decode("latin-1").translate(_BYTE_LEVEL)
+        """The same for words of plain letters, as byte-level text."""
+        text = b" ".join(words).decode()
+        if not text.isascii():
+            text = _BYTE_LEVEL[np.frombuffer(text.lower().encode(), dtype=np.uint8)].tobytes().decode("utf-32-le")
         ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
         return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
 
-    def _learn(self, new: list[bytes]) -> None:
-        plain = [w for w in new if _PLAIN.fullmatch(w)] if self.ends is not None else []
-        if plain:
-            self._keep(plain, *self._coded_plain(plain))
-        other = [w for w in new if not _PLAIN.fullmatch(w)] if plain else new
-        if other:
-            self._keep(other, *self._coded(other))
-
-    def _keep(self, new: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        total, n = len(ids), len(self.memo)
-        while self.used + total > len(self.flat):
+    def _learn(self, new: list[bytes], low: np.ndarray, high: np.ndarray) -> None:
+        plain, other = [], []
+        for k, w in enumerate(new):
+            (plain if self.ends is not None and (w.isalpha() or _PLAIN.fullmatch(w)) else other).append(k)
+        for some, coded in ((plain, self._coded_plain), (other, self._coded)):
+            if some:
+                words = [new[k] for k in some]
+                self._keep(words, low[some], high[some], *coded(words))
+
+    def _keep(self, new: list[bytes], low: np.ndarray, high: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, used, upto = self.known + 1, self.used, self.known + 1 + len(new)
+        while used + len(ids) > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while n + len(new) > len(self.start):
-            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
-            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-        self.flat[self.used:self.used + total] = ids
-        self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
-        self.size[n:n + len(new)] = sizes
-        self.memo.update(zip(new, range(n, n + len(new)), strict=True))
-        self.used += total
+        while upto > len(self.start):
+            self.start, self.size, self.low, self.high = (
+                np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size, self.low, self.high))
+        self.flat[used:used + len(ids)] = ids
+        self.start[n:upto] = used + np.cumsum(sizes) - sizes
+        self.size[n:upto] = sizes
+        short = np.fromiter(map(len, new), dtype=np.int64, count=len(new)) <= SHORT
+        self.low[n:upto], self.high[n:upto] = np.where(short, low, 0), np.where(short, high, 0)
+        for k in np.flatnonzero(~short).tolist():
+            self.long[new[k]] = n + k
+        self.known, self.used = upto - 1, used + len(ids)
+        if 2 * upto > len(self.slots):
+            self.slots = np.zeros(1 << (2 * upto).bit_length(), dtype=np.int32)
+            self._place(np.flatnonzero(self.high[:upto]))
+        else:
+            self._place(n + np.flatnonzero(short))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by the end id; bounds)."""
-        if len(self.memo) > MEMO:
+        if self.known > MEMO or self.used > MEMO_IDS:
             self._clear()
         parts, owner, whole = [], [], {}
         for i, t in enumerate(texts):
             cut = None if b"<|" in t else _cut(t.lower())
-            if cut is None:              # the name of a special token, or a word beyond a buffer: as it is
+            if cut is None:              # the name of a special token, or a word beyond a chunk: as it is
                 whole[i] = self._coded([t])[0]
             else:
                 parts += cut
@@ -137,11 +192,11 @@ class WordTokens:
         return out, bounds
 
     def _buffers(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids per part), joining parts into buffers of at most a chunk."""
+        """(ids, number of ids per part), joining parts into buffers; a longer part stands alone."""
         ids, counts, i = [np.empty(0, dtype=np.uint32)], [np.empty(0, dtype=np.int64)], 0
         while i < len(parts):
             size, j = 0, i
-            while j < len(parts) and (j == i or size + len(parts[j]) < W.CHUNK):
+            while j < len(parts) and (j == i or size + len(parts[j]) < BUFFER):
                 size += len(parts[j]) + 1
                 j += 1
             some, n = self._buffer(parts[i:j])
@@ -151,31 +206,48 @@ class WordTokens:
         return np.concatenate(ids), np.concatenate(counts)
 
     def _buffer(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for one buffer: its words are told apart by their hashes and only
-        different ones are looked up."""
-        raw = b" ".join(parts)
-        buf = np.frombuffer(raw, dtype=np.uint8)
-        starts, ends = W.word_spans(buf, W.WHITE)
-        # Punctuation at the end of a word, after an ASCII letter or digit, is a word of its own.
-        last = np.maximum.accumulate(np.where(_PUNCTUATION[buf], -1, np.arange(len(buf), dtype=np.int32)))
-        stop = last[ends - 1] if len(ends) else last[:0]
-        tail = (stop >= starts) & (stop < ends - 1) & _LETTER[buf[np.maximum(stop, 0)]]
-        starts, ends = np.concatenate((starts, stop[tail] + 1)), np.concatenate((np.where(tail, stop + 1, ends), ends[tail]))
-        order = np.argsort(starts, kind="stable")
-        starts, ends = starts[order], ends[order]
-        _, first, at = np.unique(W.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        new = [w for w in words if w not in self.memo]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.memo.__getitem__, words), dtype=np.int64, count=len(words))[at]
+        """The same for one buffer: its words are looked up together, and new ones learnt."""
+        raw = b" ".join([b"", *parts, b" " * 16])                # 16 bytes can be read from any word on
+        starts, ends = _spans(raw)
+        lengths = ends - starts
+        eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        low = eight[starts] & _KEEP[np.minimum(lengths, 8)]
+        high = eight[starts + 8] & _KEEP[np.clip(lengths - 8, 0, 7)] | lengths.astype(np.uint64) << np.uint64(56)
+        at = self._find(low, high)
+        long = np.flatnonzero(lengths > SHORT)
+        at[long] = [self.long.get(raw[a:b], 0) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        new = np.flatnonzero(at == 0)
+        if len(new):
+            words = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            first = dict(zip(reversed(words), reversed(new.tolist()), strict=True))
+            self._learn(list(first), low[[*first.values()]], high[[*first.values()]])
+            at[new] = self._find(low[new], high[new])
+            long = np.flatnonzero(lengths[new] > SHORT)
+            at[new[long]] = [self.long[words[k]] for k in long.tolist()]
         sizes = self.size[at]
         upto = np.cumsum(sizes)
         ids = self.flat[np.repeat(self.start[at] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
-        part_ends = np.cumsum([len(t) + 1 for t in parts])
+        part_ends = np.cumsum([len(t) + 1 for t in parts]) + 1
         return ids, np.diff(np.concatenate(([0], upto))[np.searchsorted(starts, part_ends)], prepend=0)
 
 
+def _spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of lower-cased text that starts and ends with white space.
+
+    Punctuation at the end of a word, after a letter of ASCII or Latin-1 or an ASCII digit, is a word of its own.
+    """
+    buf, kinds = np.frombuffer(raw, dtype=np.uint8), np.frombuffer(raw.translate(_KINDS), dtype=np.uint8)
+    white = kinds == _WHITE
+    edge = np.flatnonzero(white[1:] != white[:-1]) + 1
+    starts, ends = edge[::2], edge[1::2]
+    some = np.flatnonzero(kinds[ends - 1] == _PUNCTUATION)
+    solid = np.flatnonzero(kinds != _PUNCTUATION)
+    stop = solid[np.searchsorted(solid, ends[some]) - 1]              # the last byte before it
+    tail = (stop >= starts[some]) & (_LETTER[buf[stop]] | (_SECOND[buf[stop]] & (buf[stop - 1] == 0xC3)))
+    some, at = some[tail], stop[tail] + 1
+    return np.insert(starts, some + 1, at), np.insert(ends, some, at)
+
+
 def _cut(text: bytes) -> list[bytes] | None:
     """A text in parts shorter than a chunk, cut at white space; none if a word is too long."""
     out = []

@@ -124,6 +124,35 @@ def test_packing_round_trip(spark):
     assert pack.pack(empty(spark), PATH).count() == 0
 
 
+def test_plain_words_are_coded_together(monkeypatch):
+    """Words of letters, accents and capitals included, with punctuation behind them never go to the library one by one."""
+    from tokenizers import Tokenizer
+    coder, tok, alone = pack.WordTokens(open(PATH, encoding="utf-8").read(), 1), Tokenizer.from_file(PATH), []
+    monkeypatch.setattr(coder, "_coded", lambda words, coded=coder._coded: alone.extend(words) or coded(words))
+    values = ["École, déjà vu.*** Été! ß? Über;", "Caf\u00e9... ÿ, plain. WORD)"]
+    ids, bounds = coder.encode([v.encode() for v in values])
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [
+        tok.encode(v, add_special_tokens=False).ids + [1] for v in values]
+    assert all(re.fullmatch(rb"[!-/:-@]+", w) for w in alone)
+
+
+def test_remembered_words_are_those_of_the_tokenizer(monkeypatch):
+    """Words around the length that the table holds, zero bytes, tables that grow, a full memory."""
+    from tokenizers import Tokenizer
+    coder, tok, draw = pack.WordTokens(open(PATH, encoding="utf-8").read(), 1), Tokenizer.from_file(PATH), random.Random(11)
+    values = ["a a\0 a\0\0 \0a b", *(" ".join("xyz"[k % 3] * n + c for c in ("", ".", "\0", "é", "é,")) for k, n in enumerate(range(1, 40)))]
+    values += [" ".join("".join(draw.choices("abcdé.'", k=draw.randrange(1, 20))) for _ in range(4000)) for _ in range(12)]
+    want = [tok.encode(v, add_special_tokens=False).ids + [1] for v in values]
+    for memo in (pack.MEMO, 10):
+        monkeypatch.setattr(pack, "MEMO", memo)
+        for _ in range(2):
+            got = []
+            for k in range(0, len(values), 7):
+                ids, bounds = coder.encode([v.encode() for v in values[k:k + 7]])
+                got += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            assert got == want
+
+
 def test_least_squares_never_overuses():
     draw = np.random.default_rng(3)
     for _ in range(5):
